@@ -34,13 +34,13 @@ def parse_date(c: ColumnOrName) -> Column:
     """
     t = F.trim(_as_text(c))
     other = F.coalesce(
-        F.try_to_date(t, F.lit("yyyy-MM-dd")),
-        F.try_to_date(t, F.lit("dd-MMM-yyyy")),
-        F.try_to_date(t, F.lit("MM/dd/yyyy")),
+        F.try_to_date(t, "yyyy-MM-dd"),
+        F.try_to_date(t, "dd-MMM-yyyy"),
+        F.try_to_date(t, "MM/dd/yyyy"),
     )
     return (
         F.when(t.isNull() | (t == "") | (t == "0"), F.lit(None).cast("date"))
-        .when(F.length(t) == 8, F.try_to_date(t, F.lit("yyyyMMdd")))
+        .when(F.length(t) == 8, F.try_to_date(t, "yyyyMMdd"))
         .otherwise(other)
     )
 
