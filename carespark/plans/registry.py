@@ -33,3 +33,133 @@ def _model_query(name: str) -> Query:
 
 for _name in MODEL_NAMES:
     register(_name, _model_query(_name))
+
+
+# ---------------------------------------------------------------- scenarios
+from functools import reduce  # noqa: E402
+
+from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
+
+from .. import functions as fx  # noqa: E402
+from ..operators import quality  # noqa: E402
+from ..sources.schemas import RAW_SCHEMAS, conform  # noqa: E402
+from . import checks, scenarios  # noqa: E402
+
+
+def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
+    return Warehouse.from_driver(spark, sf_dir)
+
+
+register("incremental_watermark", lambda s, d: scenarios.incremental_watermark(_wh(s, d).raw["cladjust"]))
+register("incremental_upsert", lambda s, d: scenarios.incremental_upsert(_wh(s, d).raw["cladjust"]))
+register("schema_append", lambda s, d: scenarios.schema_append(_wh(s, d).raw["cladjust"]))
+for _snap, _spec in scenarios.SNAPSHOTS.items():
+    register(f"snapshot_{_snap}",
+             lambda s, d, n=_snap, st=_spec[0]: scenarios.snapshot_history(_wh(s, d).stg(st), n))
+register("snapshot_asof", lambda s, d: scenarios.snapshot_asof(_wh(s, d).stg("stg_member")))
+
+
+# ------------------------------------------------------------------ quality
+def _suite_models(wh: Warehouse, names) -> dict:
+    return {n: wh.model(n) for n in names}
+
+
+def _dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh = _wh(spark, sf_dir)
+    return quality.dq_report(spark, _suite_models(wh, checks.SUITE_MODELS), checks.SUITE)
+
+
+register("dq_report", _dq_report)
+
+
+def _dq_example(name: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from oracle.scenarios import DQ_EXAMPLES  # the example rules are shared with the SQL check
+
+        ch = DQ_EXAMPLES[name]
+        wh = _wh(spark, sf_dir)
+        models = _suite_models(wh, {ch.model} | ({ch.to_model} if ch.to_model else set()))
+        return quality.failing_rows(models[ch.model], ch, models)
+
+    return run
+
+
+for _dq in ("dq_not_null", "dq_unique", "dq_accepted_values", "dq_relationships", "dq_between", "dq_pair_order"):
+    register(_dq, _dq_example(_dq))
+
+
+def _dq_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from oracle.scenarios import DQ_TYPE_CHECK
+
+    wh = _wh(spark, sf_dir)
+    return quality.dq_report(spark, {"stg_member": wh.stg("stg_member")}, [DQ_TYPE_CHECK])
+
+
+register("dq_type", _dq_type)
+
+
+def _freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from oracle.scenarios import FRESHNESS_AS_OF, FRESHNESS_SOURCES
+
+    wh = _wh(spark, sf_dir)
+    return quality.freshness({s: wh.raw[s] for s in FRESHNESS_SOURCES}, FRESHNESS_AS_OF)
+
+
+register("freshness", _freshness)
+
+
+# ------------------------------------------------------------------ lookups
+def _identity_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh = _wh(spark, sf_dir)
+    x = wh.stg("stg_member_crosswalk").filter(F.col("is_active") == True).alias("x")  # noqa: E712
+    g = wh.dim_golden_member.select("golden_member_id", "full_name").alias("g")
+    return x.join(g, F.col("x.golden_member_id") == F.col("g.golden_member_id"), "inner").select(
+        F.col("x.golden_member_id"), "g.full_name", "x.source_system", "x.source_member_id", "x.is_primary",
+        "x.match_confidence")
+
+
+def _resolved_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh = _wh(spark, sf_dir)
+    c = wh.fct_claim_conformed.alias("c")
+    g = wh.dim_golden_member.select("golden_member_id", "full_name", "source_systems").alias("g")
+    return c.join(g, F.col("c.member_golden_id") == F.col("g.golden_member_id"), "inner").select(
+        "c.claim_id", "c.member_golden_id", "g.full_name", "g.source_systems", "c.service_from_date",
+        "c.paid_amount")
+
+
+STATUS_SCHEMA = T.StructType([
+    T.StructField("status_code", T.StringType()), T.StructField("status_name", T.StringType()),
+    T.StructField("status_category", T.StringType()), T.StructField("is_final", T.BooleanType()),
+    T.StructField("is_payable", T.BooleanType()),
+])
+
+
+def _status_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ref = spark.createDataFrame(fx.CLAIM_STATUS_REFERENCE, STATUS_SCHEMA)
+    c = _wh(spark, sf_dir).stg("stg_clclaim")
+    # Ten fixed rows: a broadcast of proven size.
+    return c.join(F.broadcast(ref), c.claim_status_code == ref.status_code, "left").select(
+        "claim_id", "claim_status_code", "status_name", "status_category", "is_final", "is_payable")
+
+
+def _row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from oracle.scenarios import ROW_COUNT_TABLES
+
+    wh = _wh(spark, sf_dir)
+    parts = [wh.raw[t].agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(t).alias("table_name"), "row_count")
+             for t in ROW_COUNT_TABLES]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _conform_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    narrow = _wh(spark, sf_dir).raw["member"].select("memid", "fname", "lname", "dob", "sex", "status", "email",
+                                                     "language", "_loaded_at")
+    return conform(narrow, RAW_SCHEMAS["member"])
+
+
+register("identity_lookup", _identity_lookup)
+register("resolved_claims", _resolved_claims)
+register("status_lookup", _status_lookup)
+register("row_counts", _row_counts)
+register("conform_schema", _conform_schema)
