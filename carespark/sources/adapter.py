@@ -462,12 +462,30 @@ def read_driver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# Landing paths already verified in this process (their inputs are fingerprinted
+# into the path, so a verified path never goes stale).
+_VERIFIED: set[str] = set()
+
+# Extracts derived from the large driver tables are landed with this many
+# partitions per default-parallelism slot; the small ones as a single file.
+LARGE_SOURCES = {"orders", "lineitem", "events", "customer"}
+
+
 class RawSource:
-    """Lazily derived raw extracts over one driver data directory."""
+    """Raw extracts over one driver data directory.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    By default every extract is *landed* once as parquet under the shared work
+    root (``spark.checkpoint.dir``) - the bronze landing zone - and read back
+    from there, exactly as the engine reads real source extracts.  The landing
+    path is keyed by the data directory, the driver files' sizes and mtimes
+    and the text of the derivation rule, so a changed input or rule lands a
+    new copy.  A copy counts only once its ``_SUCCESS`` marker exists.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, land: bool = True):
         self.spark = spark
-        self.sf_dir = sf_dir
+        self.sf_dir = sf_dir.rstrip("/")
+        self.land = land
         self._driver: dict[str, DataFrame] = {}
         self._raw: dict[str, DataFrame] = {}
 
@@ -476,10 +494,52 @@ class RawSource:
             self._driver[name] = read_driver(self.spark, self.sf_dir, name)
         return self._driver[name]
 
+    def derived(self, name: str) -> DataFrame:
+        """The extract as a lazy plan over the driver tables (no landing)."""
+        builder, deps = RAW_BUILDERS[name]
+        return self.spark.sql(builder(SPARK), **{t: self.driver(t) for t in deps})
+
+    def _landing_path(self, name: str) -> str:
+        import hashlib
+        import os
+
+        from ..session import work_root
+
+        _, deps = RAW_BUILDERS[name]
+        h = hashlib.md5(raw_sql(name, SPARK).encode())
+        h.update(self.sf_dir.encode())
+        for t in sorted(deps):
+            st = os.stat(f"{self.sf_dir}/{t}.parquet") if os.path.exists(f"{self.sf_dir}/{t}.parquet") else None
+            h.update(f"{t}:{st.st_size if st else 0}:{st.st_mtime_ns if st else 0}".encode())
+        return f"{work_root(self.spark).rstrip('/')}/landing/{name}-{h.hexdigest()[:16]}"
+
+    def _landed(self, path: str) -> bool:
+        from pyspark.errors import AnalysisException
+
+        if path in _VERIFIED:
+            return True
+        try:
+            self.spark.read.format("binaryFile").load(f"{path}/_SUCCESS").select("path").limit(1).collect()
+        except AnalysisException:
+            return False
+        _VERIFIED.add(path)
+        return True
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._raw:
-            builder, deps = RAW_BUILDERS[name]
-            self._raw[name] = self.spark.sql(builder(SPARK), **{t: self.driver(t) for t in deps})
+            if not self.land:
+                self._raw[name] = self.derived(name)
+            else:
+                path = self._landing_path(name)
+                if not self._landed(path):
+                    df = self.derived(name)
+                    _, deps = RAW_BUILDERS[name]
+                    if LARGE_SOURCES & set(deps):
+                        df = df.repartition(self.spark.sparkContext.defaultParallelism)
+                    else:
+                        df = df.coalesce(1)
+                    df.write.mode("overwrite").parquet(path)
+                self._raw[name] = self.spark.read.parquet(path)
         return self._raw[name]
 
     def tables(self) -> dict[str, DataFrame]:
