@@ -163,3 +163,10 @@ register("resolved_claims", _resolved_claims)
 register("status_lookup", _status_lookup)
 register("row_counts", _row_counts)
 register("conform_schema", _conform_schema)
+
+
+# ---------------------------------------------------------- column helpers
+from . import function_queries  # noqa: E402
+
+for _fn in function_queries.FUNCTION_QUERIES:
+    register(_fn, lambda s, d, n=_fn: function_queries.run(_wh(s, d), n))

@@ -201,3 +201,50 @@ model("conform_schema", "select " + ", ".join(
     + ", _loaded_at from raw_member")
 
 __all__ = ["osql"]
+
+
+# ----------------------------------------------------------- column helpers
+from .sql import (  # noqa: E402
+    CLAIM_STATUS, DIAG_TYPE, GENDER, LOB, MEMBER_STATUS, POA, PROC_TYPE, age, amt, case_map, clean, code,
+    int_default, int_or_null, member_months, month_idx, pdate, pts, skey)
+
+
+def _weeks(a, b):
+    return f"cast((cast(date_trunc('week', {b}) as date) - cast(date_trunc('week', {a}) as date)) / 7 as integer)"
+
+
+_FN = {
+    "fn_clean_string": ("raw_member", f"memid, {clean('fname')} as fname_clean, {clean('mname')} as mname_clean, "
+                                      f"{clean('language')} as language_clean"),
+    "fn_parse_date": ("raw_member", f"memid, dob, {pdate('dob')} as dob_parsed"),
+    "fn_parse_datetime": ("raw_member", f"memid, modifydate, {pts('modifydate')} as modified_at"),
+    "fn_amount": ("raw_clclaim", f"claimid, {amt('deductamt')} as deduct, {amt('cobamt')} as cob, "
+                                 f"{amt('coinsamt')} as coins"),
+    "fn_format_ids": ("raw_clclaim", f"claimid, {code('claimid')} as claim_id, {code('memid')} as member_id, "
+                                     f"{code('provid')} as provider_id"),
+    "fn_claim_status": ("raw_clclaim", f"claimid, claimstatus as status_raw, {code('claimstatus')} as status_code, "
+                                       f"{case_map('claimstatus', CLAIM_STATUS, chr(39) + 'Unknown' + chr(39))} "
+                                       "as status_label"),
+    "fn_gender": ("raw_member", f"memid, {case_map(code('sex'), GENDER, chr(39) + 'Unknown' + chr(39))} as gender"),
+    "fn_member_status": ("raw_member", f"memid, {case_map(code('status'), MEMBER_STATUS, chr(39) + 'Unknown' + chr(39))}"
+                                       " as member_status"),
+    "fn_line_of_business": ("raw_mbrelig", f"eligid, {case_map(code('lobid'), LOB, 'lobid')} as lob"),
+    "fn_age": ("stg_member", f"member_id, {age('date_of_birth')} as age"),
+    "fn_member_months": ("stg_mbrelig", f"eligibility_id, {member_months('effective_date', 'termination_date')} "
+                                        f"as months, {member_months('effective_date', AS_OF_SQL)} as months_to_as_of"),
+    "fn_valid_npi": ("raw_provider", "provid, npi, (length(trim(npi)) = 10 and regexp_full_match(trim(npi), "
+                                     "'[0-9]+')) as is_valid_npi"),
+    "fn_phone": ("raw_member", "memid, regexp_replace(email, '[^0-9]', '', 'g') as digits"),
+    "fn_zip": ("raw_provider", "provid, left(regexp_replace(taxonomy, '[^0-9]', '', 'g'), 5) as zip5"),
+    "fn_surrogate_key": ("raw_clline", f"claimid, lineseq, {skey('claimid', 'lineseq')} as line_key"),
+    "fn_code_maps": ("raw_cldiag", f"claimid, diagseq, {case_map(code('diagtype'), DIAG_TYPE, chr(39) + 'Unknown' + chr(39))}"
+                                   f" as diag_type, {case_map(code('diagtype'), PROC_TYPE, chr(39) + 'Unknown' + chr(39))}"
+                                   f" as proc_type, {case_map(code('poa'), POA)} as poa"),
+    "fn_int_defaults": ("raw_clclaim", f"claimid, {int_default('los')} as los, {int_or_null('los')} as los_or_null"),
+    "fn_boundary_diffs": ("stg_clclaim", "claim_id, datediff('day', service_from_date, paid_date) as days, "
+                                         f"{_weeks('service_from_date', 'paid_date')} as weeks, "
+                                         f"{month_idx('paid_date')} - {month_idx('service_from_date')} as months, "
+                                         "year(paid_date) - year(service_from_date) as years"),
+}
+for _n, (_src, _cols) in _FN.items():
+    model(_n, f"select {_cols} from {_src}")
