@@ -9,11 +9,11 @@ executor only re-executes tasks of the version being written.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import work_root
+from ..sources.io import VersionedTable
 
 LOADED_AT = "_loaded_at"
 
@@ -76,45 +76,23 @@ def merge_upsert(target: DataFrame | None, src: DataFrame, key: str) -> DataFram
     return kept.unionByName(src, allowMissingColumns=True)
 
 
-class IncrementalTable:
-    """A parquet table under ``<root>/<name>`` maintained by key-based upserts.
+class IncrementalTable(VersionedTable):
+    """A versioned parquet table (see ``VersionedTable``) kept current by upserts.
 
-    Each run writes ``v-<n+1>``; Spark's job commit writes ``_SUCCESS`` last,
-    and readers pick the highest version that has it.  Storage is whatever
-    the root names (the shared ``spark.checkpoint.dir`` on a cluster); the
-    version listing itself is a Spark read, so no local path is assumed.
-    One writer per table at a time.
+    One writer per table at a time.  Re-running a batch is harmless: rows not
+    newer than the stored watermark are skipped.
     """
 
     def __init__(self, spark: SparkSession, name: str, key: str, root: str | None = None,
                  on_duplicate: str = "error"):
-        self.spark = spark
+        super().__init__(spark, f"{(root or work_root(spark)).rstrip('/')}/{name}")
         self.name = name
         self.key = key
-        self.root = f"{(root or work_root(spark)).rstrip('/')}/{name}"
         self.on_duplicate = on_duplicate
 
-    def versions(self) -> list[int]:
-        try:
-            marks = self.spark.read.format("binaryFile").load(f"{self.root}/v-*/_SUCCESS").select("path").collect()
-        except AnalysisException:
-            return []
-        return sorted(int(r.path.rstrip("/").split("/")[-2][2:]) for r in marks)
-
-    def current_path(self) -> str | None:
-        v = self.versions()
-        return f"{self.root}/v-{v[-1]:06d}" if v else None
-
-    def read(self) -> DataFrame | None:
-        path = self.current_path()
-        return self.spark.read.parquet(path) if path else None
-
     def upsert(self, batch: DataFrame) -> DataFrame:
         """Keep batch rows past the watermark, merge them by key, publish a new version."""
-        v = self.versions()
-        target = self.spark.read.parquet(f"{self.root}/v-{v[-1]:06d}") if v else None
+        target = self.read()
         fresh = after_watermark(batch, watermark(target))
         fresh = dedupe_batch(fresh, self.key, self.on_duplicate)
-        merged = merge_upsert(target, fresh, self.key)
-        merged.write.mode("errorifexists").parquet(f"{self.root}/v-{(v[-1] + 1) if v else 1:06d}")
-        return self.read()
+        return self.write(merge_upsert(target, fresh, self.key))

@@ -170,3 +170,28 @@ from . import function_queries  # noqa: E402
 
 for _fn in function_queries.FUNCTION_QUERIES:
     register(_fn, lambda s, d, n=_fn: function_queries.run(_wh(s, d), n))
+
+
+# ---------------------------------------------------------------- streaming
+def _stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads arrive as files; an availableNow stream upserts each into a table."""
+    import uuid
+
+    from ..operators.upsert import IncrementalTable
+    from ..session import work_root
+    from ..streaming.upsert_stream import stream_upsert
+    from . import staging
+
+    run = f"{work_root(spark).rstrip('/')}/stream-upsert-{uuid.uuid4().hex[:12]}"
+    b1, b2 = scenarios.adjustment_batches(_wh(spark, sf_dir).raw["cladjust"])
+    table = IncrementalTable(spark, "stg_cladjust", "claim_adjustment_id", root=run)
+    for i, batch in enumerate((b1, b2), start=1):
+        batch.write.parquet(f"{run}/incoming/load-{i}")
+        q = stream_upsert(spark, f"{run}/incoming/load-*", batch.schema, staging.stg_cladjust, table,
+                          f"{run}/checkpoint")
+        q.awaitTermination()
+    return table.read()
+
+
+register("stream_upsert", _stream_upsert)
+ORACLE_ONLY_SQL["stream_upsert"] = lambda: __import__("oracle.sql", fromlist=["query"]).query("incremental_upsert")

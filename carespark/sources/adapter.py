@@ -479,7 +479,7 @@ class RawSource:
     from there, exactly as the engine reads real source extracts.  The landing
     path is keyed by the data directory, the driver files' sizes and mtimes
     and the text of the derivation rule, so a changed input or rule lands a
-    new copy.  A copy counts only once its ``_SUCCESS`` marker exists.
+    new copy.  A copy counts only once its commit record exists (see ``VersionedTable``).
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, land: bool = True):
@@ -513,33 +513,25 @@ class RawSource:
             h.update(f"{t}:{st.st_size if st else 0}:{st.st_mtime_ns if st else 0}".encode())
         return f"{work_root(self.spark).rstrip('/')}/landing/{name}-{h.hexdigest()[:16]}"
 
-    def _landed(self, path: str) -> bool:
-        from pyspark.errors import AnalysisException
-
-        if path in _VERIFIED:
-            return True
-        try:
-            self.spark.read.format("binaryFile").load(f"{path}/_SUCCESS").select("path").limit(1).collect()
-        except AnalysisException:
-            return False
-        _VERIFIED.add(path)
-        return True
-
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._raw:
             if not self.land:
                 self._raw[name] = self.derived(name)
             else:
+                from .io import VersionedTable
+
                 path = self._landing_path(name)
-                if not self._landed(path):
+                table = VersionedTable(self.spark, path)
+                if path not in _VERIFIED and table.current_path() is None:
                     df = self.derived(name)
                     _, deps = RAW_BUILDERS[name]
                     if LARGE_SOURCES & set(deps):
                         df = df.repartition(self.spark.sparkContext.defaultParallelism)
                     else:
                         df = df.coalesce(1)
-                    df.write.mode("overwrite").parquet(path)
-                self._raw[name] = self.spark.read.parquet(path)
+                    table.write(df)
+                _VERIFIED.add(path)
+                self._raw[name] = self.spark.read.parquet(table.version_path(1))
         return self._raw[name]
 
     def tables(self) -> dict[str, DataFrame]:
