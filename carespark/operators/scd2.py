@@ -4,6 +4,10 @@ History rows carry the tracked columns plus ``dbt_scd_id``, ``dbt_updated_at``,
 ``dbt_valid_from`` and ``dbt_valid_to`` (NULL = current).  One run compares
 the *open* history rows with the current source by key in a single full
 outer join (one shuffle on the key), then unions the untouched closed rows.
+
+Semantics kept on purpose: a key that comes back after a hard delete opens
+a new row at its *source* change time; if that time did not move, the new
+row overlaps the closed one.
 """
 
 from __future__ import annotations
