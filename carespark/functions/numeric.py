@@ -65,3 +65,18 @@ def guarded_ratio(num: Column, den: Column, digits: int) -> Column:
 
 def round_money(c: ColumnOrName) -> Column:
     return _c(c).cast(MONEY_SUM)
+
+
+def sum_money(c: ColumnOrName) -> Column:
+    """Exact sum of a 2-decimal money column, accumulated as integer cents.
+
+    A decimal(18,2) sum buffer is decimal(28,2), which Spark evaluates with
+    ``java.math.BigDecimal``; a bigint buffer stays on the fast primitive
+    path (and ANSI mode raises instead of wrapping on overflow).
+    """
+    return from_cents(F.sum(cents(c)))
+
+
+def from_cents(c: Column) -> Column:
+    """bigint cents -> decimal(38,2), exactly."""
+    return (c.cast("decimal(38,0)") / 100).cast(MONEY_SUM)

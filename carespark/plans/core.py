@@ -286,10 +286,10 @@ def line_rollup(lines: DataFrame) -> DataFrame:
     """Per-claim line count and unit total (pre-aggregated before the join)."""
     return lines.groupBy("claim_id").agg(
         F.count(F.lit(1)).alias("line_count"),
-        F.sum("billed_amount").cast(fx.MONEY_SUM).alias("total_line_billed"),
-        F.sum("allowed_amount").cast(fx.MONEY_SUM).alias("total_line_allowed"),
-        F.sum("paid_amount").cast(fx.MONEY_SUM).alias("total_line_paid"),
-        F.sum("service_units").cast(fx.MONEY_SUM).alias("total_service_units"),
+        fx.sum_money("billed_amount").alias("total_line_billed"),
+        fx.sum_money("allowed_amount").alias("total_line_allowed"),
+        fx.sum_money("paid_amount").alias("total_line_paid"),
+        fx.sum_money("service_units").alias("total_service_units"),
     )
 
 
