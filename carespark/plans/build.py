@@ -53,3 +53,19 @@ def build(spark: SparkSession, wh: Warehouse, root: str | None = None, default_s
     months = publish("mart_member_months", marts.mart_member_months(stg("stg_mbrelig"), as_of))
     publish("mart_medical_expense", marts.mart_medical_expense(summary, months))
     return out
+
+
+def materialize(spark: SparkSession, wh: Warehouse, root: str, staging_names=None) -> dict[str, DataFrame]:
+    """Write the staging views that are asked for, then build every layer on top
+    of the *written* staging tables.  Returns every model read back from storage."""
+    from . import staging as stg_mod
+
+    written = Warehouse(wh.raw, spark, as_of=wh.as_of, source_system=wh.source_system)
+    out: dict[str, DataFrame] = {}
+    for name in staging_names or list(stg_mod.STAGING):
+        table = VersionedTable(spark, layer_path(root, schema_name("bronze", "ANALYTICS"), name))
+        df = table.write(wh.stg(name))
+        written._staged[name] = df
+        out[name] = df
+    out.update(build(spark, written, root=root, as_of=wh.as_of))
+    return out

@@ -67,9 +67,9 @@ class VersionedTable:
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(self.version_path(nxt))
-        (self.spark.createDataFrame([(nxt,)], "version int").coalesce(1)
+        (self.spark.range(1).select(F.lit(nxt).cast("int").alias("version")).coalesce(1)
          .write.mode("errorifexists").parquet(f"{self.path}/commits/v-{nxt:06d}"))
-        return self.read()
+        return self.spark.read.parquet(self.version_path(nxt))
 
 
 def with_audit(df: DataFrame) -> DataFrame:
