@@ -236,3 +236,4 @@ def _stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 register("stream_upsert", _stream_upsert)
 ORACLE_ONLY_SQL["stream_upsert"] = lambda: __import__("oracle.sql", fromlist=["query"]).query("incremental_upsert")
+register("snapshot_changes", lambda s, d: scenarios.snapshot_changes(_wh(s, d).stg("stg_member")))

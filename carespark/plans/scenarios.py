@@ -114,3 +114,10 @@ def snapshot_history(staged: DataFrame, name: str) -> DataFrame:
 def snapshot_asof(staged_members: DataFrame, ts: dt.datetime = dt.datetime(2001, 6, 20)) -> DataFrame:
     return scd2.as_of(snapshot_history(staged_members, "member"), ts)
 
+
+
+def snapshot_changes(staged_members: DataFrame) -> DataFrame:
+    """Bulk form: history rebuilt from the change log of all three member runs."""
+    v1, v2, v3 = snapshot_sources(staged_members, SNAPSHOTS["member"])
+    changes = v1.unionByName(v2).unionByName(v3).filter(F.col("updated_at").isNotNull()).distinct()
+    return scd2.history_from_changes(changes, "member_id", "updated_at")

@@ -248,3 +248,11 @@ _FN = {
 }
 for _n, (_src, _cols) in _FN.items():
     model(_n, f"select {_cols} from {_src}")
+
+model("snapshot_changes", """
+select *, md5(coalesce(cast(member_id as varchar), '') || '|' || coalesce(cast(updated_at as varchar), '')) as dbt_scd_id,
+  updated_at as dbt_updated_at, updated_at as dbt_valid_from,
+  lead(updated_at) over (partition by member_id order by updated_at) as dbt_valid_to
+from (select distinct * from (select * from snap_member_v1 union all select * from snap_member_v2
+                              union all select * from snap_member_v3) u
+      where updated_at is not null) c""")
