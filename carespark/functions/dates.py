@@ -24,6 +24,17 @@ def as_date(d: _dt.date | str | Column) -> Column:
     return F.lit(d)
 
 
+def ntz_lit(value) -> Column:
+    """Zone-less timestamp literal from a datetime or ISO text.
+
+    Built from text, so the value never passes through the Python process's
+    or the session's time zone.
+    """
+    if isinstance(value, _dt.datetime):
+        value = value.isoformat(sep=" ")
+    return F.lit(str(value)).cast("timestamp_ntz")
+
+
 def parse_date(c: ColumnOrName) -> Column:
     """Tolerant date parse.
 

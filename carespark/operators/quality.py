@@ -116,8 +116,9 @@ def freshness(sources: Mapping[str, DataFrame], as_of_ts, warn_hours: int = 24,
               loaded_at: str = "_loaded_at") -> DataFrame:
     """Per source: newest load time, its age at ``as_of_ts`` and pass/warn/error."""
     from ..functions import round_ratio
+    from ..functions.dates import ntz_lit
 
-    now = F.lit(as_of_ts).cast("timestamp_ntz")
+    now = ntz_lit(as_of_ts)
     parts = []
     for name, df in sources.items():
         parts.append(df.agg(F.max(loaded_at).alias("max_loaded_at")).select(F.lit(name).alias("source_name"),

@@ -12,12 +12,12 @@ row overlaps the closed one.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from ..functions.dates import ntz_lit
+
 META = ["dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"]
 
 
@@ -29,9 +29,7 @@ def scd_id(key: Column, ts: Column) -> Column:
 def _ts(value) -> Column:
     if isinstance(value, Column):
         return value
-    if isinstance(value, str):
-        value = dt.datetime.fromisoformat(value)
-    return F.lit(value).cast("timestamp_ntz")
+    return ntz_lit(value)
 
 
 def snapshot_init(source: DataFrame, key: str, updated_at: str, run_ts) -> DataFrame:

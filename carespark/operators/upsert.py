@@ -9,9 +9,12 @@ executor only re-executes tasks of the version being written.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.dates import ntz_lit
 from ..session import work_root
 from ..sources.io import VersionedTable
 
@@ -33,7 +36,8 @@ def after_watermark(src: DataFrame, wm, col: str = LOADED_AT) -> DataFrame:
     """
     if wm is None:
         return src
-    return src.filter(F.col(col) > F.lit(wm))
+    lit = ntz_lit(wm) if isinstance(wm, dt.datetime) else F.lit(wm)
+    return src.filter(F.col(col) > lit.cast(src.schema[col].dataType))
 
 
 def after_watermark_of(src: DataFrame, target: DataFrame, col: str = LOADED_AT) -> DataFrame:

@@ -17,6 +17,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import ntz_lit
 from ..operators import scd2, upsert
 from . import staging
 
@@ -27,7 +28,7 @@ SNAPSHOT_RUNS = (dt.datetime(2001, 6, 1), dt.datetime(2001, 6, 15), dt.datetime(
 # ------------------------------------------------------------ incremental
 def adjustment_batches(raw_adjust: DataFrame) -> tuple[DataFrame, DataFrame]:
     ts = F.col("_loaded_at")
-    split = F.lit(BATCH_SPLIT).cast("timestamp_ntz")
+    split = ntz_lit(BATCH_SPLIT)
     b1 = raw_adjust.filter(ts < split)
     later = raw_adjust.filter(ts >= split)
     corrections = (b1.filter(F.col("adjustseq").cast("bigint") % 50 == 0)
