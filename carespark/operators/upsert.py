@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import ntz_lit
@@ -62,10 +62,16 @@ def dedupe_batch(src: DataFrame, key: str, on_duplicate: str = "error", order_co
                   .select(*src.columns)
     if on_duplicate != "error":
         raise ValueError(f"unknown on_duplicate={on_duplicate!r}")
-    flagged = src.withColumn("_n_per_key", F.count(F.lit(1)).over(Window.partitionBy(key)))
-    guard = F.when(F.col(key).isNotNull() & (F.col("_n_per_key") > 1),
-                   F.raise_error(F.concat(F.lit(f"duplicate {key} in incremental batch: "), F.col(key).cast("string"))))
-    return flagged.filter(F.coalesce(guard.cast("boolean"), F.lit(True))).drop("_n_per_key")
+    # Count per key with map-side combine (a hot key never lands in one sort),
+    # reduce to ONE row holding a duplicated key if any, and let that row raise
+    # inside the tasks.  The one-row side is a broadcast of proven size.
+    dup = (src.filter(F.col(key).isNotNull()).groupBy(key).count().filter(F.col("count") > 1)
+              .agg(F.min(F.col(key).cast("string")).alias("_dup_key")))
+    guard = F.when(F.col("_dup_key").isNotNull(),
+                   F.raise_error(F.concat(F.lit(f"duplicate {key} in incremental batch: "), F.col("_dup_key"))))
+    return (src.crossJoin(F.broadcast(dup))
+               .filter(F.coalesce(guard.cast("boolean"), F.lit(True)))
+               .drop("_dup_key"))
 
 
 def merge_upsert(target: DataFrame | None, src: DataFrame, key: str) -> DataFrame:

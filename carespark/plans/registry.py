@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import session_id
 from .warehouse import MODEL_NAMES, Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,7 +42,7 @@ def shared_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
         p = f"{sf}/{t}.parquet"
         st = os.stat(p) if os.path.exists(p) else None
         stamp.append((t, st.st_size, st.st_mtime_ns) if st else (t, 0, 0))
-    key = (id(spark), spark.sparkContext.applicationId, sf, tuple(stamp))
+    key = (id(spark), session_id(spark), sf, tuple(stamp))
     if key not in _WAREHOUSES:
         _WAREHOUSES[key] = Warehouse.from_driver(spark, sf)
     return _WAREHOUSES[key]

@@ -21,6 +21,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import default_parallelism
+
 # Fixed parameters of the derived data set.
 AS_OF = _dt.date(2001, 6, 30)
 SOURCE_SYSTEM = "QNXT"
@@ -526,7 +528,7 @@ class RawSource:
                     df = self.derived(name)
                     _, deps = RAW_BUILDERS[name]
                     if LARGE_SOURCES & set(deps):
-                        df = df.repartition(self.spark.sparkContext.defaultParallelism)
+                        df = df.repartition(default_parallelism(self.spark))
                     else:
                         df = df.coalesce(1)
                     table.write(df)
