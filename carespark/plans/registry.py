@@ -238,3 +238,12 @@ def _stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 register("stream_upsert", _stream_upsert)
 ORACLE_ONLY_SQL["stream_upsert"] = lambda: __import__("oracle.sql", fromlist=["query"]).query("incremental_upsert")
 register("snapshot_changes", lambda s, d: scenarios.snapshot_changes(_wh(s, d).stg("stg_member")))
+
+
+def _setup_eligibility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..sources.schemas import default_eligibility
+
+    return default_eligibility(_wh(spark, sf_dir).raw["member"], "2001-06-01 00:00:00")
+
+
+register("setup_eligibility", _setup_eligibility)

@@ -54,3 +54,46 @@ def read_csv_seed(spark, path: str, schema: T.StructType) -> DataFrame:
     """Header CSV with an explicit schema (never inferred); doubled quotes escape quotes."""
     return (spark.read.option("header", True).option("quote", '"').option("escape", '"')
             .schema(schema).csv(path))
+
+
+# The default eligibility segment the source setup derives for
+# every member that arrives without one (eligibility id = member id + suffix).
+DEFAULT_SEGMENT = {
+    "eligid_suffix": "-ELIG001",
+    "effdate": "20240101",
+    "termdate": "20241231",
+    "lobid": "COM",
+    "planid": "PLAN001",
+    "planname": "Commercial Plan 001",
+    "productid": "PROD001",
+    "groupid": "GRP001",
+    "covtype": "MED",
+    "relation": "S",
+    "eligstatus": "A",
+}
+
+
+def default_eligibility(members: DataFrame, load_ts: str) -> DataFrame:
+    """One wide eligibility extract row per member row, from the fixed defaults.
+
+    ``load_ts`` (ISO text) replaces the load-time clock, so reruns are identical.
+    """
+    d = DEFAULT_SEGMENT
+    ts = F.lit(load_ts)
+    rows = members.select(
+        F.col("memid"),
+        F.concat(F.col("memid"), F.lit(d["eligid_suffix"])).alias("eligid"),
+        *[F.lit(d[c]).alias(c) for c in ("effdate", "termdate", "lobid", "planid", "planname", "productid",
+                                          "groupid")],
+        F.lit(None).cast("string").alias("subgroupid"),
+        F.lit(d["covtype"]).alias("covtype"),
+        F.lit(d["relation"]).alias("relation"),
+        F.col("memid").alias("subscriberid"),
+        F.lit(None).cast("string").alias("pcpid"),
+        F.lit(None).cast("string").alias("pcpassigndate"),
+        F.lit(d["eligstatus"]).alias("eligstatus"),
+        ts.alias("createdate"),
+        ts.alias("modifydate"),
+        ts.cast("timestamp_ntz").alias("_loaded_at"),
+    )
+    return conform(rows, RAW_SCHEMAS["mbrelig"])

@@ -256,3 +256,12 @@ select *, md5(coalesce(cast(member_id as varchar), '') || '|' || coalesce(cast(u
 from (select distinct * from (select * from snap_member_v1 union all select * from snap_member_v2
                               union all select * from snap_member_v3) u
       where updated_at is not null) c""")
+
+model("setup_eligibility", """
+select memid, memid || '-ELIG001' as eligid, '20240101' as effdate, '20241231' as termdate, 'COM' as lobid,
+  'PLAN001' as planid, 'Commercial Plan 001' as planname, 'PROD001' as productid, 'GRP001' as groupid,
+  cast(null as varchar) as subgroupid, 'MED' as covtype, 'S' as relation, memid as subscriberid,
+  cast(null as varchar) as pcpid, cast(null as varchar) as pcpassigndate, 'A' as eligstatus,
+  '2001-06-01 00:00:00' as createdate, '2001-06-01 00:00:00' as modifydate,
+  timestamp '2001-06-01 00:00:00' as _loaded_at
+from raw_member""")
