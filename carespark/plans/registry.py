@@ -236,7 +236,13 @@ def _stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 register("stream_upsert", _stream_upsert)
-ORACLE_ONLY_SQL["stream_upsert"] = lambda: __import__("oracle.sql", fromlist=["query"]).query("incremental_upsert")
+def _stream_upsert_sql() -> str:
+    from oracle.sql import query  # the streamed loads must equal the batch upsert
+
+    return query("incremental_upsert")
+
+
+ORACLE_ONLY_SQL["stream_upsert"] = _stream_upsert_sql
 register("snapshot_changes", lambda s, d: scenarios.snapshot_changes(_wh(s, d).stg("stg_member")))
 
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+from carespark.functions.cleaning import CLAIM_STATUS_REFERENCE
 from carespark.operators.quality import Check
 from carespark.plans import checks, scenarios
 
-from . import sql as osql
 from .sql import AS_OF_SQL, MODELS, model, ratio
 
 # ------------------------------------------------------------ incremental
@@ -182,8 +182,7 @@ select c.claim_id, c.member_golden_id, g.full_name, g.source_systems, c.service_
 from fct_claim_conformed c join dim_golden_member g on c.member_golden_id = g.golden_member_id""")
 
 _STATUS_VALUES = ", ".join(
-    f"('{a}', '{b}', '{c}', {str(d).lower()}, {str(e).lower()})"
-    for a, b, c, d, e in __import__("carespark.functions", fromlist=["x"]).CLAIM_STATUS_REFERENCE)
+    f"('{a}', '{b}', '{c}', {str(d).lower()}, {str(e).lower()})" for a, b, c, d, e in CLAIM_STATUS_REFERENCE)
 model("status_lookup", f"""
 select c.claim_id, c.claim_status_code, r.status_name, r.status_category, r.is_final, r.is_payable
 from stg_clclaim c left join (values {_STATUS_VALUES}) r(status_code, status_name, status_category, is_final, is_payable)
@@ -200,7 +199,6 @@ model("conform_schema", "select " + ", ".join(
     c if c in _SEED_MEMBER else f"cast(null as varchar) as {c}" for c in _WIDE_MEMBER)
     + ", _loaded_at from raw_member")
 
-__all__ = ["osql"]
 
 
 # ----------------------------------------------------------- column helpers
