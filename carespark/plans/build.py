@@ -27,45 +27,72 @@ LAYERS = {
 }
 
 
+def _run_level(jobs: dict, threads: int) -> dict[str, DataFrame]:
+    """Run independent model writes of one dependency level as concurrent Spark jobs."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    if threads <= 1 or len(jobs) == 1:
+        return {name: fn() for name, fn in jobs.items()}
+    with ThreadPoolExecutor(max_workers=min(threads, len(jobs))) as pool:
+        futures = {name: pool.submit(fn) for name, fn in jobs.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def build(spark: SparkSession, wh: Warehouse, root: str | None = None, default_schema: str = "ANALYTICS",
-          as_of: dt.date = AS_OF) -> dict[str, DataFrame]:
+          as_of: dt.date = AS_OF, threads: int = 4) -> dict[str, DataFrame]:
+    """Write silver then gold, level by level; models of one level run as concurrent jobs."""
     root = root or f"{work_root(spark).rstrip('/')}/warehouse"
     out: dict[str, DataFrame] = {}
 
-    def publish(name: str, df: DataFrame) -> DataFrame:
+    def publish(name: str, make) -> DataFrame:
         table = VersionedTable(spark, layer_path(root, schema_name(LAYERS[name], default_schema), name))
-        written = table.write(with_audit(df)).drop("dbt_updated_at")
-        out[name] = written
-        return written
+        return table.write(with_audit(make())).drop("dbt_updated_at")
+
+    def level(models: dict) -> None:
+        out.update(_run_level({n: (lambda n=n, f=f: publish(n, f)) for n, f in models.items()}, threads))
 
     stg = wh.stg
-    publish("dim_date", wh.dim_date)
-    dim_member = publish("dim_member", wh.dim_member)
-    dim_provider = publish("dim_provider", wh.dim_provider)
-    publish("dim_diagnosis", wh.dim_diagnosis)
-    gm = publish("dim_golden_member", wh.dim_golden_member)
-    gp = publish("dim_golden_provider", wh.dim_golden_provider)
-    fct = publish("fct_claim", core.fct_claim(stg("stg_clclaim"), stg("stg_clline"), dim_member, dim_provider))
-    publish("fct_claim_conformed", core.fct_claim_conformed(
-        stg("stg_clclaim"), stg("stg_clline"), stg("stg_member_crosswalk"), stg("stg_provider_crosswalk"),
-        gm, gp, dim_member, dim_provider, wh.source_system))
-    summary = publish("mart_claims_summary", marts.mart_claims_summary(fct, dim_member))
-    months = publish("mart_member_months", marts.mart_member_months(stg("stg_mbrelig"), as_of))
-    publish("mart_medical_expense", marts.mart_medical_expense(summary, months))
+    level({
+        "dim_date": lambda: wh.dim_date,
+        "dim_member": lambda: wh.dim_member,
+        "dim_provider": lambda: wh.dim_provider,
+        "dim_diagnosis": lambda: wh.dim_diagnosis,
+        "mart_member_months": lambda: marts.mart_member_months(stg("stg_mbrelig"), as_of),
+    })
+    level({
+        "dim_golden_member": lambda: core.dim_golden_member(
+            stg("stg_golden_member"), stg("stg_member_crosswalk"), stg("stg_member"), as_of, wh.source_system),
+        "dim_golden_provider": lambda: core.dim_golden_provider(
+            stg("stg_golden_provider"), stg("stg_provider_crosswalk"), stg("stg_provider"), wh.source_system),
+        "fct_claim": lambda: core.fct_claim(stg("stg_clclaim"), stg("stg_clline"), out["dim_member"],
+                                            out["dim_provider"]),
+    })
+    level({
+        "fct_claim_conformed": lambda: core.fct_claim_conformed(
+            stg("stg_clclaim"), stg("stg_clline"), stg("stg_member_crosswalk"), stg("stg_provider_crosswalk"),
+            out["dim_golden_member"], out["dim_golden_provider"], out["dim_member"], out["dim_provider"],
+            wh.source_system),
+        "mart_claims_summary": lambda: marts.mart_claims_summary(out["fct_claim"], out["dim_member"]),
+    })
+    level({"mart_medical_expense": lambda: marts.mart_medical_expense(out["mart_claims_summary"],
+                                                                       out["mart_member_months"])})
     return out
 
 
-def materialize(spark: SparkSession, wh: Warehouse, root: str, staging_names=None) -> dict[str, DataFrame]:
-    """Write the staging views that are asked for, then build every layer on top
-    of the *written* staging tables.  Returns every model read back from storage."""
+def materialize(spark: SparkSession, wh: Warehouse, root: str, staging_names=None,
+                threads: int = 4) -> dict[str, DataFrame]:
+    """Write the staging views that are asked for (concurrently), then build every
+    layer on top of the *written* staging tables.  Returns every model read back."""
     from . import staging as stg_mod
 
     written = Warehouse(wh.raw, spark, as_of=wh.as_of, source_system=wh.source_system)
-    out: dict[str, DataFrame] = {}
-    for name in staging_names or list(stg_mod.STAGING):
+    names = list(staging_names or stg_mod.STAGING)
+
+    def land(name: str) -> DataFrame:
         table = VersionedTable(spark, layer_path(root, schema_name("bronze", "ANALYTICS"), name))
-        df = table.write(wh.stg(name))
-        written._staged[name] = df
-        out[name] = df
-    out.update(build(spark, written, root=root, as_of=wh.as_of))
+        return table.write(wh.stg(name))
+
+    out = _run_level({n: (lambda n=n: land(n)) for n in names}, threads)
+    written._staged.update(out)
+    out.update(build(spark, written, root=root, as_of=wh.as_of, threads=threads))
     return out
