@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import ntz_lit
 from ..session import work_root
+from ..sources.adapter import LOAD_PARTITION
 from ..sources.io import VersionedTable
 
 LOADED_AT = "_loaded_at"
@@ -37,7 +38,11 @@ def after_watermark(src: DataFrame, wm, col: str = LOADED_AT) -> DataFrame:
     if wm is None:
         return src
     lit = ntz_lit(wm) if isinstance(wm, dt.datetime) else F.lit(wm)
-    return src.filter(F.col(col) > lit.cast(src.schema[col].dataType))
+    out = src.filter(F.col(col) > lit.cast(src.schema[col].dataType))
+    if LOAD_PARTITION in src.columns and isinstance(wm, dt.datetime):
+        # Extracts landed by load month: also prune whole month folders.
+        out = out.filter(F.col(LOAD_PARTITION) >= F.lit(wm.date().replace(day=1)))
+    return out
 
 
 def after_watermark_of(src: DataFrame, target: DataFrame, col: str = LOADED_AT) -> DataFrame:
@@ -100,9 +105,17 @@ class IncrementalTable(VersionedTable):
         self.key = key
         self.on_duplicate = on_duplicate
 
-    def upsert(self, batch: DataFrame) -> DataFrame:
-        """Keep batch rows past the watermark, merge them by key, publish a new version."""
+    def upsert(self, batch: DataFrame, stage=None) -> DataFrame:
+        """Keep batch rows past the watermark, merge them by key, publish a new version.
+
+        With ``stage`` the batch is a *raw* extract: the watermark is applied to
+        the raw scan first (pushed to parquet, month folders pruned), then the
+        surviving rows are staged.  Staging passes ``_loaded_at`` through, so
+        both orders give the same rows.
+        """
         target = self.read()
         fresh = after_watermark(batch, watermark(target))
+        if stage is not None:
+            fresh = stage(fresh)
         fresh = dedupe_batch(fresh, self.key, self.on_duplicate)
         return self.write(merge_upsert(target, fresh, self.key))

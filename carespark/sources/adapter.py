@@ -20,6 +20,7 @@ import datetime as _dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import default_parallelism
 
@@ -468,6 +469,11 @@ def read_driver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # into the path, so a verified path never goes stale).
 _VERIFIED: set[str] = set()
 
+# Extracts loaded incrementally: landed partitioned by load month so a
+# watermark read prunes whole folders (see ``operators.upsert.after_watermark``).
+INCREMENTAL_SOURCES = {"clclaim", "clline", "cldiag", "clproc", "cladjust"}
+LOAD_PARTITION = "load_month"
+
 # Extracts derived from the large driver tables are landed with this many
 # partitions per default-parallelism slot; the small ones as a single file.
 LARGE_SOURCES = {"orders", "lineitem", "events", "customer"}
@@ -508,7 +514,7 @@ class RawSource:
         from ..session import work_root
 
         _, deps = RAW_BUILDERS[name]
-        h = hashlib.md5(raw_sql(name, SPARK).encode())
+        h = hashlib.md5((raw_sql(name, SPARK) + ("|by-load-month" if name in INCREMENTAL_SOURCES else "")).encode())
         h.update(self.sf_dir.encode())
         for t in sorted(deps):
             st = os.stat(f"{self.sf_dir}/{t}.parquet") if os.path.exists(f"{self.sf_dir}/{t}.parquet") else None
@@ -527,11 +533,19 @@ class RawSource:
                 if path not in _VERIFIED and table.current_path() is None:
                     df = self.derived(name)
                     _, deps = RAW_BUILDERS[name]
-                    if LARGE_SOURCES & set(deps):
+                    parts = None
+                    if name in INCREMENTAL_SOURCES:
+                        # Range partitioning on the load time: every task holds a
+                        # contiguous slice of loads (never a whole month of a hot
+                        # source in one task) and writes few month folders.
+                        df = (df.withColumn(LOAD_PARTITION, F.trunc(F.to_date("_loaded_at"), "MM"))
+                                .repartitionByRange(default_parallelism(self.spark), "_loaded_at"))
+                        parts = [LOAD_PARTITION]
+                    elif LARGE_SOURCES & set(deps):
                         df = df.repartition(default_parallelism(self.spark))
                     else:
                         df = df.coalesce(1)
-                    table.write(df)
+                    table.write(df, partition_by=parts)
                 _VERIFIED.add(path)
                 self._raw[name] = self.spark.read.parquet(table.version_path(1))
         return self._raw[name]

@@ -109,3 +109,19 @@ def test_type_rule_and_freshness(spark):
     assert rep.failures == 0
     f = quality.freshness({"s": df}, "2024-01-02 12:00:00").first()
     assert (f.age_hours, f.status) == (36.0, "warn")
+
+
+def test_upsert_from_raw_prunes_and_matches(spark, wh):
+    """Watermark on the raw (month-partitioned) extract, then stage == stage, then watermark."""
+    from carespark.plans import scenarios, staging
+
+    raw = wh.raw["cladjust"]
+    assert "load_month" in raw.columns
+    b1, b2 = scenarios.adjustment_batches(raw)
+    root = tempfile.mkdtemp(prefix="carespark-raw-")
+    t = upsert.IncrementalTable(spark, "adj", "claim_adjustment_id", root=root)
+    t.upsert(b1, stage=staging.stg_cladjust)
+    got = t.upsert(b2, stage=staging.stg_cladjust)
+    expect = scenarios.incremental_upsert(raw)
+    assert got.count() == expect.count()
+    assert got.exceptAll(expect.select(*got.columns)).count() == 0
