@@ -27,6 +27,11 @@ from .. import functions as fx
 
 OPEN_END = dt.date(9999, 12, 31)
 
+# The golden dimensions publish source-specific columns with the
+# prefix ``qnxt_`` (qnxt_member_id, is_qnxt_primary, qnxt_status_code, ...) and
+# filter the crosswalk on the source system 'QNXT' by default.  Both are part of
+# the published schema / data contract, so they are kept verbatim.
+
 
 # ------------------------------------------------------------------ dim_date
 def date_spine(start: Column, end: Column) -> Column:
