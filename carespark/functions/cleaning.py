@@ -23,6 +23,26 @@ def _as_text(c: ColumnOrName) -> Column:
     return _c(c).cast("string")
 
 
+# A helper given a plain column *name* emits one SQL expression (one JVM call
+# to build) instead of a tree of Column calls; a helper given a Column uses the
+# Column API.  Both produce the same Catalyst expression.
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _text_sql(name: str) -> str:
+    return f"cast({_ident(name)} as string)"
+
+
+def _quote(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _case_sql(key_sql: str, labels: Mapping[str, str], default_sql: str) -> str:
+    whens = " ".join(f"when {_quote(k)} then {_quote(v)}" for k, v in labels.items())
+    return f"case {key_sql} {whens} else {default_sql} end"
+
+
 # --------------------------------------------------------------------------
 # Code -> label maps.  These must equal the source system's
 # code tables for results to match; they are listed in their natural order.
@@ -86,14 +106,40 @@ def map_code(key: Column, labels: Mapping[str, str], default: Column | str | Non
 # ----------------------------------------------------------------- strings
 def clean_string(c: ColumnOrName) -> Column:
     """Trim spaces; empty string becomes NULL."""
+    if isinstance(c, str):
+        return F.expr(f"nullif(trim({_text_sql(c)}), '')")
     return F.nullif(F.trim(_as_text(c)), F.lit(""))
 
 
+def _code_sql(name: str) -> str:
+    return f"upper(trim({_text_sql(name)}))"
+
+
 def normalize_code(c: ColumnOrName) -> Column:
     """``upper(trim(c))`` - used for natural ids and codes."""
+    if isinstance(c, str):
+        return F.expr(_code_sql(c))
     return F.upper(F.trim(_as_text(c)))
 
 
+def _mapped(c: ColumnOrName, labels: Mapping[str, str], default: str | None, normalize: bool = True,
+            default_raw: bool = False, default_code: bool = False) -> Column:
+    """Code -> label over ``upper(trim(c))`` (or the raw text); the ELSE is a
+    literal, NULL, the raw input or the normalised code."""
+    if isinstance(c, str):
+        key = _code_sql(c) if normalize else _text_sql(c)
+        if default_raw:
+            other = _text_sql(c)
+        elif default_code:
+            other = _code_sql(c)
+        else:
+            other = "cast(null as string)" if default is None else _quote(default)
+        return F.expr(_case_sql(key, labels, other))
+    key = normalize_code(c) if normalize else _as_text(c)
+    other = _as_text(c) if default_raw else normalize_code(c) if default_code else default
+    return map_code(key, labels, other)
+
+
 format_member_id = normalize_code
 format_provider_id = normalize_code
 format_claim_id = normalize_code
@@ -101,52 +147,54 @@ format_claim_id = normalize_code
 
 def claim_status(c: ColumnOrName) -> Column:
     """Status label from the *raw* code: no trim, no upper (so ' a' is Unknown)."""
-    return map_code(_as_text(c), CLAIM_STATUS_LABELS, "Unknown")
+    return _mapped(c, CLAIM_STATUS_LABELS, "Unknown", normalize=False)
 
 
 def gender(c: ColumnOrName) -> Column:
-    return map_code(normalize_code(c), GENDER_LABELS, "Unknown")
+    return _mapped(c, GENDER_LABELS, "Unknown")
 
 
 def member_status(c: ColumnOrName) -> Column:
-    return map_code(normalize_code(c), MEMBER_STATUS_LABELS, "Unknown")
+    return _mapped(c, MEMBER_STATUS_LABELS, "Unknown")
 
 
 def line_of_business(c: ColumnOrName) -> Column:
     """Known codes map to names; anything else passes through *unchanged* (untrimmed)."""
-    return map_code(normalize_code(c), LINE_OF_BUSINESS_LABELS, _as_text(c))
+    return _mapped(c, LINE_OF_BUSINESS_LABELS, None, default_raw=True)
 
 
 def claim_type(c: ColumnOrName) -> Column:
-    return map_code(normalize_code(c), CLAIM_TYPE_LABELS, "Unknown")
+    return _mapped(c, CLAIM_TYPE_LABELS, "Unknown")
 
 
 def diagnosis_type(c: ColumnOrName) -> Column:
-    return map_code(normalize_code(c), DIAGNOSIS_TYPE_LABELS, "Unknown")
+    return _mapped(c, DIAGNOSIS_TYPE_LABELS, "Unknown")
 
 
 def procedure_type(c: ColumnOrName) -> Column:
-    return map_code(normalize_code(c), PROCEDURE_TYPE_LABELS, "Unknown")
+    return _mapped(c, PROCEDURE_TYPE_LABELS, "Unknown")
 
 
 def diagnosis_code_system(c: ColumnOrName) -> Column:
-    return map_code(normalize_code(c), DIAGNOSIS_SYSTEM_LABELS, normalize_code(c))
+    return _mapped(c, DIAGNOSIS_SYSTEM_LABELS, None, default_code=True)
 
 
 def poa_description(c: ColumnOrName) -> Column:
-    return map_code(normalize_code(c), POA_LABELS, None)
+    return _mapped(c, POA_LABELS, None)
 
 
 def entity_type(c: ColumnOrName) -> Column:
-    return map_code(normalize_code(c), ENTITY_TYPE_LABELS, "Unknown")
+    return _mapped(c, ENTITY_TYPE_LABELS, "Unknown")
 
 
 def provider_status(c: ColumnOrName) -> Column:
-    return map_code(normalize_code(c), PROVIDER_STATUS_LABELS, "Unknown")
+    return _mapped(c, PROVIDER_STATUS_LABELS, "Unknown")
 
 
 def yes_flag(c: ColumnOrName) -> Column:
     """'Y' (any case / padding) -> true, everything else including NULL -> false."""
+    if isinstance(c, str):
+        return F.expr(f"coalesce({_code_sql(c)} = 'Y', false)")
     return F.coalesce(normalize_code(c) == F.lit("Y"), F.lit(False))
 
 

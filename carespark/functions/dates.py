@@ -12,7 +12,7 @@ import datetime as _dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .cleaning import ColumnOrName, _as_text, _c
+from .cleaning import ColumnOrName, _as_text, _c, _text_sql
 
 
 def as_date(d: _dt.date | str | Column) -> Column:
@@ -43,6 +43,13 @@ def parse_date(c: ColumnOrName) -> Column:
     ``yyyy-MM-dd``, then ``dd-MMM-yyyy``, then ``MM/dd/yyyy``.  Anything
     unparsable is NULL, never an error.
     """
+    if isinstance(c, str):
+        t = f"trim({_text_sql(c)})"
+        return F.expr(
+            f"case when {t} is null or {t} = '' or {t} = '0' then cast(null as date) "
+            f"when length({t}) = 8 then try_to_date({t}, 'yyyyMMdd') "
+            f"else coalesce(try_to_date({t}, 'yyyy-MM-dd'), try_to_date({t}, 'dd-MMM-yyyy'), "
+            f"try_to_date({t}, 'MM/dd/yyyy')) end")
     t = F.trim(_as_text(c))
     other = F.coalesce(
         F.try_to_date(t, "yyyy-MM-dd"),
@@ -58,6 +65,9 @@ def parse_date(c: ColumnOrName) -> Column:
 
 def parse_datetime(c: ColumnOrName) -> Column:
     """Tolerant timestamp parse to a zone-less timestamp; blank/unparsable -> NULL."""
+    if isinstance(c, str):
+        t = f"trim({_text_sql(c)})"
+        return F.expr(f"case when {t} = '' then cast(null as timestamp_ntz) else try_cast({t} as timestamp_ntz) end")
     t = F.trim(_as_text(c))
     return F.when(t == "", F.lit(None).cast("timestamp_ntz")).otherwise(t.try_cast("timestamp_ntz"))
 

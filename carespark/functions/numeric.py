@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .cleaning import ColumnOrName, _as_text, _c
+from .cleaning import ColumnOrName, _as_text, _c, _ident, _text_sql
 
 MONEY = "decimal(18,2)"
 MONEY_SUM = "decimal(38,2)"
@@ -21,6 +21,10 @@ def amount(c: ColumnOrName, default: int | float | None = 0) -> Column:
 
     Under ANSI mode non-numeric text raises instead of silently becoming NULL.
     """
+    if isinstance(c, str):
+        parsed = (f"case when {_ident(c)} is null or {_text_sql(c)} = '' then cast(null as {MONEY}) "
+                  f"else cast({_ident(c)} as {MONEY}) end")
+        return F.expr(parsed if default is None else f"coalesce({parsed}, cast({default!r} as {MONEY}))")
     raw = _c(c)
     parsed = F.when(raw.isNull() | (_as_text(raw) == ""), F.lit(None).cast(MONEY)).otherwise(raw.cast(MONEY))
     if default is None:
@@ -30,6 +34,9 @@ def amount(c: ColumnOrName, default: int | float | None = 0) -> Column:
 
 def int_or_null(c: ColumnOrName) -> Column:
     """NULL or '' -> NULL; otherwise a strict integer cast."""
+    if isinstance(c, str):
+        return F.expr(f"case when {_ident(c)} is null or {_text_sql(c)} = '' then cast(null as int) "
+                      f"else cast({_ident(c)} as int) end")
     raw = _c(c)
     return F.when(raw.isNull() | (_as_text(raw) == ""), F.lit(None).cast("int")).otherwise(raw.cast("int"))
 
@@ -58,6 +65,26 @@ def round_ratio(num: Column, den: Column, digits: int) -> Column:
     return F.when(den.isNull() | (den == 0), F.lit(None).cast("double")).otherwise((q * sign) / F.lit(scale))
 
 
+def ratio_sql(num: str, den: str, digits: int) -> str:
+    """SQL text of :func:`round_ratio` for SQL-text operands (one JVM call to build)."""
+    scale = 10**digits
+    n = f"cast(abs({num}) as decimal(38,0))"
+    d = f"cast(abs({den}) as decimal(38,0))"
+    return (f"case when ({den}) is null or ({den}) = 0 then cast(null as double) else "
+            f"(({n} * {2 * scale} + {d}) div ({d} * 2)) * cast(signum({num}) * signum({den}) as bigint) / {scale} end")
+
+
+def ratio_expr(num: str, den: str, digits: int, guard: str | None = None) -> Column:
+    """``round(num/den, digits)`` from SQL-text operands; with ``guard`` the result
+    is the ratio when the guard holds and 0 otherwise."""
+    r = ratio_sql(num, den, digits)
+    return F.expr(r if guard is None else f"case when {guard} then {r} else 0.0 end")
+
+
+def cents_sql(x: str) -> str:
+    return f"cast({x} * 100 as bigint)"
+
+
 def guarded_ratio(num: Column, den: Column, digits: int) -> Column:
     """``case when den > 0 then round(num/den, digits) else 0 end``."""
     return F.when(den > 0, round_ratio(num, den, digits)).otherwise(F.lit(0.0))
