@@ -30,7 +30,8 @@ def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, st
     stream = reader.parquet(source_dir)
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        table.upsert(stage(batch))
+        # Watermark on the raw micro-batch first, then stage the survivors.
+        table.upsert(batch, stage=stage)
 
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

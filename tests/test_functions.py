@@ -100,3 +100,13 @@ def test_surrogate_key_null_token(spark):
     got = df.select(fx.surrogate_key("x", "y")).first()[0]
     import hashlib
     assert got == hashlib.md5(b"a-_dbt_utils_surrogate_key_null_").hexdigest()
+
+
+def test_ratio_sql_matches_column_ratio(spark):
+    df = spark.createDataFrame([(1005, 1000), (201, 200), (-1005, 1000), (1, 0), (2, 3), (None, 5), (7, None)],
+                               "n long, d long")
+    a = [r[0] for r in df.select(fx.round_ratio(F.col("n"), F.col("d"), 2)).collect()]
+    b = [r[0] for r in df.select(fx.ratio_expr("n", "d", 2)).collect()]
+    assert a == b == [1.01, 1.01, -1.01, None, 0.67, None, None]
+    g = [r[0] for r in df.select(fx.ratio_expr("n", "d", 1, guard="d > 0")).collect()]
+    assert g == [1.0, 1.0, -1.0, 0.0, 0.7, None, 0.0]
