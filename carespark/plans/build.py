@@ -38,18 +38,43 @@ def _run_level(jobs: dict, threads: int) -> dict[str, DataFrame]:
         return {name: f.result() for name, f in futures.items()}
 
 
+# Written models each model reads (only silver/gold; staging is always available).
+DEPENDS = {
+    "fct_claim": {"dim_member", "dim_provider"},
+    "fct_claim_conformed": {"dim_golden_member", "dim_golden_provider", "dim_member", "dim_provider"},
+    "mart_claims_summary": {"fct_claim", "dim_member"},
+    "mart_medical_expense": {"mart_claims_summary", "mart_member_months"},
+}
+
+
+def needed(targets) -> set[str]:
+    todo, seen = list(targets), set()
+    while todo:
+        n = todo.pop()
+        if n not in seen:
+            seen.add(n)
+            todo.extend(DEPENDS.get(n, ()))
+    return seen
+
+
 def build(spark: SparkSession, wh: Warehouse, root: str | None = None, default_schema: str = "ANALYTICS",
-          as_of: dt.date = AS_OF, threads: int = 4) -> dict[str, DataFrame]:
-    """Write silver then gold, level by level; models of one level run as concurrent jobs."""
+          as_of: dt.date = AS_OF, threads: int = 4, only=None) -> dict[str, DataFrame]:
+    """Write silver then gold, level by level; models of one level run as concurrent jobs.
+
+    ``only`` restricts the build to those models and what they read.
+    """
     root = root or f"{work_root(spark).rstrip('/')}/warehouse"
     out: dict[str, DataFrame] = {}
+    wanted = needed(only) if only is not None else set(LAYERS)
 
     def publish(name: str, make) -> DataFrame:
         table = VersionedTable(spark, layer_path(root, schema_name(LAYERS[name], default_schema), name))
         return table.write(with_audit(make())).drop("dbt_updated_at")
 
     def level(models: dict) -> None:
-        out.update(_run_level({n: (lambda n=n, f=f: publish(n, f)) for n, f in models.items()}, threads))
+        jobs = {n: (lambda n=n, f=f: publish(n, f)) for n, f in models.items() if n in wanted}
+        if jobs:
+            out.update(_run_level(jobs, threads))
 
     stg = wh.stg
     level({
@@ -80,7 +105,7 @@ def build(spark: SparkSession, wh: Warehouse, root: str | None = None, default_s
 
 
 def materialize(spark: SparkSession, wh: Warehouse, root: str, staging_names=None,
-                threads: int = 4) -> dict[str, DataFrame]:
+                threads: int = 4, only=None) -> dict[str, DataFrame]:
     """Write the staging views that are asked for (concurrently), then build every
     layer on top of the *written* staging tables.  Returns every model read back."""
     from . import staging as stg_mod
@@ -94,5 +119,5 @@ def materialize(spark: SparkSession, wh: Warehouse, root: str, staging_names=Non
 
     out = _run_level({n: (lambda n=n: land(n)) for n in names}, threads)
     written._staged.update(out)
-    out.update(build(spark, written, root=root, as_of=wh.as_of, threads=threads))
+    out.update(build(spark, written, root=root, as_of=wh.as_of, threads=threads, only=only))
     return out
