@@ -60,3 +60,12 @@ def test_seed_csv_and_conform(spark):
     r = wide.first()
     assert wide.columns == [f.name for f in RAW_SCHEMAS["member"].fields]
     assert (r.memid, r.lname, r.mname) == ("MEM1", "O\"Neil", None)
+
+
+def test_build_dependency_closure():
+    from carespark.plans.build import LAYERS, needed
+
+    assert needed(["mart_medical_expense"]) == {"mart_medical_expense", "mart_claims_summary", "mart_member_months",
+                                                "fct_claim", "dim_member", "dim_provider"}
+    assert needed(["dim_date"]) == {"dim_date"}
+    assert needed(LAYERS) == set(LAYERS)
