@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, search, sharding
+from . import bpe, mixing, search, sharding, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sharding": sharding.op3_sharding,
+    "op5_bpe": bpe.op5_bpe,
     "op6_topk": search.op6_topk,
+    "op7_wavelet": wavelet.op7_wavelet,
     "op9_mixing": mixing.op9_mixing,
 }
 
