@@ -6,17 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, search, sharding, wavelet
+from . import bpe, fingerprint, lines, mixing, search, sharding, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sharding": sharding.op3_sharding,
+    "op4_lines": lines.op4_lines,
     "op5_bpe": bpe.op5_bpe,
     "op6_topk": search.op6_topk,
     "op7_wavelet": wavelet.op7_wavelet,
     "op9_mixing": mixing.op9_mixing,
+    "op10_merkle": fingerprint.op10_merkle,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_lines": lines.OP4_SQL,
     "op6_topk": search.OP6_SQL,
     "op9_mixing": mixing.OP9_SQL,
+    "op10_merkle": fingerprint.OP10_SQL,
 }
