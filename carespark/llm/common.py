@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Sequence
 
@@ -16,8 +17,19 @@ WORD = r"[^\x20\x09-\x0D]+"
 _PLACE_BITS = 33
 
 
+_PACKAGE = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; Python workers of the session are told where this package lies."""
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if _PACKAGE not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(p for p in [_PACKAGE, *paths] if p)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return table(spark, sf_dir, "documents")
 
 
 def scratch(spark: SparkSession, label: str) -> str:

@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprint, lines, mixing, search, sharding, toxicity, wavelet
+from . import bpe, fingerprint, lines, minhash, mixing, search, sharding, toxicity, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.op1_toxicity,
+    "op2_minhash": minhash.op2_minhash,
     "op3_sharding": sharding.op3_sharding,
     "op4_lines": lines.op4_lines,
     "op5_bpe": bpe.op5_bpe,

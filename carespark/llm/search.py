@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from .common import table
+
 BLOCK_ROWS = 65_536
 QUERY_ROWS = 4_096
 DIM_BLOCK = 8
@@ -132,7 +134,7 @@ def top_k(vectors: DataFrame, id_col: str, ints: str, is_query: Column, k: int =
 
 
 def op6_topk(spark, sf_dir: str) -> DataFrame:
-    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", whole("embedding").alias("ints"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", whole("embedding").alias("ints"))
     return top_k(vectors, "vec_id", "ints", F.col("vec_id") % 50 == 0)
 
 

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents, free, saved
+from .common import documents, free, saved, table
 from .pieces import Memo
 
 FEATURES = 1 << 20
@@ -229,6 +229,6 @@ def reject(docs: DataFrame, model: Model, text: str = "text", threshold: float =
 
 def op1_toxicity(spark, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    model = learned(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    model = learned(docs, table(spark, sf_dir, "labels"))
     return score(docs, model).select("doc_id", held_out("doc_id").alias("held_out"), "score",
                                      (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
