@@ -151,13 +151,13 @@ def _values(x: pa.ListScalar):
     return None if x.values is None else x.values.to_numpy(zero_copy_only=False)
 
 
-def digests(docs: DataFrame, path: str = RANKS) -> DataFrame:
-    """doc_id, n_tokens and the digests of the ids and of the bytes that they decode to."""
+def digests(docs: DataFrame, path: str = RANKS, keep_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens and the digests of the ids and of the bytes that they decode to (and the ids)."""
     tokens = encode(docs.select("doc_id", "text"), "text", "ids", path).select("doc_id", "ids")
     return decode(tokens, "ids", "decoded", path).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+        F.sha2("decoded", 256).alias("decoded_sha256"), *(["ids"] if keep_ids else []))
 
 
 def op5_bpe(spark, sf_dir: str) -> DataFrame:

@@ -80,20 +80,19 @@ def numbered(df: DataFrame, order: Sequence[Column], label: str, name: str) -> D
             .withColumn(name, F.col(start) + F.col(place)).drop(part, place, start))
 
 
-def running_sum(df: DataFrame, group: str, order: Sequence[Column], value: str, label: str, name: str) -> DataFrame:
-    """df with the inclusive prefix sum of ``value`` (whole numbers) within ``group`` in ``order``.
+def ranked(df: DataFrame, group: str, order: Sequence[Column], label: str, name: str) -> DataFrame:
+    """df with the gapless row number from 1 within ``group`` in ``order`` as column ``name``.
 
     A group may hold any share of the rows: it is spread over range partitions,
-    summed inside each, and shifted by the sums of the partitions before.
-    ``order`` has to be fine enough to split a group (end it with a key).
+    and a row's number is its distance from the group's first row in its
+    partition plus the group's rows in the partitions before.  Only one row
+    per group and partition is gathered.  ``order`` has to be fine enough to
+    split a group (end it with a key).
     """
     table, part, place = in_order(df, [F.col(group).asc_nulls_last(), *order], label)
-    inner, before = free(table, "inner"), free(table, "before")
-    g, p = free(table, "g"), free(table, "p")
-    w = Window.partitionBy(part, group).orderBy(place).rowsBetween(Window.unboundedPreceding, 0)
-    sums = table.groupBy(F.col(group).alias(g), F.col(part).alias(p)).agg(F.sum(value).alias(inner))
+    g, p, first, before = (free(table, x) for x in ("g", "p", "first", "before"))
+    runs = table.groupBy(F.col(group).alias(g), F.col(part).alias(p)).agg(F.min(place).alias(first), F.count("*").alias("rows"))
     earlier = Window.partitionBy(g).orderBy(p).rowsBetween(Window.unboundedPreceding, -1)
-    shifts = sums.select(g, p, F.coalesce(F.sum(inner).over(earlier), F.lit(0)).alias(before))
-    return (table.withColumn(inner, F.sum(value).over(w))
-            .join(shifts, (F.col(part) == F.col(p)) & F.col(group).eqNullSafe(F.col(g)))
-            .withColumn(name, F.col(inner) + F.col(before)).drop(part, place, inner, before, g, p))
+    runs = saved(runs.select(g, p, first, F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias(before)), f"{label}-runs")
+    return (table.join(runs, (F.col(part) == F.col(p)) & F.col(group).eqNullSafe(F.col(g)))
+            .withColumn(name, F.col(place) - F.col(first) + F.col(before) + 1).drop(part, place, first, before, g, p))

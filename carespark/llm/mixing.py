@@ -7,10 +7,11 @@ is found in closed form from the sources sorted by cap over weight).
 
 Sampling: a document's expected copies are target over size of its source, as
 a whole number of 2^-24 units.  Prefix-summed within the source in size order
-and shifted by one offset per source (from a hash of seed and source), a
-document is emitted once for every integer boundary its interval crosses.
+(a row's number times the rate) and shifted by one offset per source (from a
+hash of seed and source), a document is emitted once for every integer
+boundary its interval crosses.
 With one rate for a source, size order makes the taken words miss the target
-by about one largest document at most.  The prefix sum is spread over range
+by about one largest document at most.  Row numbers are dealt out over range
 partitions, so a source may hold any share of the rows.
 
 Defined cases: null size counts 0; a null source is a source of its own; a
@@ -25,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, documents, free, running_sum
+from .common import WORD, documents, free, ranked, saved
 
 WEIGHTS = (3, 1, 2)
 SHARE = (3, 2)  # of all sizes: 150 %
@@ -63,15 +64,17 @@ def mix(docs: DataFrame, source: str, size: str, order: Sequence[str], weights:
     """docs with source_size, target and copies (long): how often the mix takes the row."""
     t = targets(docs, source, size, weights, share, cap)
     key, want, total = free(docs, "mix_key"), free(docs, "target"), free(docs, "source_size")
-    t = t.select(F.col("mix_source").alias(key), F.col("source_size").alias(total), F.col("target").alias(want))
-    expected, upto, offset = free(docs, "expected"), free(docs, "upto"), free(docs, "offset")
+    t = saved(t.select(F.col("mix_source").alias(key), F.col("source_size").alias(total), F.col("target").alias(want)), "targets")
+    expected, turn, offset = free(docs, "expected"), free(docs, "turn"), free(docs, "offset")
     rate = F.when(F.col(total) > 0, F.floor(F.col(want) / F.col(total) * UNIT)).otherwise(0).cast("long")
-    rated = docs.join(t, F.col(source).eqNullSafe(F.col(key))).drop(key).withColumn(expected, rate)
-    summed = running_sum(rated, source, [F.col(size).asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in order]], expected, "mix", upto)
+    numbers = ranked(docs, source, [F.col(size).asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in order]], "mix", turn)
     named = F.concat(F.lit(f"{seed}:"), F.when(F.col(source).isNull(), F.lit("null")).otherwise(F.concat(F.lit("is:"), F.col(source))))
     start = F.conv(F.substring(F.md5(named), 1, 6), 16, 10).cast("long")  # 24 bits: one offset in [0, 1)
-    crossed = (F.shiftright(F.col(upto) + F.col(offset), 24) - F.shiftright(F.col(upto) - F.col(expected) + F.col(offset), 24))
-    return summed.withColumn(offset, start).withColumn(free(docs, "copies"), crossed).drop(expected, upto, offset)
+    # With one rate for a source, the prefix sum up to a row is its number times the rate.
+    upto = F.col(turn) * F.col(expected) + F.col(offset)
+    crossed = F.shiftright(upto, 24) - F.shiftright(upto - F.col(expected), 24)
+    return (numbers.join(t, F.col(source).eqNullSafe(F.col(key))).drop(key)
+            .withColumn(expected, rate).withColumn(offset, start).withColumn(free(docs, "copies"), crossed).drop(expected, turn, offset))
 
 
 def emit(mixed: DataFrame, copies: str = "copies") -> DataFrame:

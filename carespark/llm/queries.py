@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprint, lines, minhash, mixing, search, sharding, toxicity, wavelet
+from . import bpe, fingerprint, lines, minhash, mixing, search, sharding, substrings, toxicity, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe": bpe.op5_bpe,
     "op6_topk": search.op6_topk,
     "op7_wavelet": wavelet.op7_wavelet,
+    "op8_substrings": substrings.op8_substrings,
     "op9_mixing": mixing.op9_mixing,
     "op10_merkle": fingerprint.op10_merkle,
 }
