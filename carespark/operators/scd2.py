@@ -32,10 +32,6 @@ def _ts(value) -> Column:
     return ntz_lit(value)
 
 
-def snapshot_init(source: DataFrame, key: str, updated_at: str, run_ts) -> DataFrame:
-    return snapshot_merge(None, source, key, updated_at, run_ts)
-
-
 def snapshot_merge(history: DataFrame | None, source: DataFrame, key: str, updated_at: str, run_ts,
                    invalidate_hard_deletes: bool = True) -> DataFrame:
     run = _ts(run_ts)
@@ -53,8 +49,10 @@ def snapshot_merge(history: DataFrame | None, source: DataFrame, key: str, updat
 
     is_open = F.col("dbt_valid_to").isNull()
     closed = history.filter(~is_open)
-    j = history.filter(is_open).alias("h").join(source.alias("s"), F.col(f"h.{key}") == F.col(f"s.{key}"), "full")
-    in_h, in_s = F.col(f"h.{key}").isNotNull(), F.col(f"s.{key}").isNotNull()
+    # A literal marks which side a row comes from; a NULL key is a key like any other.
+    open_rows = history.filter(is_open).withColumn("_there", F.lit(True)).alias("h")
+    j = open_rows.join(source.withColumn("_there", F.lit(True)).alias("s"), F.col(f"h.{key}").eqNullSafe(F.col(f"s.{key}")), "full")
+    in_h, in_s = F.col("h._there").isNotNull(), F.col("s._there").isNotNull()
     newer = in_h & in_s & F.coalesce(F.col(f"s.{updated_at}") > F.col("h.dbt_updated_at"), F.lit(False))
     deleted = in_h & ~in_s
     j = j.withColumn("_newer", newer).withColumn("_deleted", deleted).withColumn("_insert", (~in_h & in_s) | newer)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import ntz_lit
 from ..session import work_root
-from ..sources.adapter import LOAD_PARTITION
+from ..sources.adapter import LOAD_PARTITION, load_month
 from ..sources.io import VersionedTable
 
 LOADED_AT = "_loaded_at"
@@ -40,11 +40,27 @@ def after_watermark(src: DataFrame, wm, col: str = LOADED_AT) -> DataFrame:
     lit = ntz_lit(wm) if isinstance(wm, dt.datetime) else F.lit(wm)
     out = src.filter(F.col(col) > lit.cast(src.schema[col].dataType))
     if LOAD_PARTITION in src.columns and isinstance(wm, dt.datetime):
-        # Extracts landed by load month: also prune whole month folders.
+        # Extracts landed by load month: also prune whole month folders.  The
+        # folder has to be that of the row's load time; a batch whose times were
+        # changed calls ``reload_month`` first, and ``checked_month`` guards writes.
         out = out.filter(F.col(LOAD_PARTITION) >= F.lit(wm.date().replace(day=1)))
     return out
 
 
+def reload_month(src: DataFrame, col: str = LOADED_AT) -> DataFrame:
+    """``src`` with the load month computed from its load time (after changing the latter)."""
+    return src.withColumn(LOAD_PARTITION, load_month(F.col(col))) if LOAD_PARTITION in src.columns else src
+
+
+def checked_month(src: DataFrame, col: str = LOADED_AT) -> DataFrame:
+    """Fails the job on a row whose load month is not that of its load time."""
+    if LOAD_PARTITION not in src.columns:
+        return src
+    stale = ~F.col(LOAD_PARTITION).eqNullSafe(load_month(F.col(col)))
+    guard = F.when(stale, F.raise_error(F.concat(F.lit("stale load month "), F.coalesce(F.col(LOAD_PARTITION).cast("string"), F.lit("null")))).cast("boolean"))
+    return src.filter(F.coalesce(guard, F.lit(True)))
+
+
 def after_watermark_of(src: DataFrame, target: DataFrame, col: str = LOADED_AT) -> DataFrame:
     """Lazy form: the target's max joins as a one-row broadcast side."""
     wm = target.agg(F.max(col).alias("_wm"))
@@ -63,8 +79,9 @@ def dedupe_batch(src: DataFrame, key: str, on_duplicate: str = "error", order_co
     if on_duplicate == "latest":
         rest = [c for c in src.columns if c not in (key, order_col)]
         best = F.max(F.struct(order_col, *rest)).alias("_r")
-        return src.groupBy(key).agg(best).select(key, *[F.col(f"_r.{c}").alias(c) for c in [order_col, *rest]]) \
-                  .select(*src.columns)
+        keyed = src.filter(F.col(key).isNotNull()).groupBy(key).agg(best)
+        keyed = keyed.select(key, *[F.col(f"_r.{c}").alias(c) for c in [order_col, *rest]]).select(*src.columns)
+        return keyed.unionByName(src.filter(F.col(key).isNull()))  # NULL keys never match: all of them stay
     if on_duplicate != "error":
         raise ValueError(f"unknown on_duplicate={on_duplicate!r}")
     # Count per key with map-side combine (a hot key never lands in one sort),
@@ -114,7 +131,7 @@ class IncrementalTable(VersionedTable):
         both orders give the same rows.
         """
         target = self.read()
-        fresh = after_watermark(batch, watermark(target))
+        fresh = after_watermark(checked_month(batch), watermark(target))
         if stage is not None:
             fresh = stage(fresh)
         fresh = dedupe_batch(fresh, self.key, self.on_duplicate)

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import session_id
+from ..sources.adapter import input_files
 from .warehouse import MODEL_NAMES, Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,14 +35,8 @@ def shared_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     reads and computes from the files.  A changed input file changes the
     fingerprint and therefore gets a fresh graph.
     """
-    import os
-
     sf = sf_dir.rstrip("/")
-    stamp = []
-    for t in ("customer", "supplier", "part", "orders", "lineitem", "events"):
-        p = f"{sf}/{t}.parquet"
-        st = os.stat(p) if os.path.exists(p) else None
-        stamp.append((t, st.st_size, st.st_mtime_ns) if st else (t, 0, 0))
+    stamp = [(t, str(input_files(spark, f"{sf}/{t}.parquet"))) for t in ("customer", "supplier", "part", "orders", "lineitem", "events")]
     key = (id(spark), session_id(spark), sf, tuple(stamp))
     if key not in _WAREHOUSES:
         _WAREHOUSES[key] = Warehouse.from_driver(spark, sf)

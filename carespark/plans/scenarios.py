@@ -37,7 +37,7 @@ def adjustment_batches(raw_adjust: DataFrame) -> tuple[DataFrame, DataFrame]:
                      .withColumn("_loaded_at", ts + F.expr("interval 20 days")))
     at_watermark = (b1.join(b1.agg(F.max("_loaded_at").alias("_wm")), ts == F.col("_wm"), "left_semi")
                       .withColumn("adjustdesc", F.lit("Late duplicate")))
-    return b1, later.unionByName(corrections).unionByName(at_watermark)
+    return b1, later.unionByName(upsert.reload_month(corrections)).unionByName(at_watermark)
 
 
 def staged_batches(raw_adjust: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -116,9 +116,13 @@ def snapshot_asof(staged_members: DataFrame, ts: dt.datetime = dt.datetime(2001,
     return scd2.as_of(snapshot_history(staged_members, "member"), ts)
 
 
-
 def snapshot_changes(staged_members: DataFrame) -> DataFrame:
-    """Bulk form: history rebuilt from the change log of all three member runs."""
-    v1, v2, v3 = snapshot_sources(staged_members, SNAPSHOTS["member"])
-    changes = v1.unionByName(v2).unionByName(v3).filter(F.col("updated_at").isNotNull()).distinct()
-    return scd2.history_from_changes(changes, "member_id", "updated_at")
+    """Bulk form: history rebuilt from the change log of all three member runs.
+
+    A version without a change time opens at the first run that shows it.
+    """
+    spec = SNAPSHOTS["member"]
+    versions = [v.withColumn("_run", ntz_lit(run)) for v, run in zip(snapshot_sources(staged_members, spec), SNAPSHOT_RUNS)]
+    seen = versions[0].unionByName(versions[1]).unionByName(versions[2]).groupBy(*spec[3]).agg(F.min("_run").alias("_run"))
+    changes = seen.withColumn("_opened", F.coalesce("updated_at", "_run")).drop("_run")
+    return scd2.history_from_changes(changes, "member_id", "_opened").drop("_opened")

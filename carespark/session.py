@@ -39,18 +39,20 @@ def work_root(spark: SparkSession) -> str:
     """Shared folder for written intermediates and versioned tables.
 
     This is the folder named by ``spark.checkpoint.dir`` (shared storage on a
-    cluster).  Only when the session has none - local tests - a fresh scratch
-    folder is registered as the checkpoint dir.
+    cluster), as the URI it is given as.  Only a local session may go without:
+    a fresh scratch folder is then registered as the checkpoint dir.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     sc = _context(spark)
     if not root and sc is not None:
         root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="carespark-ckpt-")
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
-    return root.removeprefix("file:")
+    return root
 
 
 def _context(spark: SparkSession):

@@ -247,13 +247,15 @@ _FN = {
 for _n, (_src, _cols) in _FN.items():
     model(_n, f"select {_cols} from {_src}")
 
-model("snapshot_changes", """
-select *, md5(coalesce(cast(member_id as varchar), '') || '|' || coalesce(cast(updated_at as varchar), '')) as dbt_scd_id,
-  updated_at as dbt_updated_at, updated_at as dbt_valid_from,
-  lead(updated_at) over (partition by member_id order by updated_at) as dbt_valid_to
-from (select distinct * from (select * from snap_member_v1 union all select * from snap_member_v2
-                              union all select * from snap_member_v3) u
-      where updated_at is not null) c""")
+_r1, _r2, _r3 = (f"timestamp '{r.isoformat(sep=' ')}'" for r in scenarios.SNAPSHOT_RUNS)
+model("snapshot_changes", f"""
+select c.* exclude (opened, first_run), md5(coalesce(cast(member_id as varchar), '') || '|' || coalesce(cast(opened as varchar), '')) as dbt_scd_id,
+  opened as dbt_updated_at, opened as dbt_valid_from,
+  lead(opened) over (partition by member_id order by opened) as dbt_valid_to
+from (select *, coalesce(updated_at, first_run) as opened
+      from (select * exclude (run), min(run) as first_run
+            from (select *, {_r1} as run from snap_member_v1 union all select *, {_r2} from snap_member_v2
+                  union all select *, {_r3} from snap_member_v3) u group by all) g) c""")
 
 model("setup_eligibility", """
 select memid, memid || '-ELIG001' as eligid, '20240101' as effdate, '20241231' as termdate, 'COM' as lobid,
