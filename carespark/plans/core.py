@@ -341,26 +341,53 @@ def _claim_day_metrics() -> list:
     ]
 
 
-def key_lookup(dim: DataFrame, id_col: str, key_col: str, alias: str) -> DataFrame:
-    """Narrow (id, key) projection of a dimension, aliased for one role."""
-    return dim.select(F.col(id_col).alias("id"), F.col(key_col).alias("key")).alias(alias)
+# Which id of the claim header each role looks up, and among whose ids.
+ROLES = (("member", "member", "member_id"), ("billing", "provider", "billing_provider_id"),
+         ("servicing", "provider", "servicing_provider_id"), ("referring", "provider", "referring_provider_id"))
+
+
+def key_links(dim: DataFrame, kind: str, id_col: str, key_col: str) -> DataFrame:
+    """(kind, id, link) rows of a dimension, a link being its key."""
+    return dim.select(F.lit(kind).alias("kind"), F.col(id_col).alias("id"), F.struct(F.col(key_col).alias("key")).alias("link"))
+
+
+def resolve_roles(claims: DataFrame, lines: DataFrame, links: DataFrame) -> DataFrame:
+    """Claims (alias ``c``) with their line roll-up (``cl``) and one struct per role (NULL: no link).
+
+    The ids of all roles are unpivoted without NULLs and meet the links (one
+    row per kind and id) in one join, so an optional role's NULLs never form a
+    hot key.  What a claim's ids resolve to comes back keyed by claim, so the
+    wide header is joined on ``claim_id`` only, and each role explodes its own
+    links: several links of an id fan a claim out as a left join would.
+    """
+    per_id = links.filter(F.col("id").isNotNull()).groupBy("kind", "id").agg(F.collect_list("link").alias("links"))
+    wanted = F.array_distinct(F.array(*[F.struct(F.lit(kind).alias("kind"), F.col(col).alias("id")) for _, kind, col in ROLES]))
+    ids = claims.select("claim_id", F.explode(wanted).alias("w")).select("claim_id", "w.kind", "w.id").filter(F.col("id").isNotNull())
+    refs = ids.join(per_id, ["kind", "id"]).groupBy("claim_id").agg(F.collect_set(F.struct("kind", "id", "links")).alias("refs")).alias("r")
+    rolled = line_rollup(lines).filter(F.col("claim_id").isNotNull()).alias("cl")
+    j = (claims.alias("c").join(rolled, F.col("c.claim_id").eqNullSafe(F.col("cl.claim_id")), "left")
+         .join(refs, F.col("c.claim_id").eqNullSafe(F.col("r.claim_id")), "left"))
+    for role, kind, col in ROLES:
+        j = j.select("*", F.explode_outer(_links_of(kind, F.col(f"c.{col}"))).alias(role))
+    return j
+
+
+def _links_of(kind: str, own: Column) -> Column:
+    return F.flatten(F.transform(F.filter("refs", lambda x: (x["kind"] == kind) & (x["id"] == own)), lambda x: x["links"]))
 
 
 def fct_claim(claims: DataFrame, lines: DataFrame, members: DataFrame, providers: DataFrame) -> DataFrame:
-    c = claims.alias("c")
-    j = (c.join(line_rollup(lines).alias("cl"), F.col("c.claim_id") == F.col("cl.claim_id"), "left")
-          .join(key_lookup(members, "member_id", "member_key", "m"), F.col("c.member_id") == F.col("m.id"), "left"))
-    for role, alias in (("billing", "bp"), ("servicing", "sp"), ("referring", "rp")):
-        j = j.join(key_lookup(providers, "provider_id", "provider_key", alias),
-                   F.col(f"c.{role}_provider_id") == F.col(f"{alias}.id"), "left")
+    links = key_links(members, "member", "member_id", "member_key").unionByName(
+        key_links(providers, "provider", "provider_id", "provider_key"))
+    j = resolve_roles(claims, lines, links)
     cc = lambda n: F.col(f"c.{n}")
     return j.select(
         fx.surrogate_key(cc("claim_id")).alias("claim_key"),
         cc("claim_id"),
-        F.col("m.key").alias("member_key"),
-        F.col("bp.key").alias("billing_provider_key"),
-        F.col("sp.key").alias("servicing_provider_key"),
-        F.col("rp.key").alias("referring_provider_key"),
+        F.col("member.key").alias("member_key"),
+        F.col("billing.key").alias("billing_provider_key"),
+        F.col("servicing.key").alias("servicing_provider_key"),
+        F.col("referring.key").alias("referring_provider_key"),
         cc("member_id"), cc("billing_provider_id"), cc("servicing_provider_id"), cc("referring_provider_id"),
         cc("facility_id"),
         *[cc(n) for n in _DATES],
@@ -385,53 +412,42 @@ def golden_resolution(crosswalk: DataFrame, golden_dim: DataFrame, kind: str, so
     return xw.join(g, F.col("x.gid") == F.col("g.g_id"), "left").select("x.id", "x.gid", "g.gkey")
 
 
-def identity_lookup(legacy_dim: DataFrame, id_col: str, key_col: str, resolution: DataFrame) -> DataFrame:
-    """One lookup per identity: source id -> (legacy key, golden id, golden key).
+def identity_links(legacy: DataFrame, resolution: DataFrame) -> DataFrame:
+    """(kind, id, link): legacy key, golden id and golden key of each source id.
 
-    Full outer join of the two (small, id-keyed) sides, so a claim needs ONE
-    join per role instead of two.  Ids present on one side only keep NULLs for
-    the other; several crosswalk links for one id fan out exactly as two
-    chained left joins would.
+    Full outer join of the two id-keyed sides of all kinds at once.  Ids on one
+    side only keep NULLs for the other; several crosswalk links of an id fan out.
     """
-    legacy = legacy_dim.select(F.col(id_col).alias("l_id"), F.col(key_col).alias("legacy_key")).alias("l")
-    res = resolution.alias("r")
-    j = legacy.join(res, F.col("l.l_id") == F.col("r.id"), "full")
-    return j.select(F.coalesce("l.l_id", "r.id").alias("id"), "l.legacy_key", "r.gid", "r.gkey")
+    a, b = legacy.alias("l"), resolution.alias("r")
+    j = a.join(b, (F.col("l.kind") == F.col("r.kind")) & (F.col("l.id") == F.col("r.id")), "full")
+    return j.select(F.coalesce("l.kind", "r.kind").alias("kind"), F.coalesce("l.id", "r.id").alias("id"),
+                    F.struct(F.col("l.link.key").alias("legacy_key"), F.col("r.gid").alias("gid"), F.col("r.gkey").alias("gkey")).alias("link"))
 
 
 def fct_claim_conformed(claims: DataFrame, lines: DataFrame, member_xw: DataFrame, provider_xw: DataFrame,
                         golden_members: DataFrame, golden_providers: DataFrame, members: DataFrame,
                         providers: DataFrame, source_system: str = "QNXT") -> DataFrame:
-    """Claim fact with golden and legacy keys for the member and three provider roles.
-
-    The header meets five joins (lines + one identity lookup per role) instead
-    of thirteen: crosswalk -> golden is pre-joined per identity type and then
-    combined with the legacy dimension key for the same source id.
-    """
-    c = claims.alias("c")
-    mres = golden_resolution(member_xw, golden_members, "member", source_system)
-    pres = golden_resolution(provider_xw, golden_providers, "provider", source_system)
-    mlook = identity_lookup(members, "member_id", "member_key", mres)
-    plook = identity_lookup(providers, "provider_id", "provider_key", pres)
-    j = (c.join(line_rollup(lines).alias("cl"), F.col("c.claim_id") == F.col("cl.claim_id"), "left")
-          .join(mlook.alias("mx"), F.col("c.member_id") == F.col("mx.id"), "left"))
-    for role, alias in (("billing", "bx"), ("servicing", "sx"), ("referring", "rx")):
-        j = j.join(plook.alias(alias), F.col(f"c.{role}_provider_id") == F.col(f"{alias}.id"), "left")
+    """Claim fact with golden and legacy keys for the member and three provider roles."""
+    legacy = key_links(members, "member", "member_id", "member_key").unionByName(
+        key_links(providers, "provider", "provider_id", "provider_key"))
+    golden = [golden_resolution(xw, dim, kind, source_system).withColumn("kind", F.lit(kind))
+              for xw, dim, kind in ((member_xw, golden_members, "member"), (provider_xw, golden_providers, "provider"))]
+    j = resolve_roles(claims, lines, identity_links(legacy, golden[0].unionByName(golden[1])))
     cc = lambda n: F.col(f"c.{n}")
     return j.select(
         fx.surrogate_key(cc("claim_id")).alias("claim_key"),
         cc("claim_id"),
-        F.col("mx.gid").alias("member_golden_id"), F.col("mx.gkey").alias("golden_member_key"),
-        F.col("bx.gid").alias("billing_provider_golden_id"), F.col("bx.gkey").alias("billing_provider_golden_key"),
-        F.col("sx.gid").alias("servicing_provider_golden_id"), F.col("sx.gkey").alias("servicing_provider_golden_key"),
-        F.col("rx.gid").alias("referring_provider_golden_id"), F.col("rx.gkey").alias("referring_provider_golden_key"),
-        cc("member_id").alias("source_member_id"), F.col("mx.legacy_key").alias("legacy_member_key"),
+        F.col("member.gid").alias("member_golden_id"), F.col("member.gkey").alias("golden_member_key"),
+        F.col("billing.gid").alias("billing_provider_golden_id"), F.col("billing.gkey").alias("billing_provider_golden_key"),
+        F.col("servicing.gid").alias("servicing_provider_golden_id"), F.col("servicing.gkey").alias("servicing_provider_golden_key"),
+        F.col("referring.gid").alias("referring_provider_golden_id"), F.col("referring.gkey").alias("referring_provider_golden_key"),
+        cc("member_id").alias("source_member_id"), F.col("member.legacy_key").alias("legacy_member_key"),
         cc("billing_provider_id").alias("source_billing_provider_id"),
-        F.col("bx.legacy_key").alias("legacy_billing_provider_key"),
+        F.col("billing.legacy_key").alias("legacy_billing_provider_key"),
         cc("servicing_provider_id").alias("source_servicing_provider_id"),
-        F.col("sx.legacy_key").alias("legacy_servicing_provider_key"),
+        F.col("servicing.legacy_key").alias("legacy_servicing_provider_key"),
         cc("referring_provider_id").alias("source_referring_provider_id"),
-        F.col("rx.legacy_key").alias("legacy_referring_provider_key"),
+        F.col("referring.legacy_key").alias("legacy_referring_provider_key"),
         cc("facility_id"),
         *[cc(n) for n in _DATES],
         cc("claim_type_code"), cc("claim_type"), cc("form_type"), cc("bill_type"),
@@ -441,9 +457,9 @@ def fct_claim_conformed(claims: DataFrame, lines: DataFrame, member_xw: DataFram
         *[cc(n) for n in _INSTITUTIONAL],
         *[cc(n) for n in _REFS],
         *_claim_flags_and_metrics(),
-        F.col("mx.gid").isNotNull().alias("has_golden_member"),
-        F.col("bx.gid").isNotNull().alias("has_golden_billing_provider"),
-        F.col("sx.gid").isNotNull().alias("has_golden_servicing_provider"),
+        F.col("member.gid").isNotNull().alias("has_golden_member"),
+        F.col("billing.gid").isNotNull().alias("has_golden_billing_provider"),
+        F.col("servicing.gid").isNotNull().alias("has_golden_servicing_provider"),
         *_claim_day_metrics(),
         cc("created_at"), cc("updated_at"),
     )
