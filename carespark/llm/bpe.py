@@ -29,19 +29,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents
+from .common import documents, sliced
 from .pieces import ChunkEncoder, Memo
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
-class Vocabulary:
+class Decoder:
+    """The bytes of each id."""
+
+    def __init__(self, path: str):
+        with open(path, "rb") as lines:
+            self.bytes_of = {int(b): base64.b64decode(a) for a, b in map(bytes.split, lines)}
+
+    def decode(self, ids) -> bytes:
+        return b"".join(map(self.bytes_of.__getitem__, ids))
+
+
+class Vocabulary(Decoder):
     """Ranks of a byte-level BPE, its automaton and the two directions."""
 
     def __init__(self, path: str, pattern: str = public_tokenizers.PATTERN):
-        with open(path, "rb") as lines:
-            self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self.bytes_of = {i: b for b, i in self.ranks.items()}
+        super().__init__(path)
+        self.ranks = {b: i for i, b in self.bytes_of.items()}
         self.automaton = ahocorasick.Automaton()
         for token, i in self.ranks.items():
             self.automaton.add_word(token.decode("latin-1"), (len(token), i))
@@ -105,9 +115,6 @@ class Vocabulary:
                 token = self.shorter[last]
         return out
 
-    def decode(self, ids) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
-
 
 @lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
@@ -115,13 +122,18 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+@lru_cache(maxsize=2)
+def decoder(path: str) -> Decoder:
+    return Decoder(path)
+
+
 def encode(docs: DataFrame, text: str, ids: str = "ids", path: str = RANKS) -> DataFrame:
     """docs with ``ids``, an array of the token ids of the whole text."""
     schema = T.StructType([*docs.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType(), False), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spell = vocabulary(path).encode
-        for batch in batches:
+        for batch in sliced(batches):
             packed = [spell(t) if t else b"" for t in batch.column(text).to_pylist()]
             ends = array("i", [0])
             for p in packed:
@@ -139,8 +151,8 @@ def decode(tokens: DataFrame, ids: str = "ids", out: str = "decoded", path: str
     schema = T.StructType([*tokens.schema.fields, T.StructField(out, T.BinaryType(), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spell = vocabulary(path).decode
-        for batch in batches:
+        spell = decoder(path).decode
+        for batch in sliced(batches):
             column = pa.array([spell(x.tolist()) if x is not None else b"" for x in map(_values, batch.column(ids))], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, out])
 

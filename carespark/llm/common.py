@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -52,6 +53,13 @@ def free(df: DataFrame, name: str) -> str:
     return name
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most ``rows`` rows: what a worker and its answer hold at once."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.slice(at, rows)
+
+
 def in_order(df: DataFrame, order: Sequence[Column], label: str) -> tuple[DataFrame, str, str]:
     """df range-partitioned and sorted by ``order`` and written, with each row's
     range partition and place in it; gives the table and the two columns' names.

@@ -15,7 +15,7 @@ from collections.abc import Callable
 #: A space that a match of the pattern may share with white space before it.
 _SPANNING = re.compile(r"\s (?:\s|\Z)")
 #: Entries that a worker keeps of each kind; beyond it the memo starts anew.
-MEMO = 400_000
+MEMO = 200_000
 
 
 class Memo(dict):
@@ -33,10 +33,10 @@ class Memo(dict):
 
 
 class ChunkEncoder:
-    """Packed ids (little-endian unsigned 32-bit) of whole texts; ``encode`` gives those of one string."""
+    """Packed ids (little-endian unsigned 32-bit) of whole texts; ``encode`` gives those of a chunk, ``whole`` those of any text."""
 
-    def __init__(self, encode: Callable[[str], bytes]):
-        self.whole = encode
+    def __init__(self, encode: Callable[[str], bytes], whole: Callable[[str], bytes] | None = None):
+        self.whole = whole or encode
         self.first = Memo(encode)
         self.spaced = Memo(lambda chunk: encode(f" {chunk}"))
 
