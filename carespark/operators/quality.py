@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ROW_LEVEL = {"not_null", "accepted_values", "between", "pair_ge"}
+ROW_LEVEL = {"not_null", "accepted_values", "between", "pair_ge", "type"}
 
 
 @dataclass(frozen=True)
@@ -57,6 +57,8 @@ def fail_predicate(check: Check) -> Column:
         if check.max_value is not None:
             ok = ok & (c <= F.lit(check.max_value))
         return _cond(check) & ~ok
+    if check.kind == "type":
+        return F.typeof(c) != check.type_name
     if check.kind == "pair_ge":
         b = F.col(check.column_b)
         ok = (c >= b) if check.or_equal else (c > b)
@@ -77,15 +79,19 @@ def failing_rows(df: DataFrame, check: Check, models: Mapping[str, DataFrame] |
     raise ValueError(f"no failing-row form for {check.kind}")
 
 
-def _type_ok(df: DataFrame, check: Check) -> bool:
-    return df.schema[check.column].dataType.typeName() == check.type_name
-
-
 def _meta(check: Check) -> list[Column]:
     return [F.lit(check.model).alias("table_name"), F.lit(check.rule).alias("rule"),
             F.lit(check.column).alias("column_name"), F.lit(check.severity).alias("severity")]
 
 
+def _unique_counts(df: DataFrame, group: list[Check]) -> DataFrame:
+    """Duplicated values per unique column of one table, in one scan and one shuffle."""
+    values = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(ch.column).cast("string").alias("v")) for i, ch in enumerate(group)])).alias("x")
+    twice = df.select(values).select("x.i", "x.v").filter(F.col("v").isNotNull()).groupBy("i", "v").count().filter(F.col("count") > 1)
+    one = twice.agg(*[F.count(F.when(F.col("i") == i, 1)).alias(f"f{i}") for i in range(len(group))])
+    return one.select(F.inline(F.array(*[F.struct(*_meta(ch), F.col(f"f{i}").cast("bigint").alias("failures")) for i, ch in enumerate(group)])))
+
+
 def dq_report(spark: SparkSession, models: Mapping[str, DataFrame], checks: list[Check]) -> DataFrame:
     parts: list[DataFrame] = []
     by_model: dict[str, list[Check]] = {}
@@ -98,13 +104,12 @@ def dq_report(spark: SparkSession, models: Mapping[str, DataFrame], checks: list
         rows = F.array(*[F.struct(*_meta(ch), F.coalesce(F.col(f"f{i}"), F.lit(0)).cast("bigint").alias("failures"))
                          for i, ch in enumerate(group)])
         parts.append(one.select(F.inline(rows)))
+    for model in dict.fromkeys(ch.model for ch in checks if ch.kind == "unique"):
+        parts.append(_unique_counts(models[model], [ch for ch in checks if ch.model == model and ch.kind == "unique"]))
     for ch in checks:
-        if ch.kind in ("unique", "relationships"):
+        if ch.kind == "relationships":
             n = failing_rows(models[ch.model], ch, models).agg(F.count(F.lit(1)).alias("failures"))
             parts.append(n.select(*_meta(ch), F.col("failures").cast("bigint")))
-        elif ch.kind == "type":
-            bad = 0 if _type_ok(models[ch.model], ch) else 1
-            parts.append(spark.range(1).select(*_meta(ch), F.lit(bad).cast("bigint").alias("failures")))
     report = parts[0]
     for p in parts[1:]:
         report = report.unionByName(p)
@@ -112,24 +117,24 @@ def dq_report(spark: SparkSession, models: Mapping[str, DataFrame], checks: list
     return report.withColumn("status", status)
 
 
-def freshness(sources: Mapping[str, DataFrame], as_of_ts, warn_hours: int = 24, error_hours: int = 48,
+def freshness(sources: Mapping[str, DataFrame], groups: Mapping[str, str], as_of_ts, warn_hours: int = 24, error_hours: int = 48,
               loaded_at: str = "_loaded_at") -> DataFrame:
-    """Per source: newest load time, its age at ``as_of_ts`` and pass/warn/error."""
+    """Per source (and its group): newest load time, its age at ``as_of_ts`` and pass/warn/error."""
     from ..functions import round_ratio
     from ..functions.dates import ntz_lit
 
     now = ntz_lit(as_of_ts)
     parts = []
     for name, df in sources.items():
-        parts.append(df.agg(F.max(loaded_at).alias("max_loaded_at")).select(F.lit(name).alias("source_name"),
-                                                                             "max_loaded_at"))
+        parts.append(df.agg(F.max(loaded_at).alias("max_loaded_at")).select(
+            F.lit(groups[name]).alias("source_group"), F.lit(name).alias("source_name"), "max_loaded_at"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     micros = F.timestamp_diff("MICROSECOND", F.col("max_loaded_at"), now)
     hour = 3600 * 1_000_000
     return out.select(
-        "source_name", "max_loaded_at",
+        "source_group", "source_name", "max_loaded_at",
         round_ratio(micros, F.lit(hour), 2).alias("age_hours"),
         F.when(F.col("max_loaded_at").isNull(), "error")
         .when(micros > error_hours * hour, "error")

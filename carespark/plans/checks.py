@@ -19,6 +19,7 @@ def _ge0(model, *cols):
     return [Check(model, "between", c, min_value=0) for c in cols]
 
 
+# The rules declared for the models.
 SUITE: list[Check] = [
     # --- staging: members
     *_nn("stg_member", "member_id"), *_uq("stg_member", "member_id"),
@@ -93,3 +94,20 @@ SUITE: list[Check] = [
 ]
 
 SUITE_MODELS = sorted({c.model for c in SUITE} | {c.to_model for c in SUITE if c.to_model})
+
+# One query per rule kind, on rules that some rows break.
+EXAMPLES = {
+    "dq_not_null": Check("stg_member", "not_null", "date_of_birth"),
+    "dq_unique": Check("stg_mbrelig", "unique", "member_id"),
+    "dq_accepted_values": Check("stg_clclaim", "accepted_values", "claim_type_code", values=("I", "P", "D", "R")),
+    "dq_relationships": Check("stg_clclaim", "relationships", "servicing_provider_id", W, to_model="stg_provider", to_field="provider_id"),
+    "dq_between": Check("fct_claim", "between", "days_to_process", min_value=0, max_value=10, row_condition="days_to_process is not null"),
+    "dq_pair_order": Check("stg_clclaim", "pair_ge", "received_date", column_b="service_to_date", or_equal=False),
+}
+TYPE_CHECK = Check("stg_member", "type", "date_of_birth", type_name="date")
+
+# Every raw extract and the source group whose freshness objective it falls under.
+SOURCE_GROUPS = {t: "extracts" for t in ("member", "mbrelig", "provider", "clclaim", "clline", "cldiag", "clproc", "cladjust", "diagcode")} | {
+    t: "identity" for t in ("golden_member", "golden_provider", "member_crosswalk", "provider_crosswalk")}
+FRESHNESS_AS_OF = "2001-06-30 00:00:00"
+ROW_COUNT_TABLES = tuple(t for t, g in SOURCE_GROUPS.items() if g == "extracts")

@@ -17,8 +17,6 @@ from .warehouse import MODEL_NAMES, Warehouse
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
-# Queries whose oracle SQL is not a plain model of ``oracle.sql.MODELS``.
-ORACLE_ONLY_SQL: dict[str, Callable[[], str]] = {}
 
 
 def register(name: str, fn: Query) -> None:
@@ -112,9 +110,7 @@ register("dq_report", _dq_report)
 
 def _dq_example(name: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        from oracle.scenarios import DQ_EXAMPLES  # the example rules are shared with the SQL check
-
-        ch = DQ_EXAMPLES[name]
+        ch = checks.EXAMPLES[name]
         wh = _wh(spark, sf_dir)
         models = _suite_models(wh, {ch.model} | ({ch.to_model} if ch.to_model else set()))
         return quality.failing_rows(models[ch.model], ch, models)
@@ -127,20 +123,16 @@ for _dq in ("dq_not_null", "dq_unique", "dq_accepted_values", "dq_relationships"
 
 
 def _dq_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from oracle.scenarios import DQ_TYPE_CHECK
-
     wh = _wh(spark, sf_dir)
-    return quality.dq_report(spark, {"stg_member": wh.stg("stg_member")}, [DQ_TYPE_CHECK])
+    return quality.dq_report(spark, {"stg_member": wh.stg("stg_member")}, [checks.TYPE_CHECK])
 
 
 register("dq_type", _dq_type)
 
 
 def _freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from oracle.scenarios import FRESHNESS_AS_OF, FRESHNESS_SOURCES
-
     wh = _wh(spark, sf_dir)
-    return quality.freshness({s: wh.raw[s] for s in FRESHNESS_SOURCES}, FRESHNESS_AS_OF)
+    return quality.freshness({s: wh.raw[s] for s in checks.SOURCE_GROUPS}, checks.SOURCE_GROUPS, checks.FRESHNESS_AS_OF)
 
 
 register("freshness", _freshness)
@@ -181,11 +173,9 @@ def _status_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from oracle.scenarios import ROW_COUNT_TABLES
-
     wh = _wh(spark, sf_dir)
     parts = [wh.raw[t].agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(t).alias("table_name"), "row_count")
-             for t in ROW_COUNT_TABLES]
+             for t in checks.ROW_COUNT_TABLES]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -231,13 +221,6 @@ def _stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 register("stream_upsert", _stream_upsert)
-def _stream_upsert_sql() -> str:
-    from oracle.sql import query  # the streamed loads must equal the batch upsert
-
-    return query("incremental_upsert")
-
-
-ORACLE_ONLY_SQL["stream_upsert"] = _stream_upsert_sql
 register("snapshot_changes", lambda s, d: scenarios.snapshot_changes(_wh(s, d).stg("stg_member")))
 
 

@@ -128,8 +128,7 @@ def check_sql(ch: Check) -> str:
     meta = (f"'{ch.model}' as table_name, '{ch.kind}' as rule, '{ch.column}' as column_name, "
             f"'{ch.severity}' as severity")
     if ch.kind == "type":
-        n = (f"(select case when (select typeof({ch.column}) from {ch.model} limit 1) = "
-             f"'{DUCK_TYPES[ch.type_name]}' then 0 else 1 end)")
+        n = f"(select count(*) from {ch.model} where typeof({ch.column}) <> '{DUCK_TYPES[ch.type_name]}')"
     else:
         n = f"(select count(*) from ({failing_rows_sql(ch)}) f)"
     return f"select {meta}, cast({n} as bigint) as failures"
@@ -143,29 +142,28 @@ def report_sql(suite) -> str:
 
 model("dq_report", report_sql(checks.SUITE))
 
-DQ_EXAMPLES = {
-    "dq_not_null": Check("stg_member", "not_null", "date_of_birth"),
-    "dq_unique": Check("stg_mbrelig", "unique", "member_id"),
-    "dq_accepted_values": Check("stg_clclaim", "accepted_values", "claim_type_code", values=("I", "P", "D", "R")),
-    "dq_relationships": Check("stg_clclaim", "relationships", "servicing_provider_id", "warn",
-                              to_model="stg_provider", to_field="provider_id"),
-    "dq_between": Check("fct_claim", "between", "days_to_process", min_value=0, max_value=10,
-                        row_condition="days_to_process is not null"),
-    "dq_pair_order": Check("stg_clclaim", "pair_ge", "received_date", column_b="service_to_date", or_equal=False),
-}
-DQ_TYPE_CHECK = Check("stg_member", "type", "date_of_birth", type_name="date")
-for _n, _ch in DQ_EXAMPLES.items():
-    model(_n, failing_rows_sql(_ch))
-model("dq_type", report_sql([DQ_TYPE_CHECK]))
+for _n, _sql in {
+    "dq_not_null": "from stg_member where date_of_birth is null",
+    "dq_unique": "from stg_mbrelig select member_id, count(*) as count group by 1 having count > 1 and member_id is not null",
+    "dq_accepted_values": "from stg_clclaim where claim_type_code not in ('I', 'P', 'D', 'R')",
+    "dq_relationships": "from stg_clclaim c where servicing_provider_id is not null and not exists "
+                        "(from stg_provider p where p.provider_id = c.servicing_provider_id)",
+    "dq_between": "from fct_claim where days_to_process not between 0 and 10",
+    "dq_pair_order": "from stg_clclaim where not (received_date > service_to_date)",
+    "dq_type": "from stg_member select 'stg_member' as table_name, 'type' as rule, 'date_of_birth' as column_name, 'error' as severity, "
+               "count(*) filter (where typeof(date_of_birth) <> 'DATE') as failures, if(failures = 0, 'pass', 'fail') as status",
+}.items():
+    model(_n, _sql)
 
-FRESHNESS_SOURCES = ("member", "mbrelig", "provider", "clclaim", "clline", "cladjust", "golden_member",
-                     "member_crosswalk")
 FRESHNESS_AS_OF = "2001-06-30 00:00:00"
+_GROUPS = {"extracts": "member mbrelig provider clclaim clline cldiag clproc cladjust diagcode",
+           "identity": "golden_member golden_provider member_crosswalk provider_crosswalk"}
 _fresh_union = "\nunion all\n".join(
-    f"select '{s}' as source_name, max(_loaded_at) as max_loaded_at from raw_{s}" for s in FRESHNESS_SOURCES)
+    f"select '{g}' as source_group, '{s}' as source_name, max(_loaded_at) as max_loaded_at from raw_{s}"
+    for g, names in _GROUPS.items() for s in names.split())
 _micros = f"date_diff('microsecond', max_loaded_at, timestamp '{FRESHNESS_AS_OF}')"
 model("freshness", f"""
-select source_name, max_loaded_at, {ratio(_micros, '3600000000', 2)} as age_hours,
+select source_group, source_name, max_loaded_at, {ratio(_micros, '3600000000', 2)} as age_hours,
   case when max_loaded_at is null then 'error' when {_micros} > 48 * 3600000000 then 'error'
        when {_micros} > 24 * 3600000000 then 'warn' else 'pass' end as status
 from ({_fresh_union}) f""")

@@ -107,7 +107,7 @@ def test_type_rule_and_freshness(spark):
     df = spark.createDataFrame([(dt.date(2024, 1, 1), T0)], "d date, _loaded_at timestamp_ntz")
     rep = quality.dq_report(spark, {"t": df}, [Check("t", "type", "d", type_name="date")]).first()
     assert rep.failures == 0
-    f = quality.freshness({"s": df}, "2024-01-02 12:00:00").first()
+    f = quality.freshness({"s": df}, {"s": "g"}, "2024-01-02 12:00:00").first()
     assert (f.age_hours, f.status) == (36.0, "warn")
 
 
