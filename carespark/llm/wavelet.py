@@ -30,16 +30,18 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
+import regex
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import documents, scratch
-from .pieces import ChunkEncoder
+from .pieces import ChunkEncoder, Memo
 
 MODEL = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
 SHARD_TOKENS = 1 << 21
+PIECES = 1_000_000  # words whose ids a worker remembers (about 150 MB)
 _MAGIC = b"WMX1"
 _HEAD = struct.Struct("<4sQB")
 _PLANE = struct.Struct("<QQ")
@@ -59,7 +61,7 @@ class WaveletMatrix:
         ids = np.asarray(ids, dtype=np.uint16 if planes <= 16 else np.uint32)
         zeros, packed = [], []
         for b in range(planes - 1, -1, -1):
-            bit = (ids >> ids.dtype.type(b) & ids.dtype.type(1)).astype(bool)
+            bit = (ids & ids.dtype.type(1 << b)) != 0
             packed.append(np.packbits(bit, bitorder="little"))
             low = ids[~bit]
             zeros.append(len(low))
@@ -159,18 +161,37 @@ class WaveletMatrix:
         return ids
 
 
+def _letters() -> dict[int, str]:
+    """The library's letter for each byte: printable Latin-1 stands for itself, the others follow from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> tuple[ChunkEncoder, int]:
-    """The library's encoding with a memo, and the planes that its ids need."""
+    """The library's encoding with a memo of its pieces, and the planes that its ids need."""
     from tokenizers import Tokenizer
 
-    model = Tokenizer.from_file(path)
-    model.encode_special_tokens = True  # their strings in a text are ordinary text
+    library = Tokenizer.from_file(path)
+    library.encode_special_tokens = True  # their strings in a text are ordinary text
+    merge, letters = library.model.tokenize, _letters()
+    # The library's own pattern; up to Latin Extended-B its classes are the same in any Unicode version.
+    pieces = regex.compile(public_tokenizers.PATTERN).findall
+
+    def whole(text: str) -> bytes:
+        return array("I", library.encode(text, add_special_tokens=False).ids).tobytes()
+
+    piece = Memo(lambda text: array("I", [t.id for t in merge(text.encode().decode("latin-1").translate(letters))]).tobytes(), PIECES)
 
-    def spell(text: str) -> bytes:
-        return array("I", model.encode(text, add_special_tokens=False).ids).tobytes()
+    def spell(chunk: str) -> bytes:
+        if chunk.isascii() or max(chunk) < "\u0250":
+            if chunk[1:].isalpha() and (chunk[0] == " " or chunk[0].isalpha()):
+                return piece[chunk]  # a plain word is one piece
+            return b"".join(map(piece.__getitem__, pieces(chunk)))
+        return whole(chunk)
 
-    return ChunkEncoder(spell), max(1, (model.get_vocab_size(with_added_tokens=True) - 1).bit_length())
+    return ChunkEncoder(spell, whole), max(1, (library.get_vocab_size(with_added_tokens=True) - 1).bit_length())
 
 
 def build_shards(docs: DataFrame, key: str, text: str, path: str = MODEL, end_id: int = END_ID,
