@@ -71,6 +71,20 @@ def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
 
 register("incremental_watermark", lambda s, d: scenarios.incremental_watermark(_wh(s, d).raw["cladjust"]))
 register("incremental_upsert", lambda s, d: scenarios.incremental_upsert(_wh(s, d).raw["cladjust"]))
+def _incremental_load(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        import uuid
+
+        from ..session import work_root
+
+        root = f"{work_root(spark).rstrip('/')}/incremental-{uuid.uuid4().hex[:12]}"
+        return scenarios.incremental_load(spark, _wh(spark, sf_dir).raw[name], name, root)
+
+    return run
+
+
+for _inc in scenarios.INCREMENTAL:
+    register(f"incremental_{_inc}", _incremental_load(_inc))
 register("schema_append", lambda s, d: scenarios.schema_append(_wh(s, d).raw["cladjust"]))
 for _snap, _spec in scenarios.SNAPSHOTS.items():
     register(f"snapshot_{_snap}",

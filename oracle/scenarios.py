@@ -36,6 +36,20 @@ select *, case when adjustment_group_code = 'CR' then 'manual' else 'edi' end as
 from incremental_watermark""")
 
 
+for _t, (_stg, _key, _col) in {"clclaim": ("stg_clclaim", "claim_id", "formtype"), "clline": ("stg_clline", "claim_line_id", "ndc"),
+                               "cldiag": ("stg_cldiag", "claim_diagnosis_id", "poa"),
+                               "clproc": ("stg_clproc", "claim_procedure_id", "proccode")}.items():
+    model(f"{_t}_loads", f"""
+from raw_{_t} select *, if(_loaded_at < timestamp '1998-01-01 00:00:00', 1, 2) as load
+union all by name
+from raw_{_t} select * replace ('X' as {_col}, _loaded_at + interval 4000 day as _loaded_at), 2 as load
+where _loaded_at < timestamp '1998-01-01 00:00:00' and right(claimid, 1) = '7'""")
+    for _i in (1, 2):
+        model(f"{_t}_load{_i}", MODELS[_stg].replace(f"from raw_{_t}", f"from (from {_t}_loads select * exclude (load) where load = {_i})"))
+    model(f"{_t}_fresh", f"from {_t}_load2 where _loaded_at > coalesce((select max(_loaded_at) from {_t}_load1), timestamp '0001-01-01')")
+    model(f"incremental_{_t}", f"from {_t}_load1 anti join {_t}_fresh using ({_key}) union all by name from {_t}_fresh")
+
+
 # --------------------------------------------------------------- snapshots
 _DIGITS = {
     "member": ("right(member_id, 1)", "left(right(member_id, 2), 1)"),
