@@ -4,20 +4,25 @@
    MinHash signature of COORDINATES values.  Equal sets are one class, named by
    its smallest doc_id; from here on only classes count.
 2. A class is posted under each (coordinate, value).  Pairs that match in fewer
-   than MATCHES coordinates are of no interest: a pair of similarity 0.8 does
+   than a stated number of coordinates (``matches_needed``) are of no interest: a pair of similarity 0.8 does
    so with a chance below 1e-7.  So postings with one class go, then classes
-   with fewer than MATCHES postings left (skip), and of the rest, rarest
-   posting first, all but the last MATCHES - 1 form the prefix: two classes
-   that match in MATCHES coordinates share a posting of both prefixes.
+   with fewer postings left than that (skip), and of the rest, rarest
+   posting first, all but the last ones form the prefix: two classes
+   that match in so many coordinates share a posting of both prefixes.
 3. Under each prefix posting the classes are paired with two hubs, the class
    whose postings are the most shared and the smallest, not with each other.
-   Pairs that match in MATCHES coordinates are confirmed on their full sets.
-4. What the links so far connect needs no more links.  Under each posting, the
-   classes outside its largest component are now paired with all classes of
-   other components there, matched and confirmed alike.  Every pair that shares
-   a prefix posting has then been tested or was connected already, so no
-   link between components is lost, and large groups of copies cost a few
-   pairs per class and not the square of their size.
+   Pairs that match well enough are compared on their full sets, which gives
+   links and, for each class, what it lacks of the hub's set (D) and has
+   beyond it (E).  A second round gives classes that found no link hubs of their own.
+4. What is left are pairs under one posting in different components.  Around a
+   hub, let h be the set that most of its classes agree on; |x & c| is
+   |h| - |Dx | Dc| + |Ex & Ec|, at most |h| - max(|Dx|, |Dc|) + |Ex & Ec|.  So
+   either the sizes of D and E alone allow a link (the few distinct sizes are
+   compared first) or x and c share something that h lacks (an inverted join on
+   E); both are then decided exactly.  A class further from its hub than two
+   links can only be linked with classes that the hub isn't linked with; those
+   pairs are compared on full sets.  So no link between components is lost, and
+   a large group of copies costs a few pairs per class, not the square of its size.
 
 Defined cases: null, empty and wordless texts have an empty set and are linked
 with nothing; rows with a null doc_id are linked with nothing (component null,
@@ -35,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, free, saved
+from .common import documents, free, saved, sliced
 from .components import components
 from .shingles import shingle_sets
 
@@ -75,7 +80,7 @@ def signatures(docs: DataFrame, key: str, text: str, width: int = WIDTH, coordin
     """id, n (set size), set_a, set_b (a 128-bit digest of the set), signature (null if empty)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             size, a, b, sig = [], [], [], []
             for s in shingle_sets(batch.column("text").to_pylist(), width):
                 size.append(len(s))
@@ -94,7 +99,7 @@ def set_rows(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
     """id, hashes: the full shingle set of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             sets = [s.view(np.int64) for s in shingle_sets(batch.column("text").to_pylist(), width)]
             yield pa.RecordBatch.from_pydict({"id": batch.column("id"), "hashes": pa.array(sets, pa.list_(pa.int64()))})
 
@@ -114,44 +119,119 @@ def prefixes(classes: DataFrame, needed: int) -> DataFrame:
     return live.select("id", "shared", F.explode(first).alias("p")).select("id", "shared", F.col("p.posting").alias("posting"))
 
 
-def _pairs(df: DataFrame, a: Column, b: Column) -> DataFrame:
-    return df.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).where(F.col("a") < F.col("b")).distinct()
+def _hubs(prefix: DataFrame) -> DataFrame:
+    """posting, hub, least: the most shared and the smallest class of each posting."""
+    return prefix.groupBy("posting").agg(F.max(F.struct("shared", (-F.col("id")).alias("less"))).alias("top"), F.min("id").alias("least")).select(
+        "posting", (-F.col("top.less")).alias("hub"), "least")
 
 
-def hub_pairs(prefix: DataFrame) -> DataFrame:
-    hubs = prefix.groupBy("posting").agg(F.max(F.struct("shared", (-F.col("id")).alias("less"))).alias("top"), F.min("id").alias("least"))
-    hubs = saved(hubs.select("posting", F.explode(F.array_distinct(F.array(-F.col("top.less"), F.col("least")))).alias("hub")), "hubs")
-    return _pairs(prefix.join(hubs, "posting"), F.col("id"), F.col("hub"))
+def hub_pairs(prefix: DataFrame, hubs: DataFrame) -> DataFrame:
+    """hub, id: every class with the hubs of its postings."""
+    both = hubs.select("posting", F.explode(F.array_distinct(F.array("hub", "least"))).alias("hub"))
+    return prefix.join(both, "posting").where(F.col("id") != F.col("hub")).select("hub", "id").distinct()
 
 
-def rest_pairs(prefix: DataFrame, parts: DataFrame, tested: DataFrame) -> DataFrame:
-    """Pairs under one posting that lie in different components, one of them outside the posting's largest."""
-    placed = saved(prefix.select("id", "posting").join(parts, prefix.id == parts.node, "left")
-                   .select("id", "posting", F.coalesce("component", "id").alias("component")), "placed")
-    largest = placed.groupBy("posting", "component").count().groupBy("posting").agg(
-        F.max(F.struct("count", "component")).alias("top"), F.count("*").alias("parts"))
-    largest = saved(largest.where(F.col("parts") > 1).select("posting", F.col("top.component").alias("main")), "largest")
-    stray = (placed.join(largest, "posting").where(F.col("component") != F.col("main"))
-             .select("posting", F.col("id").alias("stray"), F.col("component").alias("own")))
-    met = placed.join(stray, "posting").where(F.col("component") != F.col("own"))
-    return _pairs(met, F.col("id"), F.col("stray")).join(tested, ["a", "b"], "left_anti")
-
-
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str, width: int, needed: int, percent: int) -> DataFrame:
-    """The pairs that match in enough coordinates and whose full sets are similar enough."""
+def compared(pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str, width: int, least: int) -> DataFrame:
+    """hub, id, nh, n, shared (sizes of the full sets and of what both have), extra (what id has beyond hub)
+    and missing (what it lacks) of the pairs that match in at least ``least`` coordinates."""
     sig = classes.select("id", "signature")
-    both = (pairs.join(sig.select(F.col("id").alias("a"), F.col("signature").alias("sa")), "a")
-            .join(sig.select(F.col("id").alias("b"), F.col("signature").alias("sb")), "b"))
-    same = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda s, x: s + x)
-    likely = saved(both.where(same >= needed).select("a", "b"), "likely")
-    wanted = likely.select(F.explode(F.array("a", "b")).alias("wanted")).distinct()
+    both = (pairs.join(sig.select(F.col("id").alias("hub"), F.col("signature").alias("sh")), "hub")
+            .join(sig.withColumnRenamed("signature", "si"), "id"))
+    same = F.aggregate(F.zip_with("sh", "si", lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda s, x: s + x)
+    likely = saved(both.where(same >= least).select("hub", "id"), "likely")
+    wanted = likely.select(F.explode(F.array("hub", "id")).alias("wanted")).distinct()
     texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(wanted, F.col("key") == F.col("wanted"), "left_semi")
     sets = saved(set_rows(texts, "key", "text", width), "sets")
-    full = (likely.join(sets.select(F.col("id").alias("a"), F.col("hashes").alias("ha")), "a")
-            .join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("hb")), "b"))
-    shared = F.size(F.array_intersect("ha", "hb"))
-    union = F.size("ha") + F.size("hb") - shared
-    return full.where((shared * 100).cast("long") >= union.cast("long") * percent).select("a", "b").distinct()
+    full = (likely.join(sets.select(F.col("id").alias("hub"), F.col("hashes").alias("hh")), "hub")
+            .join(sets.withColumnRenamed("hashes", "hi"), "id"))
+    extra = F.array_except("hi", "hh")
+    return full.select("hub", "id", F.size("hh").cast("long").alias("nh"), F.size("hi").cast("long").alias("n"),
+                       (F.size("hi") - F.size(extra)).cast("long").alias("shared"), extra.alias("extra"),
+                       F.array_except("hh", "hi").alias("missing"))
+
+
+def links_of(found: DataFrame, percent: int) -> DataFrame:
+    """a, b of the compared pairs whose similarity is at least ``percent`` per cent."""
+    similar = found.where(F.col("shared") * 100 >= (F.col("nh") + F.col("n") - F.col("shared")) * percent)
+    return similar.select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+
+
+def _components_of(prefix: DataFrame, parts: DataFrame) -> DataFrame:
+    """id, posting, shared, component of the postings whose classes lie in several components."""
+    placed = saved(prefix.join(parts, prefix.id == parts.node, "left")
+                   .select("id", "posting", "shared", F.coalesce("component", "id").alias("component")), "placed")
+    several = placed.groupBy("posting").agg(F.min("component").alias("x"), F.max("component").alias("y")).where(F.col("x") != F.col("y"))
+    return saved(placed.join(several.select("posting"), "posting"), "several")
+
+
+def alone(prefix: DataFrame, links: DataFrame) -> DataFrame:
+    """The postings of classes without a link."""
+    linked = links.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    return prefix.join(linked, "id", "left_anti")
+
+
+def _against_consensus(near: DataFrame) -> DataFrame:
+    """near with nh, D, E, extra, missing against the set that most classes around a hub agree on instead of the hub's own.
+
+    The hub has edits of its own, which nearly all others would share not having.
+    """
+    half = near.groupBy("hub").agg(F.count("*").alias("classes"))
+    votes = near.select("hub", F.explode(F.concat(F.transform("extra", lambda g: F.struct(g.alias("g"), F.lit(True).alias("add"))),
+                                                  F.transform("missing", lambda g: F.struct(g.alias("g"), F.lit(False).alias("add"))))).alias("v"))
+    votes = votes.groupBy("hub", "v.g", "v.add").agg(F.count("*").alias("n")).join(half, "hub").where(F.col("n") * 2 > F.col("classes") + 1)
+    change = votes.groupBy("hub").agg(F.collect_list(F.when(F.col("add"), F.col("g"))).alias("added"),
+                                      F.collect_list(F.when(~F.col("add"), F.col("g"))).alias("taken"))
+    none = F.array().cast("array<long>")
+    met = near.join(saved(change, "consensus"), "hub", "left")
+    added, taken = F.coalesce("added", none), F.coalesce("taken", none)
+    beyond = F.concat(F.array_except("extra", added), F.array_except(taken, "missing"))
+    lacking = F.concat(F.array_except("missing", taken), F.array_except(added, "extra"))
+    met = met.withColumn("nh", F.col("nh") - F.size(taken) + F.size(added)).withColumn("beyond", beyond).withColumn("lacking", lacking)
+    return met.select("hub", "id", "component", "stray", "nh", "beyond", "lacking",
+                      F.size("lacking").cast("long").alias("D"), F.size("beyond").cast("long").alias("E"))
+
+
+def rest_links(placed: DataFrame, hubs: DataFrame, found: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Step 4: links (a, b) between components, and pairs (hub, id) that are still to be compared."""
+    grouped = placed.join(hubs.select("posting", "hub"), "posting")
+    own = found.select("hub", "id", "nh", "n", "shared", "extra", "missing")
+    home = placed.select(F.col("id").alias("hub"), F.col("component").alias("home")).distinct()
+    members = grouped.where(F.col("id") != F.col("hub")).select("hub", "id", "component").distinct().join(home, "hub")
+    members = saved(members.join(own, ["hub", "id"], "left").withColumn("stray", F.col("component") != F.col("home")), "members")
+    near = saved(_against_consensus(members.where(F.col("nh").isNotNull())), "near")
+    side = lambda c, *names: near.select("hub", *[F.col(n).alias(f"{n}_{c}") for n in ("id", "component", "D", "E", *names)])
+
+    # What both have follows from what each lacks of the consensus and has beyond it.
+    shared = "(nh - size(array_union(lacking_x, lacking_c)) + size(array_intersect(beyond_x, beyond_c)))"
+    linked = F.expr(f"component_x <> component_c and 100 * {shared} >= {percent} * (2 * nh - D_x + E_x - D_c + E_c - {shared})")
+    # Sizes alone allow a link: sizes are compared first, then only the classes of allowed sizes meet.
+    kinds = near.groupBy("hub", "nh", "D", "E").agg(F.max("stray").alias("stray"))
+    allowed = F.expr(f"(100 + {percent}) * (nh - greatest(D_x, D_c)) >= {percent} * (2 * nh - D_x - D_c + E_x + E_c)")
+    sizes = (kinds.where("stray").select("hub", "nh", F.col("D").alias("D_x"), F.col("E").alias("E_x"))
+             .join(kinds.select("hub", F.col("D").alias("D_c"), F.col("E").alias("E_c")), "hub").where(allowed))
+    strays = near.where("stray")
+    x = strays.select("hub", *[F.col(n).alias(f"{n}_x") for n in ("id", "component", "D", "E", "lacking", "beyond")])
+    c = side("c", "lacking", "beyond")
+    by_size = x.join(sizes, ["hub", "D_x", "E_x"]).join(c, ["hub", "D_c", "E_c"]).where(linked).select("id_x", "id_c")
+
+    # Both have something that the consensus lacks.
+    beyond = near.select("hub", "id", "component", "stray", F.explode("beyond").alias("g"))
+    common = saved(beyond.groupBy("hub", "g").agg(F.count("*").alias("ids"), F.max("stray").alias("s")).where("ids > 1 and s").select("hub", "g"), "beyond")
+    beyond = saved(beyond.join(common, ["hub", "g"]), "beyond")
+    met = (beyond.where("stray").select("hub", "g", F.col("id").alias("id_x"), F.col("component").alias("px"))
+           .join(beyond.select("hub", "g", F.col("id").alias("id_c"), F.col("component").alias("pc")), ["hub", "g"])
+           .where("px <> pc").select("hub", "id_x", "id_c").distinct())
+    whole = near.select("hub", "nh").distinct()
+    by_extra = met.join(x, ["hub", "id_x"]).join(c, ["hub", "id_c"]).join(whole, "hub").where(linked).select("id_x", "id_c")
+
+    # Far from the hub: only with others that the hub isn't linked with.
+    far = members.where(F.col("nh").isNull()).select("hub", "id")
+    unlinked = members.where(F.col("nh").isNull() | (F.col("shared") * 100 < (F.col("nh") + F.col("n") - F.col("shared")) * percent)).select("hub", "id")
+    at = grouped.select("posting", "hub", "id", "component")
+    by_far = (at.join(far, ["hub", "id"]).select("posting", F.col("id").alias("x"), F.col("component").alias("px"))
+              .join(at.join(unlinked, ["hub", "id"]).select("posting", F.col("id").alias("c"), F.col("component").alias("pc")), "posting")
+              .where("px <> pc").select(F.least("x", "c").alias("hub"), F.greatest("x", "c").alias("id")).distinct())
+    return by_size.union(by_extra).toDF("a", "b").distinct(), by_far
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT,
@@ -164,19 +244,26 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     members = filled.select("id", "n", "set_a", "set_b", "signature").join(names, ["n", "set_a", "set_b"])
     classes = saved(members.where(F.col("id") == F.col("class")).select("id", "n", "signature").dropDuplicates(["id", "n", "signature"]), "class-signatures")
     prefix = saved(prefixes(classes, needed), "prefixes")
-    check = lambda pairs: confirmed(pairs, classes, docs, key, text, width, needed, percent)
-    tested = saved(hub_pairs(prefix), "hub-pairs")
-    links = saved(check(tested), "links")
+    check = lambda pairs, least, label: saved(compared(pairs, classes, docs, key, text, width, least), label)
+    hubs = saved(_hubs(prefix), "hubs")
+    # Near enough to a hub to be linked with what the hub is linked with.
+    near = min(needed, matches_needed(coordinates, max(0, 2 * percent - 100)))
+    found = check(hub_pairs(prefix, hubs), near, "hub-compared")
+    links = saved(links_of(found, percent), "links")
+    lonely = saved(alone(prefix, links), "lonely")
+    links = saved(links.union(links_of(check(hub_pairs(lonely, _hubs(lonely)), needed, "lonely-compared"), percent)), "links")
     parts = components(links)
-    more = saved(rest_pairs(prefix, parts, tested), "rest-pairs")
-    if not more.isEmpty():
-        links = saved(links.union(check(more)), "links")
-        parts = components(links)
+    placed = _components_of(prefix, parts)
+    between, open_pairs = rest_links(placed, hubs, found, percent)
+    rest = links_of(check(saved(open_pairs, "far-pairs"), needed, "far-compared"), percent)
+    rest = saved(between.union(rest), "rest-links")
+    if not rest.isEmpty():
+        parts = components(saved(links.union(rest), "links"))
     of_class = names.join(parts, names["class"] == parts["node"], "left").select("n", "set_a", "set_b", F.coalesce("component", "class").alias("component"))
     of_class = saved(of_class, "class-components")
     linked = filled.select("id", "n", "set_a", "set_b").join(of_class, ["n", "set_a", "set_b"]).select("id", "n", "component")
-    alone = rows.where((F.col("n") == 0) | F.col("id").isNull()).select("id", "n", F.col("id").alias("component"))
-    return linked.union(alone)
+    unlinked = rows.where((F.col("n") == 0) | F.col("id").isNull()).select("id", "n", F.col("id").alias("component"))
+    return linked.union(unlinked)
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
