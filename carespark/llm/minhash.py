@@ -18,8 +18,8 @@
    hub, let h be the set that most of its classes agree on; |x & c| is
    |h| - |Dx | Dc| + |Ex & Ec|, at most |h| - max(|Dx|, |Dc|) + |Ex & Ec|.  So
    either the sizes of D and E alone allow a link (the few distinct sizes are
-   compared first) or x and c share something that h lacks (an inverted join on
-   E); both are then decided exactly.  A class further from its hub than two
+   compared first) or x and c share so much that h lacks (an inverted join on the
+   rarer part of E); both are then decided exactly.  A class further from its hub than two
    links can only be linked with classes that the hub isn't linked with; those
    pairs are compared on full sets.  So no link between components is lost, and
    a large group of copies costs a few pairs per class, not the square of its size.
@@ -37,7 +37,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import documents, free, saved, sliced
@@ -140,7 +140,7 @@ def compared(pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str, te
     same = F.aggregate(F.zip_with("sh", "si", lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda s, x: s + x)
     likely = saved(both.where(same >= least).select("hub", "id"), "likely")
     wanted = likely.select(F.explode(F.array("hub", "id")).alias("wanted")).distinct()
-    texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(wanted, F.col("key") == F.col("wanted"), "left_semi")
+    texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(wanted.hint("merge"), F.col("key") == F.col("wanted"), "left_semi")
     sets = saved(set_rows(texts, "key", "text", width), "sets")
     full = (likely.join(sets.select(F.col("id").alias("hub"), F.col("hashes").alias("hh")), "hub")
             .join(sets.withColumnRenamed("hashes", "hi"), "id"))
@@ -214,13 +214,21 @@ def rest_links(placed: DataFrame, hubs: DataFrame, found: DataFrame, percent: in
     c = side("c", "lacking", "beyond")
     by_size = x.join(sizes, ["hub", "D_x", "E_x"]).join(c, ["hub", "D_c", "E_c"]).where(linked).select("id_x", "id_c")
 
-    # Both have something that the consensus lacks.
-    beyond = near.select("hub", "id", "component", "stray", F.explode("beyond").alias("g"))
-    common = saved(beyond.groupBy("hub", "g").agg(F.count("*").alias("ids"), F.max("stray").alias("s")).where("ids > 1 and s").select("hub", "g"), "beyond")
+    # Both have at least ``need`` things that the consensus lacks (|x & c| at its largest, c as short as
+    # any around the hub): all of a stray's but its need - 1 most common ones have to be looked at.
+    shortest = near.groupBy("hub").agg(F.max(F.col("D") - F.col("E")).alias("short"))
+    need = F.expr(f"greatest(1, ceil({percent} * (2 * nh - D + E - short) / (100 + {percent})) - nh + D)").cast("long")
+    beyond = near.join(shortest, "hub").select("hub", "id", "component", "stray", need.alias("need"), F.explode("beyond").alias("g"))
+    common = saved(beyond.groupBy("hub", "g").agg(F.count("*").alias("ids"), F.max("stray").alias("s")).where("ids > 1 and s").select("hub", "g", "ids"), "beyond")
     beyond = saved(beyond.join(common, ["hub", "g"]), "beyond")
-    met = (beyond.where("stray").select("hub", "g", F.col("id").alias("id_x"), F.col("component").alias("px"))
+    own = Window.partitionBy("hub", "id")  # no more rows than the class has shingles
+    rare = (beyond.where("stray")
+            .withColumn("nth", F.row_number().over(own.orderBy("ids", "g"))).withColumn("of", F.count("*").over(own))
+            .where(F.col("nth") <= F.col("of") - F.col("need") + 1))
+    met = (rare.select("hub", "g", F.col("id").alias("id_x"), F.col("component").alias("px"))
            .join(beyond.select("hub", "g", F.col("id").alias("id_c"), F.col("component").alias("pc")), ["hub", "g"])
            .where("px <> pc").select("hub", "id_x", "id_c").distinct())
+    met = saved(met, "met")
     whole = near.select("hub", "nh").distinct()
     by_extra = met.join(x, ["hub", "id_x"]).join(c, ["hub", "id_c"]).join(whole, "hub").where(linked).select("id_x", "id_c")
 
