@@ -18,7 +18,7 @@ from .shingles import mix, prefix_hashes
 _U = np.uint64
 _TABLE = np.random.Generator(np.random.PCG64(11)).integers(1, 1 << 63, 256, np.uint64)
 #: Bytes of texts that are handled at once (a longer text goes by itself).
-BATCH = 1 << 21
+BATCH = 1 << 20
 #: An anchor's place takes the low bits of its key, its hash the rest.
 _PLACE = 34
 

@@ -19,31 +19,32 @@ DEPTH = 1024
 
 def _words(data: np.ndarray, extra: int) -> np.ndarray:
     """The 8 bytes from each place as a number (zeros beyond the end), for ``extra`` places more than data has."""
-    padded = np.concatenate([data, np.zeros(extra + 8, np.uint8)]).astype(np.uint64)
     n = len(data) + extra
+    padded = np.concatenate([data, np.zeros(extra + 8, np.uint8)])
     out = np.zeros(n, np.uint64)
     for k in range(8):
-        out = (out << np.uint64(8)) | padded[k:k + n]
+        out <<= np.uint64(8)
+        out |= padded[k:k + n]
     return out
 
 
 def suffix_array(data: np.ndarray, words: np.ndarray) -> np.ndarray:
     """Places in order of the DEPTH bytes from there."""
     n = len(data)
-    order = np.argsort(words[:n], kind="stable")
+    order = np.argsort(words[:n], kind="stable").astype(np.int32)
     key = words[order]
-    rank = np.zeros(n + DEPTH, np.int64)  # 0: beyond the end
     new = np.concatenate([[True], key[1:] != key[:-1]])
-    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0)) + 1
+    del key
+    rank = np.zeros(n + DEPTH, np.int32)  # 0: beyond the end
+    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n, dtype=np.int32), 0)) + 1
     # Slots of the order whose suffix shares its rank with a neighbour.
     tied = np.flatnonzero(~new | ~np.append(new[1:], True))
     depth = 8
     while len(tied) and depth < DEPTH:
         at = order[tied]
-        head = rank[at]
-        pair = (head << 32) | rank[at + depth]
+        pair = (rank[at].astype(np.int64) << 32) | rank[at + depth]
         by = np.argsort(pair, kind="stable")
-        at, head, pair = at[by], head[by], pair[by]
+        at, pair = at[by], pair[by]
         order[tied] = at  # slots of a rank are consecutive, so sorting by rank first keeps them apart
         new = np.concatenate([[True], pair[1:] != pair[:-1]])
         rank[at] = np.maximum.accumulate(np.where(new, tied, 0)) + 1
@@ -73,7 +74,7 @@ class RunIndex:
     def __init__(self, data: np.ndarray):
         self.n = len(data)
         words = _words(data, DEPTH + 1)
-        order = np.append(self.n, suffix_array(data, words))
+        order = np.append(np.int32(self.n), suffix_array(data, words))
         bwt = np.where(order > 0, data[order - 1].astype(np.int16), -1)
         first = np.concatenate([[True], bwt[1:] != bwt[:-1]])
         #: Start and byte of each run; its first and last suffix.

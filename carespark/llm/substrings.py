@@ -32,14 +32,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .anchors import anchors
-from .common import documents, free, saved
+from .common import documents, free, saved, sliced
 from .runindex import RunIndex
 from .shingles import mix, prefix_hashes
 
 WINDOW = 200
 GRAM = 32
 INDEX_BYTES = 1 << 20
-GROUP_BYTES = 16 << 20
+GROUP_BYTES = 2 << 20
 _APART = b"\xff"
 _SPANS = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
 
@@ -48,7 +48,7 @@ def found_anchors(rows: DataFrame, window: int, gram: int) -> DataFrame:
     """gram, frag, d, t, a, b: the anchors of rows (d, t, text); windows a..b (byte places) are the anchor's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts = [(x or "").encode() for x in batch.column("text").to_pylist()]
             for of, a, b, g, f in anchors(texts, window, gram):
                 own = batch.select(["d", "t"]).take(pa.array(of))
@@ -67,7 +67,7 @@ def cut(rows: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
            .select("text", "cuts"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             out: dict[str, list] = {"gram": [], "frag": [], "data": []}
             for text, cuts in zip(batch.column("text").to_pylist(), batch.column("cuts").to_pylist()):
                 data = text.encode()
@@ -210,7 +210,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
                            T.StructField("kept", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             gone, kept = [], []
             for x, spots in zip(batch.column(text).to_pylist(), batch.column(s).to_pylist()):
                 data = (x or "").encode()
