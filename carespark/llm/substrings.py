@@ -60,26 +60,27 @@ def found_anchors(rows: DataFrame, window: int, gram: int) -> DataFrame:
 
 
 def cut(rows: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """gram, frag, data: the bytes of the fragments that ``wanted`` (gram, frag, d, t, a, b) names."""
+    """gram, frag, big, data: the bytes of the fragments that ``wanted`` (gram, frag, d, t, a, b, big) names."""
     lists = (wanted.groupBy(F.col("d").alias("wd"), F.col("t").alias("wt"))
-             .agg(F.collect_list(F.struct("gram", "frag", "a", "b")).alias("cuts")))
+             .agg(F.collect_list(F.struct("gram", "frag", "a", "b", "big")).alias("cuts")))
     met = (rows.join(lists, rows.d.eqNullSafe(lists.wd) & (rows.t == lists.wt))
            .select("text", "cuts"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
-            out: dict[str, list] = {"gram": [], "frag": [], "data": []}
+            out: dict[str, list] = {"gram": [], "frag": [], "big": [], "data": []}
             for text, cuts in zip(batch.column("text").to_pylist(), batch.column("cuts").to_pylist()):
                 data = text.encode()
                 for c in cuts:
                     out["gram"].append(c["gram"])
                     out["frag"].append(c["frag"])
+                    out["big"].append(c["big"])
                     out["data"].append(data[c["a"]:c["b"] + window])
             yield pa.RecordBatch.from_pydict({"gram": pa.array(out["gram"], pa.int64()), "frag": pa.array(out["frag"], pa.int64()),
-                                              "data": pa.array(out["data"], pa.binary())})
+                                              "big": pa.array(out["big"], pa.bool_()), "data": pa.array(out["data"], pa.binary())})
 
     # A repeated row has the same cuts; one of each fragment is enough.
-    return met.mapInArrow(run, "gram long, frag long, data binary")
+    return met.mapInArrow(run, "gram long, frag long, big boolean, data binary")
 
 
 def repeating(fragments: list[bytes], window: int) -> list[list[tuple[int, int]]]:
@@ -165,11 +166,9 @@ def repeated_spans(docs: DataFrame, key: str, text: str, window: int = WINDOW, g
     kinds = saved(met.groupBy("gram", "frag").agg(F.count("*").alias("n"), F.min(F.struct("d", "t", "a", "b")).alias("at")), "fragments")
     length = (F.col("at.b") - F.col("at.a") + window).cast("long")
     several = saved(kinds.groupBy("gram").agg(F.count("*").alias("kinds"), F.sum(length).alias("bytes")).where(F.col("kinds") > 1), "several")
-    mixed = kinds.join(several, "gram").select("gram", "frag", "at.*", "bytes")
-    small = by_index(cut(rows, mixed.where(F.col("bytes") <= group_bytes), window), window)
-    runs = small
-    if not several.where(F.col("bytes") > group_bytes).isEmpty():
-        runs = runs.union(by_windows(cut(rows, mixed.where(F.col("bytes") > group_bytes), window), window))
+    mixed = kinds.join(several, "gram").select("gram", "frag", "at.*", (F.col("bytes") > group_bytes).alias("big"))
+    pieces = saved(cut(rows, mixed, window), "pieces")  # texts are gone through once for both ways
+    runs = by_index(pieces.where(~F.col("big")), window).union(by_windows(pieces.where("big"), window))
     # Fragments with a count of two or more repeat from end to end.
     whole = kinds.where(F.col("n") > 1).select("gram", "frag", F.array(F.struct(
         F.lit(0).cast("long").alias("a"), (F.col("at.b") - F.col("at.a")).cast("long").alias("b"))).alias("runs"))
