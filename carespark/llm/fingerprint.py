@@ -21,10 +21,10 @@ whole; columns of the input stay.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, free, numbered
+from .common import documents, free, numbered, saved
 
 SECTION = 8
 PIECE = 4
@@ -55,8 +55,13 @@ def as_text(node: Column) -> Column:
     return F.concat_ws(".", node["root"], short(node["sections"]), short(node["paragraphs"]), F.array_join(node["pieces"], " "))
 
 
+def codes(pieces: Column) -> Column:
+    """The pieces' digests as int numbers: half the room and cheaper to compare."""
+    return F.transform(pieces, lambda p: (F.conv(p, 16, 10).cast("long") - (1 << 31)).cast("int"))
+
+
 def likeness(a: Column, b: Column, a_pieces: Column, b_pieces: Column) -> Column:
-    """Of two roots and their pieces, from 0 to 1."""
+    """Of two roots and their pieces (digests or codes), from 0 to 1."""
     shared = F.size(F.array_intersect(a_pieces, b_pieces)).cast("double")
     return F.when(a == b, F.lit(1.0)).otherwise(shared / F.greatest(F.size(F.array_distinct(a_pieces)), F.size(F.array_distinct(b_pieces))))
 
@@ -78,27 +83,34 @@ def fingerprints(docs: DataFrame, text: str, out: str = "fingerprint") -> DataFr
 def with_next_head(docs: DataFrame, key: str, text: str, head: str, after: str) -> DataFrame:
     """key, text (null: empty), with ``head``, the first floor(length/4) characters
     of the next row's text in key order (after the last: the first), and
-    ``after``, that row's tree's root and pieces.
+    ``after``, that row's root and piece codes.
 
-    Only keys and lengths are put in order; a text meets its number once, and
-    the next row's head is sent to where the row before it already lies.
-    Equal keys follow a hash of their text; repeated rows follow each other.
+    Only keys and lengths are put in order; a text is shuffled once, by its
+    key, and the next row's head is sent to where the row before it lies.
+    Equal keys follow a hash of their text; repeated rows are one row with a
+    count until the end, where each is followed by its like and the last by
+    the next.
     """
     rows = docs.select(F.coalesce(F.col(key), F.lit(0)).cast("long").alias("k"), F.col(key).alias("key"), F.coalesce(text, F.lit("")).alias("text"))
     rows = rows.withColumn("tie", F.xxhash64(F.col("key").isNull(), "text"))
-    # Rows equal in key and text are told apart by a running number; which gets which doesn't matter.
-    rows = rows.withColumn("again", F.row_number().over(Window.partitionBy("k", "tie").orderBy("k")))
-    places = rows.select("k", "tie", "again", "key", F.length("text").alias("n"))
-    places = numbered(places, [F.col("key").asc_nulls_first(), F.col("tie").asc(), F.col("again").asc()], "places", "row_no")
+    places = rows.select("k", "tie", "key", F.length("text").alias("n")).groupBy("k", "tie").agg(F.first("key").alias("key"), F.first("n").alias("n"))
+    places = saved(numbered(places, [F.col("key").asc_nulls_first(), F.col("tie").asc()], "places", "row_no"), "numbered")
     total = max(1, places.count())  # one number
     before = places.select(F.pmod(F.col("row_no") + 1, F.lit(total)).alias("row_no"), F.col("k").alias("pk"), F.col("tie").alias("pt"),
-                           F.col("again").alias("pa"), F.floor(F.col("n") / 4).cast("int").alias("wanted"))
-    links = places.select("k", "tie", "again", "row_no").join(before, "row_no").drop("row_no")
-    given = rows.join(links, ["k", "tie", "again"]).select(
-        F.col("pk").alias("k"), F.col("pt").alias("tie"), F.col("pa").alias("again"),
-        F.expr("substring(text, 1, wanted)").alias(head), tree(F.col("text")).alias("t"))
-    given = given.select("k", "tie", "again", head, F.struct(F.col("t.root").alias("root"), F.array_join("t.pieces", " ").alias("pieces")).alias(after))
-    return rows.join(given, ["k", "tie", "again"]).select("key", "text", head, after)
+                           F.floor(F.col("n") / 4).cast("int").alias("wanted"))
+    links = places.select("k", "tie", "row_no").join(before, "row_no").drop("row_no")
+    rows = rows.groupBy("k", "tie").agg(F.first("key").alias("key"), F.first("text").alias("text"), F.count("*").alias("times"))
+    print_of = lambda t: F.struct(t["root"].alias("root"), codes(t["pieces"]).alias("codes"))
+    # Always true; it needs every column that the rows below need, so that Spark reuses the one shuffle of the texts.
+    same_columns = (F.col("times") > 0) & (F.col("key").isNull() | (F.col("key") == F.col("k")))
+    given = rows.where(same_columns).join(links, ["k", "tie"]).select(
+        F.col("pk").alias("k"), F.col("pt").alias("tie"), F.expr("substring(text, 1, wanted)").alias("head"), tree(F.col("text")).alias("t"))
+    given = given.select("k", "tie", "head", print_of(F.col("t")).alias("after"))
+    met = rows.join(given, ["k", "tie"]).select("key", "text", "head", "after", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("nth"), "times")
+    like = F.col("nth") < F.col("times")  # a repeated row comes next
+    own_head = F.expr("substring(text, 1, cast(floor(length(text) / 4) as int))")
+    return met.select("key", "text", F.when(like, own_head).otherwise(F.col("head")).alias(head),
+                      F.when(like, print_of(tree(F.col("text")))).otherwise(F.col("after")).alias(after))
 
 
 def op10_merkle(spark, sf_dir: str) -> DataFrame:
@@ -108,11 +120,12 @@ def op10_merkle(spark, sf_dir: str) -> DataFrame:
     docs = docs.select(F.col("key").alias("doc_id"), n.cast("long").alias("n_chars"), "text", F.concat(kept, "head").alias("edited"), "after")
     docs = docs.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), tree(F.col("text")).alias("own"),
                        tree(F.col("edited")).alias("new"), "after")
+    docs = docs.select("*", codes(F.col("own.pieces")).alias("a"), codes(F.col("new.pieces")).alias("b"))
     own, new, after = F.col("own"), F.col("new"), F.col("after")
     return docs.select(
         "doc_id", "n_chars", "edited_sha256", as_text(own).alias("fingerprint"), as_text(new).alias("edited_fingerprint"),
-        likeness(own["root"], new["root"], own["pieces"], new["pieces"]).alias("near_edited"),
-        likeness(own["root"], after["root"], own["pieces"], F.split(after["pieces"], " ", -1)).alias("near_next"))
+        likeness(own["root"], new["root"], F.col("a"), F.col("b")).alias("near_edited"),
+        likeness(own["root"], after["root"], F.col("a"), after["codes"]).alias("near_next"))
 
 
 OP10_SQL = f"""
