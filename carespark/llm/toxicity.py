@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents, free, saved, table
+from .common import documents, free, saved, sliced, table
 from .pieces import Memo
 
 FEATURES = 1 << 20
@@ -115,7 +115,8 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, key: str, text: str, labe
     """A written table of key, text, label of all labelled documents, each key once."""
     known = labels.where(F.col(label).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.max(label).cast("int").alias("label"))
     rows = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.coalesce(text, F.lit("")).alias("text"))
-    return saved(rows.join(known, "key"), "labelled")
+    # Always a shuffled join: labels grow with the documents, and the plan is the same at every size.
+    return saved(rows.join(known.hint("merge"), "key"), "labelled")
 
 
 def frequencies(labelled: DataFrame) -> DataFrame:
@@ -124,7 +125,7 @@ def frequencies(labelled: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = np.zeros((2, FEATURES), np.int32)
         of = Memo(buckets)
-        for batch in batches:
+        for batch in sliced(batches):
             for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
                 found = set().union(*map(of.__getitem__, words_of(text)))
                 both[int(label > 0), np.fromiter(found, np.int64, len(found))] += 1
@@ -157,7 +158,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         at = {b: i for i, b in enumerate(chosen)}
         of = Memo(lambda w: tuple(at[b] for b in buckets(w) if b in at))
         here = lambda words: sorted(set().union(*map(of.__getitem__, words)))
-        for batch in batches:
+        for batch in sliced(batches):
             words = [words_of(t) for t in batch.column("text").to_pylist()]
             other = [swapped(w, zlib.crc32(str(k).encode())) for w, k in zip(words, batch.column("key").to_pylist())]
             yield pa.RecordBatch.from_pydict({
@@ -204,7 +205,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score")
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType(), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             found = pa.array(model.scores(batch.column(text).to_pylist()), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*batch.schema.names, out])
 
@@ -218,7 +219,7 @@ def held_out(key: str):
 
 def learned(docs: DataFrame, labels: DataFrame) -> Model:
     """The model that labels outside the held-out fifth teach."""
-    return fit(docs.select("doc_id", "text"), labels.where(~held_out("doc_id")).select("doc_id", "toxic"))
+    return fit(docs.where(~held_out("doc_id")).select("doc_id", "text"), labels.where(~held_out("doc_id")).select("doc_id", "toxic"))
 
 
 def reject(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
