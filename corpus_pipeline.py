@@ -29,7 +29,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     gone = free(docs, "lines_gone")
-    out = lines.drop_templates(docs, dropped=gone)
+    out = lines.drop_templates(docs, dropped=gone, whole=True)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col(gone) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return out.select(docs.columns)

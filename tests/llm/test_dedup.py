@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from fixtures import BASE, CLASHES, family, frame, near_components, rows, shingles
 
+import corpus_pipeline
 from carespark.llm import lines, minhash, substrings
 from carespark.llm.anchors import anchors, sliding_min
 from carespark.llm.components import components
@@ -175,3 +176,17 @@ def test_lines_of_awkward_rows(spark):
     assert order(same) == order(docs) and same.columns == docs.columns
     assert lines.drop_templates(frame(spark, [])).collect() == []
     assert len(CLASHES) > 20 and hashlib.sha256(b"").hexdigest()
+
+
+def staged(spark, texts):
+    """The texts after the pipeline's line stage."""
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r.text for r in sorted(corpus_pipeline.line_stage(spark, docs, "").collect())]
+
+
+def test_short_and_space_free_lines_go_in_the_pipeline(spark):
+    often = ["All rights reserved.", "本文は引用を除き著作権法により保護されています。", "Les."]
+    texts = ["\n".join([f"own{i}", *often, "page %d" % i, "seldom" if i < 9 else f"x{i}", ""]) for i in range(20)]
+    got = staged(spark, texts)
+    assert got[0] == texts[0]
+    assert got[1:] == ["\n".join([f"own{i}", "page %d" % i, "seldom" if i < 9 else f"x{i}", ""]) for i in range(1, 20)]
