@@ -190,3 +190,10 @@ def test_short_and_space_free_lines_go_in_the_pipeline(spark):
     got = staged(spark, texts)
     assert got[0] == texts[0]
     assert got[1:] == ["\n".join([f"own{i}", "page %d" % i, "seldom" if i < 9 else f"x{i}", ""]) for i in range(1, 20)]
+
+
+@pytest.mark.parametrize("size", [60, 2000])
+def test_templates_with_fields_of_few_values_go_at_every_size(spark, size):
+    name = lambda k: "".join(chr(97 + int(c)) for c in str(100 + k))
+    texts = [f"own{i} x\nThis article was written by {name(i % 20)} {name(50 + i // 20 % 20)} for readers\nrest{i} y" for i in range(size)]
+    assert staged(spark, texts) == [texts[0], *(f"own{i} x\nrest{i} y" for i in range(1, size))]
