@@ -197,3 +197,12 @@ def test_templates_with_fields_of_few_values_go_at_every_size(spark, size):
     name = lambda k: "".join(chr(97 + int(c)) for c in str(100 + k))
     texts = [f"own{i} x\nThis article was written by {name(i % 20)} {name(50 + i // 20 % 20)} for readers\nrest{i} y" for i in range(size)]
     assert staged(spark, texts) == [texts[0], *(f"own{i} x\nrest{i} y" for i in range(1, size))]
+
+
+def test_lines_with_digits_go_in_the_pipeline(spark):
+    name = lambda k: "".join(chr(97 + int(c)) for c in str(100 + k))
+    same = ["Copyright (c) 2024 Acme 2001-2024", "Tel. 030 1234567 Fax 030 7654321"]
+    texts = ["\n".join([f"own{i}", *same, f"2024-01-{i + 1:02} 12:00:{i:02} INFO job {i * 7} finished in {i + 3} s",
+                        f"(c) 2024 by {name(i)} and sons 2001-2024", f"{i} {i + 1} {i + 2} {i + 3} total"]) for i in range(20)]
+    got = staged(spark, texts)
+    assert got == [texts[0], *(f"own{i}\n{i} {i + 1} {i + 2} {i + 3} total" for i in range(1, 20))]
