@@ -1,8 +1,9 @@
 """MinHash near-dedup by an inverted join over signature coordinates.
 
 1. Every whole text gets the set of its word shingles (64-bit hashes) and a
-   MinHash signature of COORDINATES values.  Equal sets are one class, named by
-   its smallest doc_id; from here on only classes count.
+   MinHash signature of COORDINATES values.  Equal sets are one class, numbered
+   in the order of its smallest (doc_id, text hash), which is the row that stands
+   for it; from here on only classes count.
 2. A class is posted under each (coordinate, value).  Pairs that match in fewer
    than a stated number of coordinates (``matches_needed``) are of no interest: a pair of similarity 0.8 does
    so with a chance below 1e-7.  So postings with one class go, then classes
@@ -26,8 +27,9 @@
 
 Defined cases: null, empty and wordless texts have an empty set and are linked
 with nothing; rows with a null doc_id are linked with nothing (component null,
-kept); a repeated doc_id with another text follows each row's own text; columns
-of the input stay; empty tables give no rows.
+kept); a repeated doc_id with another text follows each row's own text, and rows
+are told apart by doc_id and text hash; rows repeated as they are are treated
+alike; columns of the input stay; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -77,7 +79,7 @@ def signature(hashes: np.ndarray, coordinates: int = COORDINATES) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, key: str, text: str, width: int = WIDTH, coordinates: int = COORDINATES) -> DataFrame:
-    """id, n (set size), set_a, set_b (a 128-bit digest of the set), signature (null if empty)."""
+    """id, t (the text's hash), n (set size), set_a, set_b (a 128-bit digest of the set), signature (null if empty)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
@@ -88,11 +90,11 @@ def signatures(docs: DataFrame, key: str, text: str, width: int = WIDTH, coordin
                 b.append(int(np.bitwise_xor.reduce(s * (s >> _U(7) | _U(1)), initial=_U(0)).astype(np.int64)))
                 sig.append(signature(s, coordinates) if len(s) else None)
             yield pa.RecordBatch.from_pydict({
-                "id": batch.column("id"), "n": pa.array(size, pa.int64()), "set_a": pa.array(a, pa.int64()),
+                "id": batch.column("id"), "t": batch.column("t"), "n": pa.array(size, pa.int64()), "set_a": pa.array(a, pa.int64()),
                 "set_b": pa.array(b, pa.int64()), "signature": pa.array(sig, pa.list_(pa.int32()))})
 
-    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "id long, n long, set_a long, set_b long, signature array<int>")
+    rows = docs.select(F.col(key).cast("long").alias("id"), F.xxhash64(text).alias("t"), F.col(text).alias("text"))
+    return rows.mapInArrow(run, "id long, t long, n long, set_a long, set_b long, signature array<int>")
 
 
 def set_rows(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
@@ -139,9 +141,10 @@ def compared(pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str, te
             .join(sig.withColumnRenamed("signature", "si"), "id"))
     same = F.aggregate(F.zip_with("sh", "si", lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda s, x: s + x)
     likely = saved(both.where(same >= least).select("hub", "id"), "likely")
-    wanted = likely.select(F.explode(F.array("hub", "id")).alias("wanted")).distinct()
-    texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(wanted.hint("merge"), F.col("key") == F.col("wanted"), "left_semi")
-    sets = saved(set_rows(texts, "key", "text", width), "sets")
+    wanted = likely.select(F.explode(F.array("hub", "id")).alias("id")).distinct().join(classes.select("id", "doc", "t"), "id")
+    texts = docs.select(F.col(key).cast("long").alias("doc"), F.xxhash64(text).alias("t"), F.col(text).alias("text"))
+    texts = texts.join(wanted.hint("merge"), ["doc", "t"]).groupBy("doc", "t").agg(F.first("id").alias("id"), F.first("text").alias("text"))
+    sets = saved(set_rows(texts, "id", "text", width), "sets")
     full = (likely.join(sets.select(F.col("id").alias("hub"), F.col("hashes").alias("hh")), "hub")
             .join(sets.withColumnRenamed("hashes", "hi"), "id"))
     extra = F.array_except("hi", "hh")
@@ -244,13 +247,18 @@ def rest_links(placed: DataFrame, hubs: DataFrame, found: DataFrame, percent: in
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT,
                     coordinates: int = COORDINATES) -> DataFrame:
-    """A row per document: id, n (set size), component (the smallest id that links reach)."""
+    """A row per document: id, t (the text's hash), n (set size), component (the smallest id that links reach),
+    kept (whether the row, by id and t, is the first of its component)."""
     needed = matches_needed(coordinates, percent)
     rows = saved(signatures(docs, key, text, width, coordinates), "signatures")
     filled = rows.where((F.col("n") > 0) & F.col("id").isNotNull())
-    names = saved(filled.groupBy("n", "set_a", "set_b").agg(F.min("id").alias("class")), "classes")
-    members = filled.select("id", "n", "set_a", "set_b", "signature").join(names, ["n", "set_a", "set_b"])
-    classes = saved(members.where(F.col("id") == F.col("class")).select("id", "n", "signature").dropDuplicates(["id", "n", "signature"]), "class-signatures")
+    names = saved(filled.groupBy("n", "set_a", "set_b").agg(F.min(F.struct("id", "t")).alias("first")), "classes")
+    names = names.select("n", "set_a", "set_b", F.col("first.id").alias("doc"), F.col("first.t").alias("first_t"))
+    names = saved(names.repartitionByRange("doc", "first_t").sortWithinPartitions("doc", "first_t")
+                  .withColumn("class", F.monotonically_increasing_id()), "classes")
+    members = filled.select("id", "t", "n", "set_a", "set_b", "signature").join(names, ["n", "set_a", "set_b"])
+    first = (F.col("id") == F.col("doc")) & (F.col("t") == F.col("first_t"))
+    classes = saved(members.where(first).select(F.col("class").alias("id"), "doc", "t", "n", "signature").dropDuplicates(["id"]), "class-signatures")
     prefix = saved(prefixes(classes, needed), "prefixes")
     check = lambda pairs, least, label: saved(compared(pairs, classes, docs, key, text, width, least), label)
     hubs = saved(_hubs(prefix), "hubs")
@@ -267,21 +275,23 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     rest = saved(between.union(rest), "rest-links")
     if not rest.isEmpty():
         parts = components(saved(links.union(rest), "links"))
-    of_class = names.join(parts, names["class"] == parts["node"], "left").select("n", "set_a", "set_b", F.coalesce("component", "class").alias("component"))
-    of_class = saved(of_class, "class-components")
-    linked = filled.select("id", "n", "set_a", "set_b").join(of_class, ["n", "set_a", "set_b"]).select("id", "n", "component")
-    unlinked = rows.where((F.col("n") == 0) | F.col("id").isNull()).select("id", "n", F.col("id").alias("component"))
+    of_class = names.join(parts, names["class"] == parts["node"], "left").select("n", "set_a", "set_b", F.coalesce("component", "class").alias("class"))
+    of_class = of_class.join(names.select("class", "doc", "first_t"), "class")
+    of_class = saved(of_class.select("n", "set_a", "set_b", "doc", "first_t"), "class-components")
+    linked = filled.select("id", "t", "n", "set_a", "set_b").join(of_class, ["n", "set_a", "set_b"]).select(
+        "id", "t", "n", F.col("doc").alias("component"), first.alias("kept"))
+    unlinked = rows.where((F.col("n") == 0) | F.col("id").isNull()).select("id", "t", "n", F.col("id").alias("component"), F.lit(True).alias("kept"))
     return linked.union(unlinked)
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """docs with one document (the smallest id) of each group of near duplicates."""
-    gone, k = near_duplicates(docs, key, text, width, percent), free(docs, "gone_id")
-    gone = gone.where(F.col("id") != F.col("component")).select(F.col("id").alias(k)).distinct()
-    return docs.join(gone, F.col(key) == F.col(k), "left_anti")
+    """docs with one document (the smallest id, then text hash) of each group of near duplicates."""
+    k, t = free(docs, "gone_id"), free(docs, "gone_t")
+    gone = near_duplicates(docs, key, text, width, percent).where(~F.col("kept")).select(F.col("id").alias(k), F.col("t").alias(t)).distinct()
+    return docs.join(gone, (F.col(key) == F.col(k)) & (F.xxhash64(text) == F.col(t)), "left_anti")
 
 
 def op2_minhash(spark, sf_dir: str) -> DataFrame:
     found = near_duplicates(documents(spark, sf_dir).select("doc_id", "text"), width=2)
     return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"),
-                        F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"))
+                        "kept")

@@ -5,7 +5,7 @@ import random
 
 import numpy as np
 import pytest
-from fixtures import BASE, CLASHES, family, frame, near_components, rows, shingles
+from fixtures import BASE, CLASHES, NEAR, family, frame, near_components, rows, shingles
 
 import corpus_pipeline
 from carespark.llm import lines, minhash, substrings
@@ -55,6 +55,15 @@ def test_near_duplicates_of_awkward_rows(spark):
     assert [i for i in ids if i in same] == [min(same)] * same.count(min(same)) and ids.count(None) == 2
 
 
+def test_near_duplicates_follow_the_text_of_a_repeated_id(spark):
+    clean = " ".join(f"clean{i}" for i in range(60))
+    docs = [(1, NEAR), (7, BASE), (7, clean), (9, clean.replace("clean9 ", "other ")), (9, "a text of its own")]
+    got = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted((r.id, r.component, r.kept) for r in got) == [(1, 1, True), (7, 1, False), (7, 7, True), (9, 7, False), (9, 9, True)]
+    kept = minhash.keep_one(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, kept)) == [(1, NEAR), (7, clean), (9, "a text of its own")]
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 107), (107, 103), (9, 9)] + [(200, x) for x in range(201, 230)]
     got = {r.node: r.component for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
