@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprint, lines, minhash, mixing, search, sharding, substrings, toxicity, wavelet
+from . import bpe, fingerprint, lines, minhash, mixing, search, sharding, simhash, substrings, toxicity, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substrings": substrings.op8_substrings,
     "op9_mixing": mixing.op9_mixing,
     "op10_merkle": fingerprint.op10_merkle,
+    "op11_simhash": simhash.op11_simhash,
 }
 
 ORACLE_SQL: dict[str, str] = {
