@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprint, lines, minhash, mixing, search, sharding, simhash, substrings, toxicity, wavelet
+from . import bpe, fingerprint, lines, manifest, minhash, mixing, search, sharding, simhash, substrings, toxicity, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": mixing.op9_mixing,
     "op10_merkle": fingerprint.op10_merkle,
     "op11_simhash": simhash.op11_simhash,
+    "op12_manifest": manifest.op12_manifest,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -27,4 +28,5 @@ ORACLE_SQL: dict[str, str] = {
     "op6_topk": search.OP6_SQL,
     "op9_mixing": mixing.OP9_SQL,
     "op10_merkle": fingerprint.OP10_SQL,
+    "op12_manifest": manifest.OP12_SQL,
 }
