@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprint, lines, manifest, minhash, mixing, search, sharding, simhash, substrings, toxicity, wavelet
+from . import bpe, fingerprint, lines, manifest, minhash, mixing, search, sharding, simhash, substrings, toxicity, wavelet, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_merkle": fingerprint.op10_merkle,
     "op11_simhash": simhash.op11_simhash,
     "op12_manifest": manifest.op12_manifest,
+    "op13_whitening": whitening.op13_whitening,
 }
 
 ORACLE_SQL: dict[str, str] = {
