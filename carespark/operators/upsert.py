@@ -1,23 +1,25 @@
 """Incremental load: watermark filter, key-based upsert, column append.
 
 ``merge_upsert`` is the pure plan (anti-join + union); ``IncrementalTable``
-adds storage: every run writes a complete new version directory whose job
-commit marker publishes it, so a reader never sees a half-written table, a
-failed run leaves the previous version intact, and a retried task or a lost
-executor only re-executes tasks of the version being written.
+adds storage by key buckets: a run writes new copies of the buckets it touches
+and one commit record that publishes them, so a reader never sees a half-written
+table, a failed run leaves the previous version intact, and a retried task or a
+lost executor only re-executes tasks of the buckets being written.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.dates import ntz_lit
 from ..session import work_root
 from ..sources.adapter import LOAD_PARTITION, load_month
-from ..sources.io import VersionedTable
+from ..sources.io import PART, PartTable
 
 LOADED_AT = "_loaded_at"
 
@@ -61,14 +63,6 @@ def checked_month(src: DataFrame, col: str = LOADED_AT) -> DataFrame:
     return src.filter(F.coalesce(guard, F.lit(True)))
 
 
-def after_watermark_of(src: DataFrame, target: DataFrame, col: str = LOADED_AT) -> DataFrame:
-    """Lazy form: the target's max joins as a one-row broadcast side."""
-    wm = target.agg(F.max(col).alias("_wm"))
-    return (src.crossJoin(F.broadcast(wm))
-               .filter(F.col("_wm").isNull() | (F.col(col) > F.col("_wm")))
-               .drop("_wm"))
-
-
 def dedupe_batch(src: DataFrame, key: str, on_duplicate: str = "error", order_col: str = LOADED_AT) -> DataFrame:
     """Guard against several rows for one key inside one batch.
 
@@ -108,31 +102,114 @@ def merge_upsert(target: DataFrame | None, src: DataFrame, key: str) -> DataFram
     return kept.unionByName(src, allowMissingColumns=True)
 
 
-class IncrementalTable(VersionedTable):
-    """A versioned parquet table (see ``VersionedTable``) kept current by upserts.
+BUCKETS = 16
+
+
+class IncrementalTable(PartTable):
+    """A stored table kept current by upserts, laid out in buckets of the key's hash.
+
+    A batch rewrites the buckets that it has keys for, no others; the watermark
+    (newest load time) comes from the commit record, so the target isn't scanned
+    for it; columns that a batch brings are appended to the stored schema.
+    ``buckets`` is fixed by the first commit: as many as make a bucket of the full
+    table one task's work.  Rows with a NULL key, which never match, are spread over the
+    buckets by their load time and contents.  One writer per table at a time.
 
-    One writer per table at a time.  Re-running a batch is harmless: rows not
-    newer than the stored watermark are skipped.
+    Re-running a batch is harmless: rows not newer than the watermark are
+    skipped, and a batch that leaves none makes no version.
     """
 
     def __init__(self, spark: SparkSession, name: str, key: str, root: str | None = None,
-                 on_duplicate: str = "error"):
+                 on_duplicate: str = "error", buckets: int = BUCKETS, loaded_at: str = LOADED_AT):
         super().__init__(spark, f"{(root or work_root(spark)).rstrip('/')}/{name}")
         self.name = name
         self.key = key
         self.on_duplicate = on_duplicate
+        self.buckets = buckets
+        self.loaded_at = loaded_at
+
+    def watermark(self, record: dict | None = None) -> dt.datetime | None:
+        """The newest load time of the stored rows, as committed."""
+        record = record or self.current()
+        return dt.datetime.fromisoformat(record["watermark"]) if record and record["watermark"] else None
+
+    def _bucket(self, df: DataFrame, record: dict | None) -> Column:
+        null = F.xxhash64(*[F.col(c) for c in df.columns if not isinstance(df.schema[c].dataType, T.MapType)])
+        hashed = F.when(F.col(self.key).isNull(), null).otherwise(F.xxhash64(F.col(self.key)))
+        return F.pmod(hashed, F.lit(record["buckets"] if record else self.buckets)).cast("string")
 
     def upsert(self, batch: DataFrame, stage=None) -> DataFrame:
-        """Keep batch rows past the watermark, merge them by key, publish a new version.
+        """Keeps batch rows past the watermark, merges them by key and commits; returns the table.
 
         With ``stage`` the batch is a *raw* extract: the watermark is applied to
         the raw scan first (pushed to parquet, month folders pruned), then the
-        surviving rows are staged.  Staging passes ``_loaded_at`` through, so
+        surviving rows are staged.  Staging passes the load time through, so
         both orders give the same rows.
         """
-        target = self.read()
-        fresh = after_watermark(checked_month(batch), watermark(target))
-        if stage is not None:
-            fresh = stage(fresh)
-        fresh = dedupe_batch(fresh, self.key, self.on_duplicate)
-        return self.write(merge_upsert(target, fresh, self.key))
+        before = self.current()
+        fresh = after_watermark(checked_month(batch), self.watermark(before), self.loaded_at)
+        self.merge(stage(fresh) if stage is not None else fresh)
+        return self.read()
+
+    def merge(self, fresh: DataFrame, newest_wins: bool = False, meta: dict | None = None) -> dict | None:
+        """Merges staged rows by key; returns the new record (None: no rows, nothing written).
+
+        With ``newest_wins`` a row that isn't newer than the stored row of its key goes to
+        the side table ``late`` instead of the target.
+        """
+        before = self.current()
+        version = before["version"] + 1 if before else 1
+        if self.on_duplicate == "latest" or newest_wins:
+            fresh = dedupe_batch(fresh, self.key, "latest", self.loaded_at)
+        # Written once: the checks and the merge read these rows, not the batch's whole plan again.
+        arrived = f"{self.path}/arrived/v-{version:06d}"
+        fresh.withColumn(PART, self._bucket(fresh, before)).write.mode("overwrite").partitionBy(PART).parquet(arrived)
+        schema = T.StructType([*fresh.schema.fields, T.StructField(PART, T.StringType())])
+        incoming = self.spark.read.schema(schema).parquet(arrived)
+        touched = {r[PART]: r.newest for r in incoming.groupBy(PART).agg(F.max(self.loaded_at).alias("newest")).collect()}
+        if not touched and before:
+            return None
+        if self.on_duplicate == "error":
+            self._reject_duplicates(incoming)
+        marks = [m for m in (*touched.values(), self.watermark(before)) if m is not None]
+        meta = {"stream": (before or {}).get("stream"), **(meta or {}), "buckets": before["buckets"] if before else self.buckets,
+                "watermark": max(marks).isoformat() if marks else None, "arrived": version}
+        target = self.read(touched, before) if before else None
+        if newest_wins and target is not None:
+            incoming = self._newer(incoming, target, version)
+        merged = merge_upsert(target, incoming.drop(PART), self.key)
+        # A bucket is one task's work by its size, so it is one file.
+        return self.replace(merged.withColumn(PART, self._bucket(merged, before)).repartition(PART), F.col(PART), touched, meta)
+
+    def _reject_duplicates(self, incoming: DataFrame) -> None:
+        twice = incoming.where(F.col(self.key).isNotNull()).groupBy(PART, self.key).count().where(F.col("count") > 1)
+        found = twice.orderBy(self.key).first()
+        if found is not None:
+            raise ValueError(f"duplicate {self.key} in incremental batch: {found[self.key]}")
+
+    def _newer(self, incoming: DataFrame, target: DataFrame, version: int) -> DataFrame:
+        """incoming without the rows whose key is stored with the same or a newer load time; those go to the side table."""
+        stored = target.where(F.col(self.key).isNotNull()).select(F.col(self.key).alias("_k"), F.col(self.loaded_at).alias("_at"))
+        met = incoming.join(stored, F.col(self.key) == F.col("_k"), "left")
+        old = F.coalesce(F.col("_at") >= F.col(self.loaded_at), F.col("_at").isNotNull())
+        met.where(old).drop("_k", "_at", PART).write.mode("overwrite").parquet(f"{self.path}/late/v-{version:06d}")
+        return met.where(~old).drop("_k", "_at")
+
+    def late(self) -> DataFrame | None:
+        """Rows that came too late to be merged: at or before a load's watermark, or older than their key's stored row."""
+        try:
+            return self.spark.read.schema(self.schema()).option("recursiveFileLookup", "true").parquet(f"{self.path}/late")
+        except AnalysisException:
+            return None
+
+    def changes(self, version: int | None = None) -> tuple[DataFrame, DataFrame]:
+        """What the last (or the given) upsert changed: the rows as they arrived, and the rows that they replaced."""
+        record = self.record(version) if version else self.current()
+        arrived = f"{self.path}/arrived/v-{record['arrived']:06d}"
+        new = self.spark.read.schema(T.StructType([*self.schema(record).fields, T.StructField(PART, T.StringType())])).parquet(arrived)
+        before = self.record(record["arrived"] - 1)
+        if before is None:
+            return new.drop(PART), new.drop(PART).limit(0)
+        touched = [p for p, held in record["parts"].items() if held["version"] == record["arrived"]]
+        old = self.read(touched, before).join(new.select(self.key), self.key, "left_semi")
+        return new.drop(PART), old

@@ -69,26 +69,23 @@ def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
     return shared_warehouse(spark, sf_dir)
 
 
-register("incremental_watermark", lambda s, d: scenarios.incremental_watermark(_wh(s, d).raw["cladjust"]))
-register("incremental_upsert", lambda s, d: scenarios.incremental_upsert(_wh(s, d).raw["cladjust"]))
-def _incremental_load(name: str) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        import uuid
-
-        from ..session import work_root
+def _fresh_root(spark: SparkSession, label: str) -> str:
+    """A folder of its own for a scenario's stored tables, in the shared work root."""
+    import uuid
 
-        root = f"{work_root(spark).rstrip('/')}/incremental-{uuid.uuid4().hex[:12]}"
-        return scenarios.incremental_load(spark, _wh(spark, sf_dir).raw[name], name, root)
+    from ..session import work_root
 
-    return run
+    return f"{work_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+for _inc in ("incremental_watermark", "incremental_upsert", "schema_append"):
+    register(_inc, lambda s, d, n=_inc: getattr(scenarios, n)(s, _wh(s, d).raw["cladjust"], _fresh_root(s, n)))
 for _inc in scenarios.INCREMENTAL:
-    register(f"incremental_{_inc}", _incremental_load(_inc))
-register("schema_append", lambda s, d: scenarios.schema_append(_wh(s, d).raw["cladjust"]))
+    register(f"incremental_{_inc}",
+             lambda s, d, n=_inc: scenarios.incremental_load(s, _wh(s, d).raw[n], n, _fresh_root(s, f"incremental-{n}")))
 for _snap, _spec in scenarios.SNAPSHOTS.items():
     register(f"snapshot_{_snap}",
-             lambda s, d, n=_snap, st=_spec[0]: scenarios.snapshot_history(_wh(s, d).stg(st), n))
+             lambda s, d, n=_snap, st=_spec[0]: scenarios.stored_snapshot(s, _wh(s, d).stg(st), n, _fresh_root(s, "snapshots")))
 register("snapshot_asof", lambda s, d: scenarios.snapshot_asof(_wh(s, d).stg("stg_member")))
 
 
@@ -105,12 +102,9 @@ def _dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     those tables.  Written tables also cut the lineage, so a lost executor
     during the checks never re-derives a model.
     """
-    import uuid
-
-    from ..session import work_root
     from .build import materialize
 
-    run = f"{work_root(spark).rstrip('/')}/dq-{uuid.uuid4().hex[:12]}"
+    run = _fresh_root(spark, "dq")
     wh = _wh(spark, sf_dir)
     staged = sorted(n for n in checks.SUITE_MODELS if n.startswith("stg_"))
     built = [n for n in checks.SUITE_MODELS if not n.startswith("stg_")]
@@ -215,23 +209,17 @@ for _fn in function_queries.FUNCTION_QUERIES:
 
 # ---------------------------------------------------------------- streaming
 def _stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two loads arrive as files; an availableNow stream upserts each into a table."""
-    import uuid
-
+    """Two loads arrive as files; each is drained one file an epoch into a stored table."""
     from ..operators.upsert import IncrementalTable
-    from ..session import work_root
-    from ..streaming.upsert_stream import stream_upsert
+    from ..streaming.upsert_stream import drain
     from . import staging
 
-    run = f"{work_root(spark).rstrip('/')}/stream-upsert-{uuid.uuid4().hex[:12]}"
-    b1, b2 = scenarios.adjustment_batches(_wh(spark, sf_dir).raw["cladjust"])
-    table = IncrementalTable(spark, "stg_cladjust", "claim_adjustment_id", root=run)
-    for i, batch in enumerate((b1, b2), start=1):
-        batch.write.parquet(f"{run}/incoming/load-{i}")
-        q = stream_upsert(spark, f"{run}/incoming/load-*", batch.schema, staging.stg_cladjust, table,
-                          f"{run}/checkpoint")
-        q.awaitTermination()
-    return table.read()
+    run = _fresh_root(spark, "stream-upsert")
+    table = IncrementalTable(spark, "stg_cladjust", scenarios.ADJUST_KEY, root=run)
+    for i, batch in enumerate(scenarios.adjustment_batches(_wh(spark, sf_dir).raw["cladjust"]), start=1):
+        batch.repartition(2).write.parquet(f"{run}/incoming/load-{i}")
+        out = drain(spark, f"{run}/incoming/load-*", batch.schema, staging.stg_cladjust, table, f"{run}/checkpoint", files_per_batch=1)
+    return out
 
 
 register("stream_upsert", _stream_upsert)

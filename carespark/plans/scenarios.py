@@ -2,7 +2,7 @@
 
 * Incremental: the adjustments extract is split by load time into two batches;
   batch 2 also carries later corrections of batch-1 keys and one row whose
-  load time equals the watermark (it must be skipped).
+  load time equals the watermark (it must be skipped).  Both go through the stored table.
 * Snapshots: three runs of member / eligibility / provider sources where some
   keys change, some disappear, some appear and some come back.
 
@@ -40,29 +40,33 @@ def adjustment_batches(raw_adjust: DataFrame) -> tuple[DataFrame, DataFrame]:
     return b1, later.unionByName(upsert.reload_month(corrections)).unionByName(at_watermark)
 
 
-def staged_batches(raw_adjust: DataFrame) -> tuple[DataFrame, DataFrame]:
-    b1, b2 = adjustment_batches(raw_adjust)
-    return staging.stg_cladjust(b1), staging.stg_cladjust(b2)
+ADJUST_KEY = "claim_adjustment_id"
 
 
-def incremental_watermark(raw_adjust: DataFrame) -> DataFrame:
-    target, batch = staged_batches(raw_adjust)
-    return upsert.after_watermark_of(batch, target)
+def first_adjustments(spark, raw_adjust: DataFrame, root: str) -> tuple[upsert.IncrementalTable, DataFrame]:
+    """The stored adjustments after their first load, and the second batch."""
+    first, second = adjustment_batches(raw_adjust)
+    table = upsert.IncrementalTable(spark, "stg_cladjust", ADJUST_KEY, root=root)
+    table.upsert(first, stage=staging.stg_cladjust)
+    return table, second
 
 
-def incremental_upsert(raw_adjust: DataFrame) -> DataFrame:
-    target, batch = staged_batches(raw_adjust)
-    fresh = upsert.dedupe_batch(upsert.after_watermark_of(batch, target), "claim_adjustment_id")
-    return upsert.merge_upsert(target, fresh, "claim_adjustment_id")
+def incremental_watermark(spark, raw_adjust: DataFrame, root: str) -> DataFrame:
+    """The rows of the second batch that the committed watermark lets through."""
+    table, batch = first_adjustments(spark, raw_adjust, root)
+    return staging.stg_cladjust(upsert.after_watermark(batch, table.watermark()))
 
 
-def schema_append(raw_adjust: DataFrame) -> DataFrame:
-    """Batch 2 arrives with a new column; old rows get NULL for it."""
-    target, batch = staged_batches(raw_adjust)
-    batch = batch.withColumn("adjustment_channel",
-                             F.when(F.col("adjustment_group_code") == "CR", F.lit("manual")).otherwise(F.lit("edi")))
-    fresh = upsert.after_watermark_of(batch, target)
-    return upsert.merge_upsert(target, fresh, "claim_adjustment_id")
+def incremental_upsert(spark, raw_adjust: DataFrame, root: str) -> DataFrame:
+    table, batch = first_adjustments(spark, raw_adjust, root)
+    return table.upsert(batch, stage=staging.stg_cladjust)
+
+
+def schema_append(spark, raw_adjust: DataFrame, root: str) -> DataFrame:
+    """The second batch brings a new column; rows stored before get NULL for it."""
+    table, batch = first_adjustments(spark, raw_adjust, root)
+    channel = F.when(F.col("adjustment_group_code") == "CR", F.lit("manual")).otherwise(F.lit("edi"))
+    return table.upsert(batch, stage=lambda raw: staging.stg_cladjust(raw).withColumn("adjustment_channel", channel))
 
 
 # Every incrementally loaded extract: staged model, its key, raw id whose last digit picks corrections, corrected column.
@@ -140,6 +144,16 @@ def snapshot_history(staged: DataFrame, name: str) -> DataFrame:
     return scd2.snapshot_merge(h, v3, key, change, SNAPSHOT_RUNS[2])
 
 
+def stored_snapshot(spark, staged: DataFrame, name: str, root: str) -> DataFrame:
+    """Three runs and a replayed one through the stored history."""
+    _, key, change, *_ = spec = SNAPSHOTS[name]
+    table = scd2.SnapshotTable(spark, f"{root}/{name}_snapshot", key, change)
+    runs = list(zip(snapshot_sources(staged, spec), SNAPSHOT_RUNS))
+    for source, run in [*runs, runs[-1]]:
+        table.run(source, run)
+    return table.read()
+
+
 def snapshot_asof(staged_members: DataFrame, ts: dt.datetime = dt.datetime(2001, 6, 20)) -> DataFrame:
     return scd2.as_of(snapshot_history(staged_members, "member"), ts)
 

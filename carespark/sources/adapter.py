@@ -483,14 +483,13 @@ SPREAD_KEY = {"clclaim": "claimid", "clline": "claimid", "cldiag": "claimid", "c
 
 
 def input_files(spark: SparkSession, path: str) -> list[tuple[str, int, str]]:
-    """(path, bytes, modification time) of every file of a table, asked of Spark's file source.
+    """(path, bytes, modification time) of every file of a table, as Spark's file source lists them.
 
-    Works for any store the cluster reads.  One row per file of one input table
-    is gathered, which the driver lists anyway to plan a scan.
+    Works for any store the cluster reads, and reads no file: one row per file
+    of one input table, which the driver lists anyway to plan a scan.
     """
-    files = (spark.read.parquet(path).select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
-             .distinct())
-    return sorted((r[0], r[1], str(r[2])) for r in files.collect())
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return sorted((r[0], r[1], str(r[2])) for r in files.select("path", "length", "modificationTime").collect())
 
 
 class RawSource:

@@ -1,12 +1,21 @@
-"""Table storage: layer routing and versioned, atomically published parquet tables."""
+"""Table storage: layer routing and atomically published parquet tables.
+
+A table is a folder of data folders plus commit records.  A version exists for
+readers only once its commit record does (one small file, written by a Spark
+job whose commit is all-or-nothing); a write that died half-way left none, so
+its data folder is overwritten by the next attempt.  Everything goes through
+Spark readers and writers, so a path may be any URI that the cluster reaches.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import json
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 LAYER_SCHEMAS = {"bronze": "BRONZE", "silver": "SILVER", "gold": "GOLD"}
 
@@ -26,52 +35,156 @@ def layer_path(root: str, schema: str, table: str) -> str:
     return f"{root.rstrip('/')}/{schema}/{table}"
 
 
-class VersionedTable:
-    """Parquet table under ``path`` with atomic publication.
+def newest(there: Callable[[int], bool], known: int = 0) -> int:
+    """The last of the versions 1, 2, ... (``known`` is one of them, or 0) in a number of looks that grows with their logarithm."""
+    step = 1
+    while there(known + step):
+        known, step = known + step, step * 2
+    while step > 1:
+        step //= 2
+        if there(known + step):
+            known += step
+    return known
 
-    Each write lands its data in ``v-<n>`` and then a one-row commit record in
-    ``commits/v-<n>``; a version exists for readers only once its commit
-    record does (a Spark job commit is all-or-nothing).  A write that died
-    half-way left no commit, so its data folder is simply overwritten by the
-    next attempt.  Everything goes through Spark readers/writers, so ``path``
-    may be any filesystem URI the cluster can reach.
-    """
+
+class CommitLog:
+    """Numbered commit records (JSON texts) under ``path/commits``."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
+        self._known = 0
+        self._seen: dict[int, dict] = {}
+
+    def record(self, version: int) -> dict | None:
+        """What version ``version`` recorded; None if it was never committed."""
+        if version < 1:
+            return None
+        if version not in self._seen:
+            try:
+                row = self.spark.read.schema("value string").text(f"{self.path}/commits/v-{version:06d}", wholetext=True).first()
+            except AnalysisException:
+                return None
+            if row is None:
+                return None
+            self._seen[version] = json.loads(row.value)  # a record never changes
+        return self._seen[version]
+
+    def version(self) -> int:
+        """The current version; 0 before the first commit."""
+        self._known = newest(lambda v: self.record(v) is not None, self._known)
+        return self._known
+
+    def current(self) -> dict | None:
+        return self.record(self.version())
 
     def versions(self) -> list[int]:
-        try:
-            rows = (self.spark.read.option("recursiveFileLookup", "true").parquet(f"{self.path}/commits")
-                    .select("version").collect())
-        except AnalysisException:
-            return []
-        return sorted(r.version for r in rows)
+        return list(range(1, self.version() + 1))
+
+    def _commit(self, record: dict) -> dict:
+        """Publishes a version; fails if another writer has published the same one."""
+        row = self.spark.createDataFrame([(json.dumps(record, sort_keys=True),)], "value string").coalesce(1)
+        row.write.mode("errorifexists").text(f"{self.path}/commits/v-{record['version']:06d}")
+        self._seen[record["version"]] = record
+        return record
+
+
+class VersionedTable(CommitLog):
+    """A table of which each write is a complete version in ``v-<n>``."""
 
     def version_path(self, v: int) -> str:
         return f"{self.path}/v-{v:06d}"
 
     def current_path(self) -> str | None:
-        v = self.versions()
-        return self.version_path(v[-1]) if v else None
+        v = self.version()
+        return self.version_path(v) if v else None
 
     def read(self) -> DataFrame | None:
         p = self.current_path()
         return self.spark.read.parquet(p) if p else None
 
     def write(self, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
-        v = self.versions()
-        nxt = (v[-1] + 1) if v else 1
+        nxt = self.version() + 1
         w = df.write.mode("overwrite")  # only ever an uncommitted leftover
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(self.version_path(nxt))
-        (self.spark.range(1).select(F.lit(nxt).cast("int").alias("version")).coalesce(1)
-         .write.mode("errorifexists").parquet(f"{self.path}/commits/v-{nxt:06d}"))
+        self._commit({"version": nxt})
         return self.spark.read.parquet(self.version_path(nxt))
 
 
+PART = "_part"
+
+
+class PartTable(CommitLog):
+    """A table of named parts (key buckets, months, open and closed history), of which a write replaces some.
+
+    The commit record holds, for every part, the version whose folder has its rows
+    and their count, the table's schema, and whatever the owner keeps beside it
+    (watermark, run time ...).  So a reader opens the parts' folders without
+    listing or scanning others, an untouched part is never written again, and
+    statistics are read from the record instead of the table.  Columns may be
+    appended: parts written before give NULL for them.
+    """
+
+    def _folder(self, version: int, part: str) -> str:
+        return f"{self.path}/data/v-{version:06d}/{PART}={part}"
+
+    def schema(self, record: dict | None = None) -> T.StructType | None:
+        record = record or self.current()
+        return T.StructType.fromJson(record["schema"]) if record else None
+
+    def read(self, parts: Iterable[str] | None = None, record: dict | None = None) -> DataFrame | None:
+        """The rows of ``parts`` (default: all) as of ``record`` (default: the current version)."""
+        record = record or self.current()
+        if record is None:
+            return None
+        wanted = record["parts"] if parts is None else [p for p in parts if p in record["parts"]]
+        schema = self.schema(record)
+        folders = [self._folder(record["parts"][p]["version"], p) for p in wanted if record["parts"][p]["rows"]]
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*folders)
+
+    def count(self) -> int:
+        record = self.current()
+        return sum(p["rows"] for p in record["parts"].values()) if record else 0
+
+    def replace(self, df: DataFrame, part: Column, gone: Iterable[str] = (), meta: dict | None = None) -> dict:
+        """Writes ``df`` into the parts that ``part`` (a string column) names, in place of the parts ``gone``; returns the record.
+
+        A part that gets rows has to be new or among ``gone``.  The caller deals df's rows to tasks.
+        """
+        before = self.current()
+        version = before["version"] + 1 if before else 1
+        own = T.StructType([f for f in df.schema.fields if f.name != PART])
+        schema = _appended(self.schema(before) if before else own, own)
+        folder = f"{self.path}/data/v-{version:06d}"
+        df.withColumn(PART, part).write.mode("overwrite").partitionBy(PART).parquet(folder)
+        written = self.spark.read.schema(T.StructType([T.StructField(PART, T.StringType())])).parquet(folder)
+        counts = {r[0]: r[1] for r in written.groupBy(PART).count().collect()}  # one row per part written
+        gone = set(gone)
+        parts = {p: v for p, v in (before["parts"] if before else {}).items() if p not in gone}
+        clash = set(parts) & set(counts)
+        if clash:
+            raise ValueError(f"{self.path}: rows for parts that were not to be replaced: {sorted(clash)[:3]}")
+        parts |= {p: {"version": version, "rows": n} for p, n in counts.items()}
+        return self._commit({"version": version, "schema": json.loads(schema.json()), "parts": parts, **(meta or {})})
+
+    def note(self, **meta) -> dict:
+        """A commit that changes what the owner keeps, not the rows."""
+        before = self.current()
+        return self._commit({**before, **meta, "version": before["version"] + 1})
+
+
+def _appended(old: T.StructType, new: T.StructType) -> T.StructType:
+    types = {f.name: f.dataType for f in old.fields}
+    for f in new.fields:
+        if f.name in types and types[f.name] != f.dataType:
+            raise ValueError(f"column {f.name} was {types[f.name].simpleString()}, is {f.dataType.simpleString()}")
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in [*old.fields, *(f for f in new.fields if f.name not in types)]])
+
+
 def with_audit(df: DataFrame) -> DataFrame:
     """The writer-only audit column (kept out of compared queries)."""
     return df.withColumn("dbt_updated_at", F.current_timestamp())

@@ -122,6 +122,135 @@ def test_upsert_from_raw_prunes_and_matches(spark, wh):
     t = upsert.IncrementalTable(spark, "adj", "claim_adjustment_id", root=root)
     t.upsert(b1, stage=staging.stg_cladjust)
     got = t.upsert(b2, stage=staging.stg_cladjust)
-    expect = scenarios.incremental_upsert(raw)
+    first, second = staging.stg_cladjust(b1), staging.stg_cladjust(b2)
+    expect = upsert.merge_upsert(first, upsert.after_watermark(second, upsert.watermark(first)), "claim_adjustment_id")
     assert got.count() == expect.count()
     assert got.exceptAll(expect.select(*got.columns)).count() == 0
+
+
+def stored_files(table):
+    """Data files of a stored table, by version folder."""
+    import glob
+
+    return {v: len(glob.glob(f"{table.path}/data/{v}/*/part-*")) for v in
+            sorted(p.rsplit("/", 1)[1] for p in glob.glob(f"{table.path}/data/v-*"))}
+
+
+def test_a_batch_rewrites_its_buckets_only(spark, tmp_path):
+    t = upsert.IncrementalTable(spark, "t", "k", root=str(tmp_path), buckets=8)
+    t.upsert(batch(spark, [(f"k{i}", "1", T0) for i in range(200)] + [(None, "n", T0), (None, "n", T0)]))
+    day = dt.timedelta(days=1)
+    t.upsert(batch(spark, [("k7", "2", T0 + day)]))
+    assert list(stored_files(t).values()) == [8, 1]  # one bucket of eight was written again
+    t.upsert(batch(spark, [("k7", "3", T0 + 2 * day), ("new", "1", T0 + 2 * day), (None, "m", T0 + 2 * day)]))
+    assert 1 <= stored_files(t)["v-000003"] <= 3
+    got = {r.k: r.v for r in t.read().collect() if r.k}
+    assert got["k7"] == "3" and got["new"] == "1" and len(got) == 201 and t.count() == 204
+    assert sorted(r.v for r in t.read().collect() if r.k is None) == ["m", "n", "n"]
+    # The commit records keep statistics, and an older version stays readable.
+    assert t.watermark() == T0 + 2 * day and t.read(record=t.record(1)).count() == 202
+    again = upsert.IncrementalTable(spark, "t", "k", root=str(tmp_path), buckets=99)
+    assert again.version() == 3 and again.current()["buckets"] == 8
+    again.upsert(batch(spark, [("k7", "3", T0 + 2 * day)]))
+    assert again.version() == 3  # a replay writes nothing
+
+
+def test_the_watermark_reads_no_data(spark, tmp_path):
+    import glob
+    import os
+
+    t = upsert.IncrementalTable(spark, "t", "k", root=str(tmp_path))
+    t.upsert(batch(spark, [("a", "1", T0), ("b", "1", None)]))
+    for f in glob.glob(f"{t.path}/data/*/*/part-*"):
+        os.chmod(f, 0o600)
+        open(f, "w").close()  # unreadable as parquet
+    fresh = upsert.IncrementalTable(spark, "t", "k", root=str(tmp_path))
+    assert fresh.watermark() == T0 and fresh.count() == 2
+
+
+def test_a_half_written_version_is_not_seen(spark, tmp_path):
+    t = upsert.IncrementalTable(spark, "t", "k", root=str(tmp_path))
+    t.upsert(batch(spark, [("a", "1", T0)]))
+    batch(spark, [("x", "half", T0)]).write.parquet(f"{t.path}/data/v-000002/_part=0")  # no commit record
+    assert rows(t.read(), "k", "v") == [("a", "1")]
+    t.upsert(batch(spark, [("a", "2", T0 + dt.timedelta(days=1))]))
+    assert rows(t.read(), "k", "v") == [("a", "2")]
+    with pytest.raises(Exception, match="(?i)exist"):
+        t._commit({"version": 2})  # a second writer of the same version
+
+
+def test_stored_schema_history(spark, tmp_path):
+    t = upsert.IncrementalTable(spark, "t", "k", root=str(tmp_path))
+    t.upsert(batch(spark, [("a", "1", T0), ("b", "1", T0)]))
+    later = T0 + dt.timedelta(days=1)
+    t.upsert(batch(spark, [("a", "2", later)]).withColumn("extra", F.lit("x")))
+    assert rows(t.read(), "k", "v", "extra") == [("a", "2", "x"), ("b", "1", None)]
+    t.upsert(batch(spark, [("b", "3", later + dt.timedelta(days=1))]))  # an old writer without the column
+    assert rows(t.read(), "k", "v", "extra") == [("a", "2", "x"), ("b", "3", None)]
+    assert t.schema(t.record(1)).names == ["k", "v", "_loaded_at"]
+    last = later + dt.timedelta(days=2)
+    with pytest.raises(ValueError, match="duplicate k in incremental batch: c"):
+        t.upsert(batch(spark, [("c", "1", last), ("c", "2", last)]).withColumn("more", F.lit(1)))
+    with pytest.raises(ValueError, match="column v was string"):
+        t.upsert(batch(spark, [("a", "1", last)]).withColumn("v", F.lit(1)))
+    assert t.version() == 3
+
+
+def test_changes_of_an_upsert(spark, tmp_path):
+    t = upsert.IncrementalTable(spark, "t", "k", root=str(tmp_path))
+    t.upsert(batch(spark, [("a", "1", T0), ("b", "1", T0)]))
+    t.upsert(batch(spark, [("a", "2", T0 + dt.timedelta(days=1)), ("c", "1", T0 + dt.timedelta(days=1))]))
+    new, old = t.changes()
+    assert rows(new, "k", "v") == [("a", "2"), ("c", "1")] and rows(old, "k", "v") == [("a", "1")]
+    new, old = t.changes(1)
+    assert new.count() == 2 and old.count() == 0
+
+
+def test_stored_snapshots(spark, tmp_path):
+    def src(data):
+        return spark.createDataFrame(data, "id string, attr string, updated_at timestamp_ntz")
+
+    runs = [(dt.datetime(2024, 1, 5), src([("1", "x", T0), ("2", "y", T0), (None, "n", T0)])),
+            (dt.datetime(2024, 1, 10), src([("1", "x2", T0 + dt.timedelta(days=2)), ("3", "z", None), (None, "n", T0)])),
+            (dt.datetime(2024, 1, 20), src([("1", "x2", T0 + dt.timedelta(days=2)), ("2", "y", T0), ("3", "z", None), (None, "n", T0)]))]
+    table, plan = scd2.SnapshotTable(spark, str(tmp_path / "s"), "id", "updated_at"), None
+    for at, source in runs:
+        plan = scd2.snapshot_merge(plan, source, "id", "updated_at", at)
+        table.run(source, at)
+        table.run(source, at)  # replayed
+    assert rows(table.read(), *plan.columns) == rows(plan, *plan.columns)
+    assert table.version() == 3 and set(table.current()["parts"]) == {"open", "closed-000002"}
+    # What a run closed is never written again, and a run reads the open part only.
+    assert table.current()["parts"]["closed-000002"]["version"] == 2
+    with pytest.raises(ValueError, match="after one at"):
+        table.run(runs[0][1], runs[0][0])
+    opened = table.read(["open"])
+    step = scd2.snapshot_step(opened, runs[2][1], "id", "updated_at", dt.datetime(2024, 2, 1))
+    assert step._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+
+
+def test_stream_replays_and_late_rows(spark, tmp_path):
+    from carespark.streaming.upsert_stream import drain, merge_epoch
+
+    def load(data, name):
+        for i, row in enumerate(data):
+            batch(spark, [row]).coalesce(1).write.parquet(f"{tmp_path}/{name}/load-{i}")
+        return batch(spark, data).schema
+
+    hour = dt.timedelta(hours=1)
+    first = [("a", "1", T0 + 5 * hour), ("b", "1", T0), ("c", "1", T0 + 2 * hour)]  # the files' load times go back and forth
+    second = [("a", "2", T0 + 9 * hour), ("d", "late", T0 + 5 * hour), ("b", "2", T0 + 6 * hour), ("e", "none", None), ("a", "older", T0 + 7 * hour)]
+    tables = []
+    for files in (1, None):
+        t = upsert.IncrementalTable(spark, f"t{files}", "k", root=str(tmp_path / "tables"))
+        for n, data in (("first", first), ("second", second)):
+            schema = load(data, f"{n}{files}")
+            drain(spark, f"{tmp_path}/{n}{files}/load-*", schema, lambda df: df, t, f"{tmp_path}/cp-{n}{files}", files)
+        assert rows(t.read(), "k", "v") == [("a", "2"), ("b", "2"), ("c", "1")]
+        assert {r.v for r in t.late().collect()} >= {"late", "none"}
+        tables.append(t)
+    # One file an epoch: what lost to a newer row of its key is in the side table.
+    assert {r.v for r in tables[0].late().collect()} == {"late", "none", "older"}
+    version = tables[0].version()
+    assert not merge_epoch(tables[0], batch(spark, [("a", "again", T0 + 99 * hour)]), 0, f"{tmp_path}/cp-second1", lambda df: df)
+    assert tables[0].version() == version
