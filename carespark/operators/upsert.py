@@ -163,14 +163,19 @@ class IncrementalTable(PartTable):
             fresh = dedupe_batch(fresh, self.key, "latest", self.loaded_at)
         # Written once: the checks and the merge read these rows, not the batch's whole plan again.
         arrived = f"{self.path}/arrived/v-{version:06d}"
-        fresh.withColumn(PART, self._bucket(fresh, before)).write.mode("overwrite").partitionBy(PART).parquet(arrived)
+        fresh.withColumn(PART, self._bucket(fresh, before)).write.mode("overwrite").parquet(arrived)
         schema = T.StructType([*fresh.schema.fields, T.StructField(PART, T.StringType())])
         incoming = self.spark.read.schema(schema).parquet(arrived)
-        touched = {r[PART]: r.newest for r in incoming.groupBy(PART).agg(F.max(self.loaded_at).alias("newest")).collect()}
+        # One pass: the buckets that have rows, their newest load time and a key that came twice, if any.
+        per_key = incoming.groupBy(PART, self.key).agg(F.max(self.loaded_at).alias("newest"), F.count(F.lit(1)).alias("n"))
+        twice = F.min(F.when((F.col("n") > 1) & F.col(self.key).isNotNull(), F.col(self.key).cast("string")))
+        found = per_key.groupBy(PART).agg(F.max("newest").alias("newest"), twice.alias("twice")).collect()  # a row per bucket
+        touched = {r[PART]: r.newest for r in found}
         if not touched and before:
             return None
-        if self.on_duplicate == "error":
-            self._reject_duplicates(incoming)
+        again = sorted(r.twice for r in found if r.twice is not None)
+        if self.on_duplicate == "error" and again:
+            raise ValueError(f"duplicate {self.key} in incremental batch: {again[0]}")
         marks = [m for m in (*touched.values(), self.watermark(before)) if m is not None]
         meta = {"stream": (before or {}).get("stream"), **(meta or {}), "buckets": before["buckets"] if before else self.buckets,
                 "watermark": max(marks).isoformat() if marks else None, "arrived": version}
@@ -181,12 +186,6 @@ class IncrementalTable(PartTable):
         # A bucket is one task's work by its size, so it is one file.
         return self.replace(merged.withColumn(PART, self._bucket(merged, before)).repartition(PART), F.col(PART), touched, meta)
 
-    def _reject_duplicates(self, incoming: DataFrame) -> None:
-        twice = incoming.where(F.col(self.key).isNotNull()).groupBy(PART, self.key).count().where(F.col("count") > 1)
-        found = twice.orderBy(self.key).first()
-        if found is not None:
-            raise ValueError(f"duplicate {self.key} in incremental batch: {found[self.key]}")
-
     def _newer(self, incoming: DataFrame, target: DataFrame, version: int) -> DataFrame:
         """incoming without the rows whose key is stored with the same or a newer load time; those go to the side table."""
         stored = target.where(F.col(self.key).isNotNull()).select(F.col(self.key).alias("_k"), F.col(self.loaded_at).alias("_at"))

@@ -89,14 +89,14 @@ def build(spark: SparkSession, wh: Warehouse, root: str | None = None, default_s
             stg("stg_golden_member"), stg("stg_member_crosswalk"), stg("stg_member"), as_of, wh.source_system),
         "dim_golden_provider": lambda: core.dim_golden_provider(
             stg("stg_golden_provider"), stg("stg_provider_crosswalk"), stg("stg_provider"), wh.source_system),
-        "fct_claim": lambda: core.fct_claim(stg("stg_clclaim"), stg("stg_clline"), out["dim_member"],
-                                            out["dim_provider"]),
+        "fct_claim": lambda: core.fct_claim(wh.by_claim("stg_clclaim"), wh.by_claim("stg_clline"), out["dim_member"],
+                                            out["dim_provider"], wh.busy_ids),
     })
     level({
         "fct_claim_conformed": lambda: core.fct_claim_conformed(
-            stg("stg_clclaim"), stg("stg_clline"), stg("stg_member_crosswalk"), stg("stg_provider_crosswalk"),
+            wh.by_claim("stg_clclaim"), wh.by_claim("stg_clline"), stg("stg_member_crosswalk"), stg("stg_provider_crosswalk"),
             out["dim_golden_member"], out["dim_golden_provider"], out["dim_member"], out["dim_provider"],
-            wh.source_system),
+            wh.source_system, wh.busy_ids),
         "mart_claims_summary": lambda: marts.mart_claims_summary(out["fct_claim"], out["dim_member"]),
     })
     level({"mart_medical_expense": lambda: marts.mart_medical_expense(out["mart_claims_summary"],

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import functions as fx
+from ..operators.skew import split_join
 
 OPEN_END = dt.date(9999, 12, 31)
 
@@ -227,63 +228,63 @@ def identity_summary(crosswalk: DataFrame, golden_id: str) -> DataFrame:
 
 def dim_golden_member(golden: DataFrame, crosswalk: DataFrame, members: DataFrame, as_of: dt.date,
                       source_system: str = "QNXT") -> DataFrame:
-    gm = golden.filter(F.col("is_active") == True).alias("gm")  # noqa: E712
+    record = golden.filter(F.col("is_active") == True).alias("record")  # noqa: E712
     xw = crosswalk.filter(F.col("is_active") == True)  # noqa: E712
-    qx = xw.filter(F.col("source_system") == source_system).select(
+    link = xw.filter(F.col("source_system") == source_system).select(
         "golden_member_id", F.col("source_member_id").alias("qnxt_member_id"),
         F.col("is_primary").alias("is_qnxt_primary"),
-    ).alias("qx")
-    qm = members.select("member_id", "medicaid_id", "medicare_id", "email", "preferred_language",
-                        "status_code", "member_status").alias("qm")
-    ss = identity_summary(xw, "golden_member_id").alias("ss")
-    j = (gm.join(qx, F.col("gm.golden_member_id") == F.col("qx.golden_member_id"), "left")
-           .join(qm, F.col("qx.qnxt_member_id") == F.col("qm.member_id"), "left")
-           .join(ss, F.col("gm.golden_member_id") == F.col("ss.golden_member_id"), "left"))
+    ).alias("link")
+    own = members.select("member_id", "medicaid_id", "medicare_id", "email", "preferred_language",
+                        "status_code", "member_status").alias("own")
+    systems = identity_summary(xw, "golden_member_id").alias("systems")
+    j = (record.join(link, F.col("record.golden_member_id") == F.col("link.golden_member_id"), "left")
+           .join(own, F.col("link.qnxt_member_id") == F.col("own.member_id"), "left")
+           .join(systems, F.col("record.golden_member_id") == F.col("systems.golden_member_id"), "left"))
     return j.select(
-        fx.surrogate_key(F.col("gm.golden_member_id")).alias("golden_member_key"),
-        F.col("gm.golden_member_id"), "qx.qnxt_member_id", "qx.is_qnxt_primary",
-        "gm.first_name", "gm.last_name",
-        F.concat(F.col("gm.first_name"), F.lit(" "), F.col("gm.last_name")).alias("full_name"),
-        "gm.date_of_birth", fx.age_years("gm.date_of_birth", as_of).alias("current_age"),
-        "gm.gender_code", "gm.gender", "gm.ssn",
-        "qm.medicaid_id", "qm.medicare_id", "qm.email", "qm.preferred_language",
-        F.col("qm.status_code").alias("qnxt_status_code"), F.col("qm.member_status").alias("qnxt_member_status"),
-        "gm.match_confidence", "ss.source_system_count", "ss.source_systems", "ss.total_crosswalk_links",
-        F.col("gm.is_active").alias("is_golden_active"),
-        F.col("qm.member_id").isNotNull().alias("has_qnxt_record"),
-        F.col("gm.created_at").alias("golden_created_at"), F.col("gm.updated_at").alias("golden_updated_at"),
+        fx.surrogate_key(F.col("record.golden_member_id")).alias("golden_member_key"),
+        F.col("record.golden_member_id"), "link.qnxt_member_id", "link.is_qnxt_primary",
+        "record.first_name", "record.last_name",
+        F.concat(F.col("record.first_name"), F.lit(" "), F.col("record.last_name")).alias("full_name"),
+        "record.date_of_birth", fx.age_years("record.date_of_birth", as_of).alias("current_age"),
+        "record.gender_code", "record.gender", "record.ssn",
+        "own.medicaid_id", "own.medicare_id", "own.email", "own.preferred_language",
+        F.col("own.status_code").alias("qnxt_status_code"), F.col("own.member_status").alias("qnxt_member_status"),
+        "record.match_confidence", "systems.source_system_count", "systems.source_systems", "systems.total_crosswalk_links",
+        F.col("record.is_active").alias("is_golden_active"),
+        F.col("own.member_id").isNotNull().alias("has_qnxt_record"),
+        F.col("record.created_at").alias("golden_created_at"), F.col("record.updated_at").alias("golden_updated_at"),
     )
 
 
 def dim_golden_provider(golden: DataFrame, crosswalk: DataFrame, providers: DataFrame,
                         source_system: str = "QNXT") -> DataFrame:
-    gp = golden.filter(F.col("is_active") == True).alias("gp")  # noqa: E712
+    record = golden.filter(F.col("is_active") == True).alias("record")  # noqa: E712
     xw = crosswalk.filter(F.col("is_active") == True)  # noqa: E712
-    qx = xw.filter(F.col("source_system") == source_system).select(
+    link = xw.filter(F.col("source_system") == source_system).select(
         "golden_provider_id", F.col("source_provider_id").alias("qnxt_provider_id"),
         F.col("is_primary").alias("is_qnxt_primary"),
-    ).alias("qx")
-    qp = providers.select(
+    ).alias("link")
+    own = providers.select(
         "provider_id", F.col("provider_name").alias("qnxt_provider_name"),
         F.col("provider_type_code").alias("qnxt_provider_type_code"),
         F.col("provider_type").alias("qnxt_provider_type"), "provider_status_code",
         F.col("taxonomy_code").alias("qnxt_taxonomy_code"),
         F.coalesce(F.col("provider_status_code") == "A", F.lit(False)).alias("is_qnxt_active"),
-    ).alias("qp")
-    ss = identity_summary(xw, "golden_provider_id").alias("ss")
-    j = (gp.join(qx, F.col("gp.golden_provider_id") == F.col("qx.golden_provider_id"), "left")
-           .join(qp, F.col("qx.qnxt_provider_id") == F.col("qp.provider_id"), "left")
-           .join(ss, F.col("gp.golden_provider_id") == F.col("ss.golden_provider_id"), "left"))
+    ).alias("own")
+    systems = identity_summary(xw, "golden_provider_id").alias("systems")
+    j = (record.join(link, F.col("record.golden_provider_id") == F.col("link.golden_provider_id"), "left")
+           .join(own, F.col("link.qnxt_provider_id") == F.col("own.provider_id"), "left")
+           .join(systems, F.col("record.golden_provider_id") == F.col("systems.golden_provider_id"), "left"))
     return j.select(
-        fx.surrogate_key(F.col("gp.golden_provider_id")).alias("golden_provider_key"),
-        F.col("gp.golden_provider_id"), "qx.qnxt_provider_id", "qx.is_qnxt_primary",
-        "gp.provider_name", "gp.npi", "gp.tax_id", "gp.provider_type_code", "gp.primary_specialty_code",
-        "qp.qnxt_provider_name", "qp.qnxt_provider_type_code", "qp.qnxt_provider_type",
-        F.col("qp.provider_status_code").alias("qnxt_status_code"), "qp.qnxt_taxonomy_code", "qp.is_qnxt_active",
-        "gp.match_confidence", "ss.source_system_count", "ss.source_systems", "ss.total_crosswalk_links",
-        F.col("gp.is_active").alias("is_golden_active"),
-        F.col("qp.provider_id").isNotNull().alias("has_qnxt_record"),
-        F.col("gp.created_at").alias("golden_created_at"), F.col("gp.updated_at").alias("golden_updated_at"),
+        fx.surrogate_key(F.col("record.golden_provider_id")).alias("golden_provider_key"),
+        F.col("record.golden_provider_id"), "link.qnxt_provider_id", "link.is_qnxt_primary",
+        "record.provider_name", "record.npi", "record.tax_id", "record.provider_type_code", "record.primary_specialty_code",
+        "own.qnxt_provider_name", "own.qnxt_provider_type_code", "own.qnxt_provider_type",
+        F.col("own.provider_status_code").alias("qnxt_status_code"), "own.qnxt_taxonomy_code", "own.is_qnxt_active",
+        "record.match_confidence", "systems.source_system_count", "systems.source_systems", "systems.total_crosswalk_links",
+        F.col("record.is_active").alias("is_golden_active"),
+        F.col("own.provider_id").isNotNull().alias("has_qnxt_record"),
+        F.col("record.created_at").alias("golden_created_at"), F.col("record.updated_at").alias("golden_updated_at"),
     )
 
 
@@ -320,8 +321,8 @@ def _claim_flags_and_metrics() -> list:
     c = lambda n: F.col(f"c.{n}")
     flag = lambda cond: F.coalesce(cond, F.lit(False))
     return [
-        F.coalesce(F.col("cl.line_count"), F.lit(0)).alias("line_count"),
-        F.coalesce(F.col("cl.total_service_units"), F.lit(0).cast(fx.MONEY_SUM)).alias("total_service_units"),
+        F.coalesce(c("line_count"), F.lit(0)).alias("line_count"),
+        F.coalesce(c("total_service_units"), F.lit(0).cast(fx.MONEY_SUM)).alias("total_service_units"),
         flag(c("claim_status_code") == "A").alias("is_approved"),
         flag(c("claim_status_code") == "D").alias("is_denied"),
         flag(c("claim_status_code") == "P").alias("is_pending"),
@@ -351,35 +352,55 @@ def key_links(dim: DataFrame, kind: str, id_col: str, key_col: str) -> DataFrame
     return dim.select(F.lit(kind).alias("kind"), F.col(id_col).alias("id"), F.struct(F.col(key_col).alias("key")).alias("link"))
 
 
-def resolve_roles(claims: DataFrame, lines: DataFrame, links: DataFrame) -> DataFrame:
-    """Claims (alias ``c``) with their line roll-up (``cl``) and one struct per role (NULL: no link).
+def _row_ids() -> Column:
+    """Tells rows of one claim with other ids apart (eight bytes instead of four ids)."""
+    return F.xxhash64(*[F.coalesce(F.col(col), F.lit("\0")) for _, _, col in ROLES])
 
-    The ids of all roles are unpivoted without NULLs and meet the links (one
-    row per kind and id) in one join, so an optional role's NULLs never form a
-    hot key.  What a claim's ids resolve to comes back keyed by claim, so the
-    wide header is joined on ``claim_id`` only, and each role explodes its own
-    links: several links of an id fan a claim out as a left join would.
-    """
-    per_id = links.filter(F.col("id").isNotNull()).groupBy("kind", "id").agg(F.collect_list("link").alias("links"))
-    wanted = F.array_distinct(F.array(*[F.struct(F.lit(kind).alias("kind"), F.col(col).alias("id")) for _, kind, col in ROLES]))
-    ids = claims.select("claim_id", F.explode(wanted).alias("w")).select("claim_id", "w.kind", "w.id").filter(F.col("id").isNotNull())
-    refs = ids.join(per_id, ["kind", "id"]).groupBy("claim_id").agg(F.collect_set(F.struct("kind", "id", "links")).alias("refs")).alias("r")
-    rolled = line_rollup(lines).filter(F.col("claim_id").isNotNull()).alias("cl")
-    j = (claims.alias("c").join(rolled, F.col("c.claim_id").eqNullSafe(F.col("cl.claim_id")), "left")
-         .join(refs, F.col("c.claim_id").eqNullSafe(F.col("r.claim_id")), "left"))
-    for role, kind, col in ROLES:
-        j = j.select("*", F.explode_outer(_links_of(kind, F.col(f"c.{col}"))).alias(role))
-    return j
 
+def role_ids(claims: DataFrame) -> DataFrame:
+    """claim_id, row, role, kind, id: the ids of all roles, without NULLs (an optional role's NULLs never form a hot key)."""
+    roles = F.explode(F.array(*[F.struct(F.lit(role).alias("role"), F.lit(kind).alias("kind"), F.col(col).alias("id")) for role, kind, col in ROLES]))
+    ids = claims.filter(F.col("claim_id").isNotNull()).select("claim_id", _row_ids().alias("row"), roles.alias("r"))
+    return ids.select("claim_id", "row", "r.*").filter(F.col("id").isNotNull())
 
-def _links_of(kind: str, own: Column) -> Column:
-    return F.flatten(F.transform(F.filter("refs", lambda x: (x["kind"] == kind) & (x["id"] == own)), lambda x: x["links"]))
 
+def resolve_roles(claims: DataFrame, lines: DataFrame, links: DataFrame, busy=()) -> DataFrame:
+    """Claims (alias ``c``) with their line roll-up and one struct per role (NULL: no link).
 
-def fct_claim(claims: DataFrame, lines: DataFrame, members: DataFrame, providers: DataFrame) -> DataFrame:
+    An id with one link is a lookup: its link comes back as a scalar of its role,
+    by one aggregation per claim.  The few ids with several links are joined
+    apart, a row per link, and fan a claim out as a left join would; the links of an id are
+    never gathered.  Every join of the wide header is on ``claim_id``, so a header stored in buckets
+    of it (``Warehouse.by_claim``) isn't shuffled.  ``busy`` are the heavy ids of the
+    claims (``skew.heavy_keys`` of ``role_ids``), which are looked up in pieces.
+    """
+    key = ["kind", "id"]
+    known = links.filter(F.col("id").isNotNull())
+    per_id = known.groupBy(*key).agg(F.count(F.lit(1)).alias("links"), F.max("link").alias("link"))
+    ids = role_ids(claims)
+    met = split_join(ids, per_id.filter(F.col("links") == 1).drop("links"), key, busy)
+    single = met.groupBy("claim_id", "row").agg(*[F.max(F.when(F.col("role") == role, F.col("link"))).alias(role) for role, _, _ in ROLES])
+    several = known.join(per_id.filter(F.col("links") > 1).select(*key), key, "left_semi")
+    rolled = line_rollup(lines).filter(F.col("claim_id").isNotNull())
+    j = claims.withColumn("own_row", _row_ids()).alias("c").join(rolled.alias("cl"), F.col("c.claim_id") == F.col("cl.claim_id"), "left")
+
+    def same(claim: str, row: str) -> Column:
+        # Two comparisons, not an equality, so that claim_id alone stays the key on which both sides lie together.
+        return (F.col("c.claim_id") == F.col(claim)) & (F.col("c.own_row") >= F.col(row)) & (F.col("c.own_row") <= F.col(row))
+
+    j = j.join(single.alias("one"), same("one.claim_id", "one.row"), "left")
+    for role, kind, _ in ROLES:
+        fan = split_join(ids.filter(F.col("role") == role), several.filter(F.col("kind") == kind), key, [b for b in busy if b[0] == kind])
+        fan = fan.select(*[F.col(c).alias(f"{role}_{c}") for c in ("claim_id", "row", "link")])
+        j = j.join(fan, same(f"{role}_claim_id", f"{role}_row"), "left")
+    linked = [F.coalesce(F.col(f"{role}_link"), F.col(f"one.{role}")).alias(role) for role, _, _ in ROLES]
+    return j.select("c.*", F.col("cl.line_count"), F.col("cl.total_service_units"), *linked).drop("own_row").alias("c")
+
+
+def fct_claim(claims: DataFrame, lines: DataFrame, members: DataFrame, providers: DataFrame, busy=()) -> DataFrame:
     links = key_links(members, "member", "member_id", "member_key").unionByName(
         key_links(providers, "provider", "provider_id", "provider_key"))
-    j = resolve_roles(claims, lines, links)
+    j = resolve_roles(claims, lines, links, busy)
     cc = lambda n: F.col(f"c.{n}")
     return j.select(
         fx.surrogate_key(cc("claim_id")).alias("claim_key"),
@@ -426,13 +447,13 @@ def identity_links(legacy: DataFrame, resolution: DataFrame) -> DataFrame:
 
 def fct_claim_conformed(claims: DataFrame, lines: DataFrame, member_xw: DataFrame, provider_xw: DataFrame,
                         golden_members: DataFrame, golden_providers: DataFrame, members: DataFrame,
-                        providers: DataFrame, source_system: str = "QNXT") -> DataFrame:
+                        providers: DataFrame, source_system: str = "QNXT", busy=()) -> DataFrame:
     """Claim fact with golden and legacy keys for the member and three provider roles."""
     legacy = key_links(members, "member", "member_id", "member_key").unionByName(
         key_links(providers, "provider", "provider_id", "provider_key"))
     golden = [golden_resolution(xw, dim, kind, source_system).withColumn("kind", F.lit(kind))
               for xw, dim, kind in ((member_xw, golden_members, "member"), (provider_xw, golden_providers, "provider"))]
-    j = resolve_roles(claims, lines, identity_links(legacy, golden[0].unionByName(golden[1])))
+    j = resolve_roles(claims, lines, identity_links(legacy, golden[0].unionByName(golden[1])), busy)
     cc = lambda n: F.col(f"c.{n}")
     return j.select(
         fx.surrogate_key(cc("claim_id")).alias("claim_key"),

@@ -1,19 +1,28 @@
-"""Lazy model graph: every staged table, dimension, fact and mart by name.
+"""Model graph: every staged table, dimension, fact and mart by name.
 
 ``Warehouse`` wires the pure model functions together over one set of raw
-extracts.  Nothing executes until an action is called on a returned
-DataFrame; each model is built once per ``Warehouse`` and reused, so shared
-sub-plans (e.g. the staged claims under both facts) are one logical plan.
+extracts.  Models are lazy plans, except where a model is a table that others
+read: over landed extracts (``RawSource``) the claim header and lines are stored
+once in buckets of ``claim_id`` (``by_claim``), and the marts read the written fact
+and marts below them (``written``), so a fact is computed once for all that read it.
+Stored copies are keyed by the extracts' fingerprint, the reporting date and the text of
+the model code, so another input or rule makes another copy.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import inspect
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .. import functions
+from ..operators import skew
+from ..session import default_parallelism, work_root
 from ..sources.adapter import AS_OF, SOURCE_SYSTEM, RawSource
+from ..sources.io import VersionedTable
 from . import core, marts, staging
 
 
@@ -25,6 +34,7 @@ class Warehouse:
         self.source_system = source_system
         self.spark = spark or getattr(raw, "spark", None)
         self._staged: dict[str, DataFrame] = {}
+        self._written: dict[str, DataFrame] = {}
 
     @classmethod
     def from_driver(cls, spark: SparkSession, sf_dir: str, **kw) -> Warehouse:
@@ -37,6 +47,56 @@ class Warehouse:
             self._staged[name] = staging.stage(name, self.raw[table], self.as_of)
         return self._staged[name]
 
+    # ------------------------------------------------------------- stored
+    @cached_property
+    def _stamp(self) -> str | None:
+        """What a stored copy depends on; None over extracts that aren't landed (everything stays lazy then)."""
+        if not isinstance(self.raw, RawSource) or not self.raw.land:
+            return None
+        rules = "".join(inspect.getsource(m) for m in (core, marts, staging, functions.cleaning, functions.dates, functions.numeric))
+        told = [rules, str(self.as_of), self.source_system, *(self.raw.landing_path(t) for t in sorted(self.raw.names))]
+        return hashlib.md5("|".join(told).encode()).hexdigest()[:16]
+
+    def _store(self, name: str) -> VersionedTable:
+        return VersionedTable(self.spark, f"{work_root(self.spark).rstrip('/')}/models/{self._stamp}/{name}")
+
+    def written(self, name: str) -> DataFrame:
+        """The model as a table, written on first use."""
+        if self._stamp is None:
+            return self.model(name)
+        if name not in self._written:
+            table = self._store(name)
+            self._written[name] = table.read() or table.write(self.model(name))
+        return self._written[name]
+
+    def by_claim(self, name: str) -> DataFrame:
+        """A staged table stored in buckets of claim_id: joins and roll-ups on it need no exchange."""
+        if self._stamp is None:
+            return self.stg(name)
+        key = f"{name}_by_claim"
+        if key not in self._written:
+            store = self._store(key)
+            # Header and lines have the same number of buckets, after the larger of them.
+            n = max(default_parallelism(self.spark), self.raw.partitions("clline"), self.raw.partitions("clclaim"))
+            table = f"carespark_{self._stamp}_{key}"
+            staged = self.stg(name)
+            if store.version() == 0:
+                self.spark.sql(f"drop table if exists {table}")
+                (staged.repartition(n, "claim_id").write.mode("overwrite").bucketBy(n, "claim_id").sortBy("claim_id")
+                 .option("path", store.version_path(1)).saveAsTable(table))
+                store.commit_written()
+            elif not self.spark.catalog.tableExists(table):  # stored by another session
+                columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in staged.schema.fields)
+                self.spark.sql(f"create table {table} ({columns}) using parquet clustered by (claim_id) sorted by (claim_id) "
+                               f"into {n} buckets location '{store.version_path(1)}'")
+            self._written[key] = self.spark.table(table)
+        return self._written[key]
+
+    @cached_property
+    def busy_ids(self) -> list[tuple]:
+        """The heavy ids among all roles of the claims (at most a thousand)."""
+        return skew.heavy_keys(core.role_ids(self.by_claim("stg_clclaim")), ["kind", "id"])
+
     # ------------------------------------------------------------- silver
     @cached_property
     def dim_date(self) -> DataFrame:
@@ -66,20 +126,20 @@ class Warehouse:
 
     @cached_property
     def fct_claim(self) -> DataFrame:
-        return core.fct_claim(self.stg("stg_clclaim"), self.stg("stg_clline"), self.dim_member, self.dim_provider)
+        return core.fct_claim(self.by_claim("stg_clclaim"), self.by_claim("stg_clline"), self.dim_member, self.dim_provider, self.busy_ids)
 
     @cached_property
     def fct_claim_conformed(self) -> DataFrame:
         return core.fct_claim_conformed(
-            self.stg("stg_clclaim"), self.stg("stg_clline"), self.stg("stg_member_crosswalk"),
+            self.by_claim("stg_clclaim"), self.by_claim("stg_clline"), self.stg("stg_member_crosswalk"),
             self.stg("stg_provider_crosswalk"), self.dim_golden_member, self.dim_golden_provider,
-            self.dim_member, self.dim_provider, self.source_system,
+            self.dim_member, self.dim_provider, self.source_system, self.busy_ids,
         )
 
     # --------------------------------------------------------------- gold
     @cached_property
     def mart_claims_summary(self) -> DataFrame:
-        return marts.mart_claims_summary(self.fct_claim, self.dim_member)
+        return marts.mart_claims_summary(self.written("fct_claim"), self.dim_member)
 
     @cached_property
     def mart_member_months(self) -> DataFrame:
@@ -87,7 +147,7 @@ class Warehouse:
 
     @cached_property
     def mart_medical_expense(self) -> DataFrame:
-        return marts.mart_medical_expense(self.mart_claims_summary, self.mart_member_months)
+        return marts.mart_medical_expense(self.written("mart_claims_summary"), self.written("mart_member_months"))
 
     # ------------------------------------------------------ intermediates
     @cached_property

@@ -511,6 +511,10 @@ class RawSource:
         self._raw: dict[str, DataFrame] = {}
         self._files: dict[str, list] = {}
 
+    @property
+    def names(self) -> tuple[str, ...]:
+        return RAW_TABLES
+
     def driver(self, name: str) -> DataFrame:
         if name not in self._driver:
             self._driver[name] = read_driver(self.spark, self.sf_dir, name)
@@ -531,7 +535,7 @@ class RawSource:
         builder, deps = RAW_BUILDERS[name]
         return self.spark.sql(builder(SPARK), **{t: self.driver(t) for t in deps})
 
-    def _landing_path(self, name: str) -> str:
+    def landing_path(self, name: str) -> str:
         import hashlib
 
         from ..session import work_root
@@ -550,7 +554,7 @@ class RawSource:
             else:
                 from .io import VersionedTable
 
-                path = self._landing_path(name)
+                path = self.landing_path(name)
                 table = VersionedTable(self.spark, path)
                 if path not in _VERIFIED and table.current_path() is None:
                     df = self.derived(name)

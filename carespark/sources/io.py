@@ -83,7 +83,7 @@ class CommitLog:
 
     def _commit(self, record: dict) -> dict:
         """Publishes a version; fails if another writer has published the same one."""
-        row = self.spark.createDataFrame([(json.dumps(record, sort_keys=True),)], "value string").coalesce(1)
+        row = self.spark.range(1, numPartitions=1).select(F.lit(json.dumps(record, sort_keys=True)).alias("value"))
         row.write.mode("errorifexists").text(f"{self.path}/commits/v-{record['version']:06d}")
         self._seen[record["version"]] = record
         return record
@@ -109,9 +109,13 @@ class VersionedTable(CommitLog):
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(self.version_path(nxt))
-        self._commit({"version": nxt})
+        self.commit_written()
         return self.spark.read.parquet(self.version_path(nxt))
 
+    def commit_written(self) -> None:
+        """Publishes the next version, whose data the caller has written to its folder."""
+        self._commit({"version": self.version() + 1})
+
 
 PART = "_part"
 

@@ -94,3 +94,68 @@ def test_prorated_start(spark):
     months = lambda **o: {r.calendar_month.month: r.member_month_units / marts.MONTH_LCM for r in marts.member_month_detail(elig, dt.date(2001, 6, 30), **o).collect()}
     assert months() == {2: 14 / 28}
     assert months(prorate_start=True) == {1: 16 / 31, 2: 14 / 28}
+
+
+def largest_and_median(df):
+    """Rows of the fullest task, and of the median task that has rows."""
+    sizes = sorted(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+    return sizes[-1], sizes[len(sizes) // 2]
+
+
+def test_busy_and_wide_ids_are_split(spark):
+    """One provider on half the claims, and an id with 100,000 links."""
+    from carespark.operators import skew
+
+    n = 120_000
+    ids = spark.range(n).select(F.col("id").alias("claim_id"), F.lit("provider").alias("kind"),
+                                F.when(F.col("id") % 2 == 0, F.lit("busy")).otherwise(F.concat(F.lit("p"), (F.col("id") % 7919).cast("string"))).alias("id"))
+    links = spark.range(8000).select(F.lit("provider").alias("kind"), F.concat(F.lit("p"), F.col("id").cast("string")).alias("id"), F.col("id").cast("string").alias("link"))
+    wide = spark.range(100_000).select(F.lit("provider").alias("kind"), F.lit("p5").alias("id"), F.concat(F.lit("w"), F.col("id").cast("string")).alias("link"))
+    links = links.unionByName(spark.createDataFrame([("provider", "busy", "b")], "kind string, id string, link string")).unionByName(wide)
+    key = ["kind", "id"]
+    busy, heavy_links = skew.heavy_keys(ids, key), skew.heavy_keys(links, key)
+    assert [b[:2] for b in busy] == [("provider", "busy")] and [b[:2] for b in heavy_links] == [("provider", "p5")]
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        plain, split = ids.join(links, key), skew.split_join(ids, links, key, busy, heavy_links)
+        assert split.count() == plain.count() and split.select(*plain.columns).exceptAll(plain).count() == 0
+        most, median = largest_and_median(split)
+        assert most < 3 * median < largest_and_median(plain)[0]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_fact_joins_on_stored_buckets_without_an_exchange(spark, wh):
+    """Neither the header nor the lines are shuffled by claim_id."""
+    import re
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        header, lines = wh.by_claim("stg_clclaim"), wh.by_claim("stg_clline")
+        plan = header.join(core.line_rollup(lines), "claim_id", "left")._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        fact = core.fct_claim(header, lines, wh.dim_member, wh.dim_provider)._jdf.queryExecution().executedPlan().toString()
+        # The narrow resolved ids are the only side that is dealt by claim; the wide header and the lines stay where they lie.
+        dealt = [line for line in fact.splitlines() if re.search(r"Exchange hashpartitioning\(claim_id", line)]
+        assert dealt and not any("billed" in line for line in dealt)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_claims_that_share_an_id_keep_their_own_roles(spark, wh):
+    """Two header rows of one claim_id with other providers."""
+    claims = wh.stg("stg_clclaim")
+    one = claims.where("billing_provider_id is not null and servicing_provider_id is not null").limit(1)
+    other = one.withColumn("billing_provider_id", F.lit("nobody")).withColumn("member_id", F.lit(None).cast("string"))
+    both = one.unionByName(other)
+    got = core.fct_claim(both, wh.stg("stg_clline"), wh.dim_member, wh.dim_provider).collect()
+    assert len(got) == 2
+    mine, theirs = sorted(got, key=lambda r: r.member_id is None)
+    assert theirs.member_key is None and theirs.billing_provider_key is None and mine.servicing_provider_key == theirs.servicing_provider_key
