@@ -1,8 +1,8 @@
 """Byte-level BPE encoding and decoding by longest matches with backtracking.
 
 The bytes of a piece (one match of the split pattern) are read as Latin-1, so
-that an Aho-Corasick automaton over all tokens (pyahocorasick) finds every
-token in it in one sweep.  From left to right the longest token at a place is
+that an automaton over all tokens (pyahocorasick) finds the longest token at a
+place.  From left to right the longest token at a place is
 tried first, then its longest proper prefix that is a token, and so on; a token
 may follow another only if the two are compatible, i.e. if merging their joint
 bytes by rank gives just these two.  Compatibility is memoised per pair.  A
@@ -52,15 +52,27 @@ class Vocabulary(Decoder):
     def __init__(self, path: str, pattern: str = public_tokenizers.PATTERN):
         super().__init__(path)
         self.ranks = {b: i for i, b in self.bytes_of.items()}
+        self.tokens = {token.decode("latin-1"): i for token, i in self.ranks.items()}
         self.automaton = ahocorasick.Automaton()
-        for token, i in self.ranks.items():
-            self.automaton.add_word(token.decode("latin-1"), (len(token), i))
+        for token, i in self.tokens.items():
+            self.automaton.add_word(token, i)
         self.automaton.make_automaton()
         self.pieces = regex.compile(pattern).findall
         self.shorter = Memo(self._shorter)
+        self.edges = Memo(self._edges)
         self.fits = Memo(self._fits)
-        self.piece = Memo(lambda p: array("I", self.encode_piece(p.encode())).tobytes())
-        self.encode = ChunkEncoder(lambda text: b"".join(map(self.piece.__getitem__, self.pieces(text))))
+        self.length = {i: len(b) for b, i in self.ranks.items()}
+        self.piece = Memo(self._packed)
+        self.encode = ChunkEncoder(self._spell, lambda text: b"".join(map(self.piece.__getitem__, self.pieces(text))))
+
+    def _packed(self, piece: str) -> bytes:
+        return array("I", self.encode_piece(piece.encode())).tobytes()
+
+    def _spell(self, chunk: str) -> bytes:
+        # A plain word is one piece; up to Latin Extended-B letters are the same in any Unicode version.
+        if chunk[1:].isalpha() and (chunk[0] == " " or chunk[0].isalpha()) and (chunk.isascii() or max(chunk) < "\u0250"):
+            return self._packed(chunk)
+        return b"".join(map(self.piece.__getitem__, self.pieces(chunk)))
 
     def merged(self, data: bytes) -> list[int]:
         """The merges themselves: the pair of lowest rank first, the leftmost of equals."""
@@ -77,42 +89,81 @@ class Vocabulary(Decoder):
         data = self.bytes_of[token]
         return next((self.ranks[data[:n]] for n in range(len(data) - 1, 0, -1) if data[:n] in self.ranks), -1)
 
-    def _fits(self, pair: tuple[int, int]) -> bool:
-        """May the second follow the first? (-1: the start)"""
-        left, right = pair
-        if left < 0:
-            return self.merged(self.bytes_of[right]) == [right]
-        return self.merged(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
+    def _edges(self, token: int) -> tuple[list, list, bool]:
+        """How a token comes about by merges of its own bytes: the parts at its right and at its left
+        edge, each with the rank of the merge that made it, and whether that ends in the token by rising ranks."""
+        parts = [self.bytes_of[token][i:i + 1] for i in range(len(self.bytes_of[token]))]
+        right, left, last, rising = [(parts[-1], -1)], [(parts[0], -1)], -1, True
+        while len(parts) > 1:
+            rank, at = min((self.ranks.get(parts[i] + parts[i + 1], 1 << 60), i) for i in range(len(parts) - 1))
+            if rank == 1 << 60:
+                return right, left, False
+            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            rising, last = rising and rank >= last, rank
+            if at == len(parts) - 1:
+                right.append((parts[at], rank))
+            if at == 0:
+                left.append((parts[at], rank))
+        return right, left, rising
+
+    def _fits(self, pair: int) -> bool:
+        """May the second token follow the first? (pair: first * 2^32 + second; a negative one: the second starts)
+
+        Side by side the two come about as each does alone, unless at some time the
+        parts that meet make a token of lower rank than the next merge at either edge (of equal
+        ranks the one further left is made first).
+        """
+        first, second = pair >> 32, pair & 0xFFFFFFFF
+        _, ours, rising = self.edges[second]
+        if first < 0:
+            return rising or self.merged(self.bytes_of[second]) == [second]
+        theirs, _, also = self.edges[first]
+        if not (rising and also):
+            return self.merged(self.bytes_of[first] + self.bytes_of[second]) == [first, second]
+        ranks, i, j = self.ranks, 0, 0
+        while True:
+            after_first = theirs[i + 1][1] if i + 1 < len(theirs) else 1 << 60
+            after_second = ours[j + 1][1] if j + 1 < len(ours) else 1 << 60
+            joint = ranks.get(theirs[i][0] + ours[j][0])
+            if joint is not None and joint < after_first and joint <= after_second:
+                return False
+            if after_first == after_second == 1 << 60:
+                return True
+            if after_first <= after_second:
+                i += 1
+            else:
+                j += 1
 
     def encode_piece(self, data: bytes) -> list[int]:
-        if data in self.ranks:
-            return [self.ranks[data]]
-        size = len(data)
-        longest = [(0, -1)] * size
-        for end, (length, token) in self.automaton.iter(data.decode("latin-1")):
-            if length > longest[end + 1 - length][0]:
-                longest[end + 1 - length] = (length, token)
+        ranks, lengths, fits, shorter = self.ranks, self.length, self.fits, self.shorter
+        if data in ranks:
+            return [ranks[data]]
+        size, latin = len(data), data.decode("latin-1")
+        reach, token_of = self.automaton.longest_prefix, self.tokens.get
         out: list[int] = []
         dead: set[int] = set()
-        at, token = 0, longest[0][1]
+        at, before, fresh = 0, -1, True
         while at < size:
-            before = out[-1] if out else -1
+            if fresh:  # the longest token here: the automaton's longest path, cut back to where a token ends
+                end = at + reach(latin[at:])
+                while (token := token_of(latin[at:end], -1)) < 0 and end > at:
+                    end -= 1
             while token >= 0:
-                end = at + len(self.bytes_of[token])
-                if end not in dead and self.fits[before, token]:
+                end = at + lengths[token]
+                if fits[before << 32 | token] and end not in dead:
                     break
-                token = self.shorter[token]
+                token = shorter[token]
             if token >= 0:
                 out.append(token)
-                at = end
-                token = longest[at][1] if at < size else -1
+                at, before, fresh = end, token, True
             else:  # nothing fits here: never come back, and shorten the token before
                 if not out:
                     raise ValueError(f"the vocabulary can't spell {data!r}")
                 dead.add(at)
                 last = out.pop()
-                at -= len(self.bytes_of[last])
-                token = self.shorter[last]
+                at -= lengths[last]
+                before = out[-1] if out else -1
+                token, fresh = shorter[last], False
         return out
 
 

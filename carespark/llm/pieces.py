@@ -14,21 +14,29 @@ from collections.abc import Callable
 
 #: A space that a match of the pattern may share with white space before it.
 _SPANNING = re.compile(r"\s (?:\s|\Z)")
-#: Entries that a worker keeps of each kind; beyond it the memo starts anew.
+#: Entries of one generation of a memo; a worker keeps two.
 MEMO = 200_000
 
 
 class Memo(dict):
-    """make(key), remembered for up to MEMO keys."""
+    """make(key), remembered in two generations of up to ``size`` keys.
+
+    When the young one is full it becomes the old one; what is asked for again
+    comes back from there, so common keys outlive the many that come once.
+    """
 
     def __init__(self, make: Callable, size: int = MEMO):
         super().__init__()
-        self.make, self.size = make, size
+        self.make, self.size, self.old = make, size, {}
 
     def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
         if len(self) >= self.size:
+            self.old = dict(self)
             self.clear()
-        value = self[key] = self.make(key)
+        self[key] = value
         return value
 
 
