@@ -24,7 +24,7 @@ from __future__ import annotations
 import struct
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -136,6 +136,16 @@ class WaveletMatrix:
             at = self._nth(level, at - self.zeros[level] if one else at, one)
         return at
 
+    def places(self, token: int) -> np.ndarray:
+        """All places of token, plane by plane: one pass over each plane whatever their number."""
+        at = np.arange(*self._range(token, self.n))
+        for level in range(len(self.zeros) - 1, -1, -1):
+            if token >> (len(self.zeros) - 1 - level) & 1:
+                at = np.flatnonzero(self._bits(level))[at - self.zeros[level]]
+            else:
+                at = np.flatnonzero(~self._bits(level))[at]
+        return at
+
     def _nth(self, level: int, k: int, one: bool) -> int:
         """The place of the k-th one (or zero) of a plane: a binary search over ranks."""
         low, high = 0, self.n
@@ -169,12 +179,11 @@ def _letters() -> dict[int, str]:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> tuple[ChunkEncoder, int]:
-    """The library's encoding with a memo of its pieces, and the planes that its ids need."""
+def encoder(path: str) -> tuple[Callable[[str], bytes], int]:
+    """The library's plain encoding (special tokens' strings become their ids) with a memo of its pieces, and the planes that its ids need."""
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True  # their strings in a text are ordinary text
     merge, letters = library.model.tokenize, _letters()
     # The library's own pattern; up to Latin Extended-B its classes are the same in any Unicode version.
     pieces = regex.compile(public_tokenizers.PATTERN).findall
@@ -191,7 +200,12 @@ def encoder(path: str) -> tuple[ChunkEncoder, int]:
             return b"".join(map(piece.__getitem__, pieces(chunk)))
         return whole(chunk)
 
-    return ChunkEncoder(spell, whole), max(1, (library.get_vocab_size(with_added_tokens=True) - 1).bit_length())
+    chunks, special = ChunkEncoder(spell, whole), [t.content for t in library.get_added_tokens_decoder().values()]
+
+    def encode(text: str) -> bytes:
+        return whole(text) if any(s in text for s in special) else chunks(text)
+
+    return encode, max(1, (library.get_vocab_size(with_added_tokens=True) - 1).bit_length())
 
 
 def build_shards(docs: DataFrame, key: str, text: str, path: str = MODEL, end_id: int = END_ID,
@@ -280,7 +294,7 @@ def occurrences(spark: SparkSession, folder: str, token: int) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 matrix = WaveletMatrix.from_bytes(row["blob"])
-                places = [matrix.select(token, j) for j in range(matrix.rank(token))]
+                places = matrix.places(token)
                 yield pa.RecordBatch.from_pydict({"part": pa.array([row["part"]] * len(places), pa.int32()), "block": pa.array([row["block"]] * len(places), pa.int32()),
                                                   "place": pa.array(places, pa.int64())})
 

@@ -10,9 +10,13 @@ import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from conftest import SF_SMALL
 from tokenizers import Tokenizer
 
 from carespark.llm import bpe, wavelet
+from carespark.llm.common import documents
+from carespark.llm.pieces import Memo
+from carespark.llm.queries import QUERIES
 
 TEXTS = [None, "", " ", "  ", "a", " a  b   c \n\n d\t e \n", "don't we'll 's", "été über niño 12345 ñ…", "x" * 5000, "日本語 🙂🙂 <|endoftext|>",
          "word " * 3000, "\n \n", "tail  ", "tail\n ", " \n  x   y", "a\x1c b \x85 c"]
@@ -26,9 +30,7 @@ def reference():
 
 @pytest.fixture(scope="module")
 def library():
-    t = Tokenizer.from_file(wavelet.MODEL)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(wavelet.MODEL)
 
 
 def unpack(data):
@@ -56,6 +58,34 @@ def test_backtracking_gives_the_merges(data):
     assert vocabulary.encode_piece(data) == ([vocabulary.ranks[data]] if data in vocabulary.ranks else vocabulary.merged(data))
 
 
+@pytest.mark.parametrize("text", ["<|endoftext|>", "a <|endoftext|> b", "a \n<|endoftext|>b  c", "x<|endoftext|><|endoftext|> "])
+def test_special_strings_as_the_library_does(library, text):
+    ids = unpack(wavelet.encoder(wavelet.MODEL)[0](text))
+    assert ids == library.encode(text, add_special_tokens=False).ids and 50256 in ids
+
+
+def test_memo_keeps_what_is_asked_for_again():
+    made = []
+    memo = Memo(lambda k: made.append(k) or -k, size=10)
+    for k in range(100):
+        assert memo[k] == -k and memo[0] == 0
+    assert made.count(0) == 1 and len(memo) <= 10
+
+
+def test_tokens_of_given_documents(spark, reference, library):
+    """Both encodings on all documents of a table, against the libraries."""
+    sf = SF_SMALL.replace("0.001", "0.01")
+    texts = {r.doc_id: r.text or "" for r in documents(spark, sf).collect()}
+    for r in QUERIES["op5_bpe"](spark, sf).collect():
+        ids = reference.encode_ordinary(texts[r.doc_id])
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+    start, got = 0, {r.doc_id: r for r in QUERIES["op7_wavelet"](spark, sf).collect()}
+    for i in sorted(texts):
+        ids = library.encode(texts[i], add_special_tokens=False).ids + [2]
+        assert (got[i].start, got[i].n_tokens, got[i].ids_crc32) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+
+
 def test_compatible_pairs_are_remembered():
     vocabulary = bpe.vocabulary(bpe.RANKS)
     vocabulary.encode_piece(b"unbelievableness")
@@ -85,6 +115,7 @@ def test_wavelet_matrix(ids):
     assert [m.access(i) for i in range(len(ids))] == ids
     for t in {*ids, 5}:
         where = [i for i, x in enumerate(ids) if x == t]
+        assert m.places(t).tolist() == where
         assert m.rank(t) == len(where) and [m.select(t, j) for j in range(len(where))] == where
         assert m.rank(t, len(ids) // 2) == sum(i < len(ids) // 2 for i in where)
 
