@@ -38,11 +38,23 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{work_root(spark).rstrip('/')}/llm/{label}-{uuid.uuid4().hex}"
 
 
+#: Spark's own switch to free a query's shuffle files once it has ended.
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def saved(df: DataFrame, label: str) -> DataFrame:
-    """df as a written table: cuts the lineage and survives lost executors."""
-    path = scratch(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """df as a written table: cuts the lineage and survives lost executors.
+
+    The write's shuffle files are freed with it: nothing reads them once the table is there.
+    """
+    spark, path = df.sparkSession, scratch(df.sparkSession, label)
+    before = spark.conf.get(_FREE_SHUFFLES, "false")
+    spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_FREE_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def free(df: DataFrame, name: str) -> str:
