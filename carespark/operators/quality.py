@@ -21,7 +21,7 @@ ROW_LEVEL = {"not_null", "accepted_values", "between", "pair_ge", "type"}
 class Check:
     model: str
     kind: str  # not_null | unique | accepted_values | relationships | between | pair_ge | type
-    column: str
+    column: str  # of a unique rule also several, joined by "+"
     severity: str = "error"
     values: tuple = ()
     to_model: str | None = None
@@ -38,6 +38,10 @@ class Check:
     def rule(self) -> str:
         return self.kind
 
+    @property
+    def columns(self) -> list[str]:
+        return self.column.split("+")
+
 
 def _cond(check: Check) -> Column:
     return F.expr(check.row_condition) if check.row_condition else F.lit(True)
@@ -66,13 +70,21 @@ def fail_predicate(check: Check) -> Column:
     raise ValueError(f"{check.kind} is not a row-level rule")
 
 
+def _counted(check: Check) -> Column:
+    """The rows that a unique rule looks at: those that meet its condition and have no NULL among its columns."""
+    known = F.lit(True)
+    for c in check.columns:
+        known = known & F.col(c).isNotNull()
+    return F.coalesce(_cond(check), F.lit(False)) & known
+
+
 def failing_rows(df: DataFrame, check: Check, models: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """The rows (or duplicated values) that violate ``check``."""
     if check.kind in ROW_LEVEL:
         return df.filter(F.coalesce(fail_predicate(check), F.lit(False)))
-    c = F.col(check.column)
     if check.kind == "unique":
-        return df.filter(c.isNotNull()).groupBy(check.column).count().filter(F.col("count") > 1)
+        return df.filter(_counted(check)).groupBy(*check.columns).count().filter(F.col("count") > 1)
+    c = F.col(check.column)
     if check.kind == "relationships":
         parent = models[check.to_model].select(F.col(check.to_field).alias("_parent_key"))
         return df.filter(c.isNotNull()).join(parent, c == F.col("_parent_key"), "left_anti")
@@ -85,9 +97,14 @@ def _meta(check: Check) -> list[Column]:
 
 
 def _unique_counts(df: DataFrame, group: list[Check]) -> DataFrame:
-    """Duplicated values per unique column of one table, in one scan and one shuffle."""
-    values = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(ch.column).cast("string").alias("v")) for i, ch in enumerate(group)])).alias("x")
-    twice = df.select(values).select("x.i", "x.v").filter(F.col("v").isNotNull()).groupBy("i", "v").count().filter(F.col("count") > 1)
+    """Duplicated values (or combinations) per unique rule of one table, in one scan and one shuffle.
+
+    Every row gives one narrow (rule, values) row per rule whose condition it meets.
+    """
+    told = [F.when(_counted(ch), F.struct(F.lit(i).alias("i"), F.array(*[F.col(c).cast("string") for c in ch.columns]).alias("v")))
+            for i, ch in enumerate(group)]
+    values = df.select(F.explode(F.array_compact(F.array(*told))).alias("x")).select("x.i", "x.v")
+    twice = values.groupBy("i", "v").count().filter(F.col("count") > 1)
     one = twice.agg(*[F.count(F.when(F.col("i") == i, 1)).alias(f"f{i}") for i in range(len(group))])
     return one.select(F.inline(F.array(*[F.struct(*_meta(ch), F.col(f"f{i}").cast("bigint").alias("failures")) for i, ch in enumerate(group)])))
 

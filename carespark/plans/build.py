@@ -27,7 +27,7 @@ LAYERS = {
 }
 
 
-def _run_level(jobs: dict, threads: int) -> dict[str, DataFrame]:
+def run_level(jobs: dict, threads: int) -> dict[str, DataFrame]:
     """Run independent model writes of one dependency level as concurrent Spark jobs."""
     from concurrent.futures import ThreadPoolExecutor
 
@@ -74,7 +74,7 @@ def build(spark: SparkSession, wh: Warehouse, root: str | None = None, default_s
     def level(models: dict) -> None:
         jobs = {n: (lambda n=n, f=f: publish(n, f)) for n, f in models.items() if n in wanted}
         if jobs:
-            out.update(_run_level(jobs, threads))
+            out.update(run_level(jobs, threads))
 
     stg = wh.stg
     level({
@@ -102,22 +102,3 @@ def build(spark: SparkSession, wh: Warehouse, root: str | None = None, default_s
     level({"mart_medical_expense": lambda: marts.mart_medical_expense(out["mart_claims_summary"],
                                                                        out["mart_member_months"])})
     return out
-
-
-def materialize(spark: SparkSession, wh: Warehouse, root: str, staging_names=None,
-                threads: int = 4, only=None) -> dict[str, DataFrame]:
-    """Write the staging views that are asked for (concurrently), then build every
-    layer on top of the *written* staging tables.  Returns every model read back."""
-    from . import staging as stg_mod
-
-    written = Warehouse(wh.raw, spark, as_of=wh.as_of, source_system=wh.source_system)
-    names = list(staging_names or stg_mod.STAGING)
-
-    def land(name: str) -> DataFrame:
-        table = VersionedTable(spark, layer_path(root, schema_name("bronze", "ANALYTICS"), name))
-        return table.write(wh.stg(name))
-
-    out = _run_level({n: (lambda n=n: land(n)) for n in names}, threads)
-    written._staged.update(out)
-    out.update(build(spark, written, root=root, as_of=wh.as_of, threads=threads, only=only))
-    return out

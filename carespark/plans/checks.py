@@ -91,6 +91,41 @@ SUITE: list[Check] = [
          "enrolled_members"),
     *_uq("mart_member_months", "member_month_key"),
     *_ge0("mart_member_months", "member_months", "enrolled_members", "subscriber_count", "dependent_count"),
+    # --- raw tables
+    *_nn("raw_member", "memid"), *_nn("raw_mbrelig", "memid", "eligid"),
+    *_nn("raw_clclaim", "claimid"), *_uq("raw_clclaim", "claimid"),
+    *_nn("raw_clline", "claimid", "lineseq"),
+    *_nn("raw_provider", "provid"), *_uq("raw_provider", "provid"),
+    *_nn("raw_diagcode", "diagcode"), *_nn("raw_proccode", "proccode"),
+    *_nn("raw_golden_member", "golden_member_id"), *_uq("raw_golden_member", "golden_member_id"),
+    *_nn("raw_golden_provider", "golden_provider_id"), *_uq("raw_golden_provider", "golden_provider_id"),
+    *_nn("raw_member_crosswalk", "crosswalk_id", "golden_member_id", "source_system", "source_member_id"),
+    *_uq("raw_member_crosswalk", "crosswalk_id"),
+    *_nn("raw_provider_crosswalk", "crosswalk_id", "golden_provider_id", "source_system", "source_provider_id"),
+    *_uq("raw_provider_crosswalk", "crosswalk_id"),
+]
+DECLARED = len(SUITE) - 2  # all but the two crosswalk rules above
+
+# Rules of our own: keys of several columns, and the models that have no declared rule.
+SUITE += [
+    # Surrogate keys hash raw ids, so spelling variants of one claim could repeat a line, diagnosis or procedure.
+    Check("stg_clline", "unique", "claim_id+line_number", W), Check("stg_cldiag", "unique", "claim_id+diagnosis_sequence", W),
+    Check("stg_clproc", "unique", "claim_id+procedure_sequence", W),
+    # The key leaves plan_name out, which is a group key.
+    Check("mart_member_months", "unique", "calendar_month+line_of_business+plan_id+group_id+coverage_type", W),
+    # Several active links of one source id fan facts out.
+    Check("stg_member_crosswalk", "unique", "source_system+source_member_id", W, row_condition="is_active"),
+    Check("stg_provider_crosswalk", "unique", "source_system+source_provider_id", W, row_condition="is_active"),
+    *_nn("dim_golden_member", "golden_member_key", "golden_member_id"),
+    Check("dim_golden_member", "unique", "golden_member_key", W),
+    *_nn("dim_golden_provider", "golden_provider_key", "golden_provider_id"),
+    Check("dim_golden_provider", "unique", "golden_provider_key", W),
+    *_nn("fct_claim_conformed", "claim_key", "claim_id", "claim_status"),
+    Check("fct_claim_conformed", "relationships", "member_golden_id", W, to_model="dim_golden_member", to_field="golden_member_id"),
+    Check("fct_claim_conformed", "relationships", "billing_provider_golden_id", W, to_model="dim_golden_provider", to_field="golden_provider_id"),
+    *_ge0("fct_claim_conformed", "billed_amount"),
+    *_nn("mart_medical_expense", "expense_key", "report_month"), *_uq("mart_medical_expense", "expense_key"),
+    *_ge0("mart_medical_expense", "claim_count", "total_paid", "member_months"),
 ]
 
 SUITE_MODELS = sorted({c.model for c in SUITE} | {c.to_model for c in SUITE if c.to_model})

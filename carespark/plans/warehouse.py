@@ -69,6 +69,20 @@ class Warehouse:
             self._written[name] = table.read() or table.write(self.model(name))
         return self._written[name]
 
+    def write_all(self, names, threads: int = 4) -> None:
+        """Writes what isn't written yet, models that others read first; independent ones as concurrent jobs."""
+        from .build import DEPENDS, run_level
+
+        todo = {n for n in names if n not in self._written}
+        read = {"fct_claim", "mart_claims_summary", "mart_member_months"}  # what the marts read as tables
+        todo |= {d for n in todo for d in DEPENDS.get(n, ()) if d in read and d not in self._written}
+        while todo:
+            ready = {n for n in todo if not (DEPENDS.get(n, set()) & todo & read)}
+            for n in ready:
+                self.model(n)  # plans are built one after the other, and shared
+            run_level({n: (lambda n=n: self.written(n)) for n in sorted(ready)}, threads)
+            todo -= ready
+
     def by_claim(self, name: str) -> DataFrame:
         """A staged table stored in buckets of claim_id: joins and roll-ups on it need no exchange."""
         if self._stamp is None:

@@ -308,6 +308,14 @@ from numbered_lines
 """
 
 
+def _proccode(d: Dialect) -> str:
+    return f"""
+select concat('P', {s('code')}) as proccode, concat('Procedure ', {s('code')}) as procdesc,
+  case when code % 2 = 0 then 'CPT' else 'HCPCS' end as proctype, {d.ts_lit(LOAD_TS)} as _loaded_at
+from (select distinct l_partkey % 300 as code from {d.t('lineitem')}) codes
+"""
+
+
 def _cladjust(d: Dialect) -> str:
     return f"""
 select
@@ -445,6 +453,7 @@ RAW_BUILDERS = {
     "clproc": (_clproc, ("lineitem",)),
     "cladjust": (_cladjust, ("events", "orders")),
     "diagcode": (_diagcode, ("part",)),
+    "proccode": (_proccode, ("lineitem",)),
     "golden_member": (_golden_member, ("customer",)),
     "member_crosswalk": (_member_crosswalk, ("customer",)),
     "golden_provider": (_golden_provider, ("supplier",)),

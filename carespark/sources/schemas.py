@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,9 +41,79 @@ RAW_SCHEMAS: dict[str, T.StructType] = {
     "cladjust": _strings("claimid adjustseq adjustcode adjustdesc adjustgroup adjustamt adjustdate"),
     "diagcode": _strings("diagcode diagdesc diagshortdesc diagtype category categorydesc chapter chapterdesc "
                          "effdate termdate billable header"),
+    "proccode": _strings("proccode procdesc proctype"),
+}
+
+# The declared source tables by group, each with its declared columns.
+# ``claims system`` tables without an extract of their own are declared only.
+SOURCES: dict[str, dict[str, str]] = {
+    "extracts": {
+        "member": "memid fname lname dob sex ssn",
+        "mbrelig": "memid eligid effdate termdate lobid planid",
+        "mbrenroll": "memid enrollid enrolleffdate enrolltermdate",
+        "mbraddress": "memid addrtype addr1 addr2 city state zip",
+        "mbrphone": "memid phonetype phone",
+        "clclaim": "claimid memid provid svcfromdate svctodate recvddate paiddate claimstatus billedamt allowedamt paidamt claimtype",
+        "clline": "claimid lineseq proccode revcode svcunits billedamt allowedamt paidamt pos",
+        "cladjust": "claimid adjustseq adjustcode adjustamt adjustdate",
+        "cldiag": "claimid diagseq diagcode diagtype",
+        "clproc": "claimid procseq proccode proctype",
+        "provider": "provid provname npi taxid provtype provstatus",
+        "provaddr": "provid addrtype addr1 city state zip",
+        "provspec": "provid speccode spectype effdate termdate",
+        "provcontract": "provid contractid networkid effdate termdate",
+        "provnetwork": "networkid networkname networktype",
+        "diagcode": "diagcode diagdesc diagtype effdate termdate",
+        "proccode": "proccode procdesc proctype",
+        "revcode": "revcode revdesc",
+        "postype": "poscode posdesc",
+        "claimstatus": "statuscode statusdesc",
+    },
+    "samples": {"cldiag": "", "clproc": "", "cladjust": ""},
+    "identity": {
+        "golden_member": "golden_member_id first_name last_name date_of_birth gender ssn match_confidence merge_history is_active "
+                         "created_at updated_at _loaded_at",
+        "golden_provider": "golden_provider_id provider_name npi tax_id provider_type primary_specialty match_confidence is_active "
+                           "created_at updated_at _loaded_at",
+        "member_crosswalk": "crosswalk_id golden_member_id source_system source_member_id match_confidence match_rule is_primary "
+                            "effective_date termination_date created_at _loaded_at",
+        "provider_crosswalk": "crosswalk_id golden_provider_id source_system source_provider_id match_confidence match_rule is_primary "
+                              "effective_date termination_date created_at _loaded_at",
+    },
 }
 
 
+def source_profile(sources: Mapping[str, DataFrame]) -> DataFrame:
+    """The registry against what has arrived: a row per declared or arrived column.
+
+    ``state`` is matched, missing (declared, not in the arrived table), undeclared
+    (arrived, not declared; tables declared without columns take any) or absent (the table hasn't arrived);
+    ``rows`` and ``filled`` (values that are not null) come from one pass over each table.
+    """
+    parts = []
+    for group, tables in SOURCES.items():
+        for name, text in tables.items():
+            declared, df = text.split(), sources.get(name)
+            here = df.columns if df is not None else []
+            columns = list(dict.fromkeys([*declared, *(c for c in here if c != LOAD_FOLDER)]))
+            state = {c: "absent" if df is None else "missing" if c not in here else "matched" if not declared or c in declared else "undeclared"
+                     for c in columns}
+            told = [F.struct(F.lit(group).alias("source_group"), F.lit(name).alias("source_name"), F.lit(c).alias("column_name"),
+                             F.lit(state[c]).alias("state"), (F.col("rows") if df is not None else F.lit(None).cast("long")).alias("rows"),
+                             (F.col(f"filled_{i}") if c in here else F.lit(None).cast("long")).alias("filled")) for i, c in enumerate(columns)]
+            if df is None:
+                spark = next(iter(sources.values())).sparkSession
+                one = spark.range(1)
+            else:
+                one = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count(F.col(c)).alias(f"filled_{i}") for i, c in enumerate(columns) if c in here])
+            parts.append(one.select(F.inline(F.array(*told))))
+    return reduce(DataFrame.unionByName, parts)
+
+
+#: The folder column that landed incremental extracts have besides their own.
+LOAD_FOLDER = "load_month"
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project ``df`` onto ``schema``: present columns are cast, absent ones become typed NULLs.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from carespark.functions.cleaning import CLAIM_STATUS_REFERENCE
 from carespark.operators.quality import Check
 from carespark.plans import checks, scenarios
+from carespark.sources.schemas import RAW_SCHEMAS, SOURCES
 
 from .sql import AS_OF_SQL, MODELS, model, ratio
 
@@ -131,7 +132,9 @@ def failing_rows_sql(ch: Check) -> str:
         op = ">=" if ch.or_equal else ">"
         return f"select * from {m} where {cond} and not ({c} {op} {ch.column_b})"
     if ch.kind == "unique":
-        return f"select {c}, count(*) as count from {m} where {c} is not null group by {c} having count(*) > 1"
+        names = c.split("+")
+        known = " and ".join(f"{n} is not null" for n in names)
+        return f"select {', '.join(names)}, count(*) as count from {m} where {cond} and {known} group by all having count(*) > 1"
     if ch.kind == "relationships":
         return (f"select * from {m} c where c.{c} is not null and not exists "
                 f"(select 1 from {ch.to_model} p where p.{ch.to_field} = c.{c})")
@@ -183,6 +186,22 @@ select source_group, source_name, max_loaded_at, {ratio(_micros, '3600000000', 2
 from ({_fresh_union}) f""")
 
 
+# ------------------------------------------------------------ registry
+def _profile(group, name, declared, here):
+    """Declared columns first, then what has arrived besides; a table declared without columns takes any."""
+    for c in dict.fromkeys([*declared, *here]):
+        state = "absent" if not here else "missing" if c not in here else "matched" if not declared or c in declared else "undeclared"
+        yield (f"select '{group}' as source_group, '{name}' as source_name, '{c}' as column_name, '{state}' as state, "
+               + (f"count(*) as rows, {f'count({c})' if c in here else 'null::bigint'} as filled from raw_{name}" if here
+                  else "null::bigint as rows, null::bigint as filled"))
+
+
+_IDENTITY_COLUMNS = {n: t.split() for n, t in SOURCES["identity"].items()}
+_ARRIVED = {n: [f.name for f in st.fields] for n, st in RAW_SCHEMAS.items()} | _IDENTITY_COLUMNS
+model("source_profile", "\nunion all\n".join(
+    sql for g, tables in SOURCES.items() for n, text in tables.items() for sql in _profile(g, n, text.split(), _ARRIVED.get(n, []))))
+
+
 # ------------------------------------------------------------- lookups etc.
 model("identity_lookup", """
 select x.golden_member_id, g.full_name, x.source_system, x.source_member_id, x.is_primary, x.match_confidence
