@@ -62,7 +62,7 @@ from pyspark.sql import types as T  # noqa: E402
 from .. import functions as fx  # noqa: E402
 from ..operators import quality  # noqa: E402
 from ..sources.schemas import RAW_SCHEMAS, conform, source_profile  # noqa: E402
-from . import checks, scenarios  # noqa: E402
+from . import checks, marts, scenarios  # noqa: E402
 
 
 def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
@@ -83,6 +83,27 @@ for _inc in ("incremental_watermark", "incremental_upsert", "schema_append"):
 for _inc in scenarios.INCREMENTAL:
     register(f"incremental_{_inc}",
              lambda s, d, n=_inc: scenarios.incremental_load(s, _wh(s, d).raw[n], n, _fresh_root(s, f"incremental-{n}")))
+
+
+def _refreshed(table: str) -> Query:
+    """Two loads of claims and lines, a refresh of the marts after each."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from .refresh import ClaimMarts
+
+        wh = _wh(spark, sf_dir)
+        kept = ClaimMarts(spark, _fresh_root(spark, "refresh"), wh.dim_member, wh.dim_provider, wh.written("mart_member_months"))
+        loads = [scenarios.load_batches(wh.raw[n], *scenarios.INCREMENTAL[n][2:]) for n in ("clclaim", "clline")]
+        for claims, lines in zip(*loads):
+            kept.load(claims, lines)
+            kept.refresh()
+        return getattr(kept, table).read()
+
+    return run
+
+
+register("refresh_claims_summary", _refreshed("summary"))
+register("refresh_medical_expense", _refreshed("expense"))
+register("claims_rollup", lambda s, d: marts.claims_rollup(_wh(s, d).written("fct_claim"), _wh(s, d).dim_member))
 for _snap, _spec in scenarios.SNAPSHOTS.items():
     register(f"snapshot_{_snap}",
              lambda s, d, n=_snap, st=_spec[0]: scenarios.stored_snapshot(s, _wh(s, d).stg(st), n, _fresh_root(s, "snapshots")))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 from carespark.functions.cleaning import CLAIM_STATUS_REFERENCE
 from carespark.operators.quality import Check
 from carespark.plans import checks, scenarios
 from carespark.sources.schemas import RAW_SCHEMAS, SOURCES
 
 from .sql import AS_OF_SQL, MODELS, model, ratio
+from .sql import _deps as sql_deps
 
 # ------------------------------------------------------------ incremental
 _stg_adj = MODELS["stg_cladjust"]
@@ -51,6 +54,34 @@ where _loaded_at < timestamp '1998-01-01 00:00:00' and right(claimid, 1) = '7'""
     model(f"incremental_{_t}", f"from {_t}_load1 anti join {_t}_fresh using ({_key}) union all by name from {_t}_fresh")
 
 
+# ----------------------------------------------- marts over the loaded claims
+def _over(target: str, other: dict[str, str], tag: str) -> str:
+    """The name of ``target`` with ``other``'s tables read in place of its own, and likewise all between."""
+    if target in other:
+        return other[target]
+    body = MODELS.get(target)
+    if body is None:
+        return target
+    new = {dep: _over(dep, other, tag) for dep in sql_deps(body) if dep != target}
+    changed = {d: n for d, n in new.items() if d != n}
+    if not changed:
+        return target
+    model(f"{tag}_{target}", re.sub(r"\b(" + "|".join(map(re.escape, changed)) + r")\b", lambda m: changed[m[0]], body))
+    return f"{tag}_{target}"
+
+
+_LOADED = {"stg_clclaim": "incremental_clclaim", "stg_clline": "incremental_clline"}
+for _mart, _name in (("mart_claims_summary", "refresh_claims_summary"), ("mart_medical_expense", "refresh_medical_expense")):
+    model(_name, f"from {_over(_mart, _LOADED, 'loaded')}")
+
+model("claims_rollup", """
+select line_of_business, plan_id, grouping(line_of_business, plan_id)::integer as level, count(*) as claim_count,
+  sum(paid_amount)::decimal(38,2) as total_paid, count(distinct member_id) as unique_members
+from (from fct_claim select member_id, paid_amount) c
+left join (from dim_member select member_id, current_line_of_business as line_of_business, current_plan_id as plan_id) m using (member_id)
+group by rollup (line_of_business, plan_id)""")
+
+
 # --------------------------------------------------------------- snapshots
 _DIGITS = {
     "member": ("right(member_id, 1)", "left(right(member_id, 2), 1)"),

@@ -69,3 +69,68 @@ def test_build_dependency_closure():
                                                 "fct_claim", "dim_member", "dim_provider"}
     assert needed(["dim_date"]) == {"dim_date"}
     assert needed(LAYERS) == set(LAYERS)
+
+
+def test_refresh_replaces_changed_months_only(spark, wh, tmp_path):
+    """A few corrected claims and lines: the marts equal a full rebuild, other months keep their files."""
+    from carespark.plans import core, marts
+    from carespark.plans.refresh import ClaimMarts
+    from carespark.sources.adapter import load_month
+
+    later = lambda df: df.withColumn("_loaded_at", F.lit("2030-01-01 00:00:00").cast("timestamp_ntz")).withColumn("load_month", load_month(F.col("_loaded_at")))
+    claims, lines = wh.raw["clclaim"], wh.raw["clline"]
+    picked = [r.claimid for r in claims.where("svcfromdate is not null and svcfromdate <> ''").orderBy("claimid").limit(3).collect()]
+    kept = ClaimMarts(spark, str(tmp_path), wh.dim_member, wh.dim_provider, wh.mart_member_months)
+    kept.load(claims, lines)
+    kept.refresh()
+    first = {t: getattr(kept, t).current()["parts"] for t in ("fact", "summary", "expense")}
+    moved = later(claims.where(F.col("claimid").isin(picked[:2]))).withColumn("paidamt", F.lit("1.25")).withColumn("svcfromdate", F.lit("19970315"))
+    gone = later(lines.where(F.trim("claimid") == F.trim(F.lit(picked[2])))).withColumn("svcunits", F.lit("7"))
+    kept.load(moved, gone)
+    months = kept.changed_months(kept.fact.current()["built"])
+    assert "1997-03" in months and len(months) <= 4
+    kept.refresh()
+    for t, parts in first.items():
+        now = getattr(kept, t).current()["parts"]
+        assert {p for p in {*parts, *now} if parts.get(p) != now.get(p)} <= set(months)
+        assert any(now[p]["version"] == 1 for p in now)
+    fact = core.fct_claim(kept.claims.read(), kept.lines.read(), wh.dim_member, wh.dim_provider)
+    summary = marts.mart_claims_summary(fact, wh.dim_member)
+    full = {"summary": summary, "expense": marts.mart_medical_expense(summary, wh.mart_member_months)}
+    for t, df in full.items():
+        got = getattr(kept, t).read().select(*df.columns)
+        assert got.count() == df.count() and got.exceptAll(df).count() == 0
+    versions = [getattr(kept, t).version() for t in first]
+    kept.refresh()  # nothing new: nothing written
+    assert [getattr(kept, t).version() for t in first] == versions
+
+
+def test_source_registry(spark, wh):
+    from carespark.sources.schemas import SOURCES, source_profile
+
+    assert sum(len(t) for t in SOURCES.values()) == 27
+    narrow = {"member": wh.raw["member"].drop("ssn").withColumn("own", F.lit(1)), "golden_member": wh.raw["golden_member"]}
+    got = {(r.source_name, r.column_name): (r.state, r.rows, r.filled) for r in source_profile(narrow).collect()}
+    n = wh.raw["member"].count()
+    assert got["member", "ssn"] == ("missing", n, None) and got["member", "own"] == ("undeclared", n, n)
+    assert got["member", "memid"][0] == "matched" and got["provaddr", "zip"] == ("absent", None, None)
+
+
+def test_conditional_keys_of_several_columns(spark):
+    from carespark.operators import quality
+    from carespark.operators.quality import Check
+
+    df = spark.createDataFrame([("q", "1", True), ("q", "1", False), ("q", "2", True), ("r", "2", True), (None, "2", True), (None, "2", True), ("q", "1", None)],
+                               "s string, i string, live boolean")
+    rules = [Check("t", "unique", "s+i"), Check("t", "unique", "s+i", "warn", row_condition="live"), Check("t", "unique", "i")]
+    report = quality.dq_report(spark, {"t": df}, rules).collect()
+    assert sorted((r.column_name, r.severity, r.failures) for r in report) == [("i", "error", 2), ("s+i", "error", 1), ("s+i", "warn", 0)]
+    assert [r["count"] for r in quality.failing_rows(df, rules[0]).collect()] == [3]
+
+
+def test_rollup_does_not_expand(wh):
+    from carespark.plans import marts
+
+    df = marts.claims_rollup(wh.written("fct_claim"), wh.dim_member)
+    assert "Expand" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert df.where("level = 3").first().claim_count == wh.fct_claim.count()
