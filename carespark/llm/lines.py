@@ -1,32 +1,31 @@
 """Line dedup by a log-template tree.
 
-A line is its tokens between spaces.  The tree has a fixed depth: number of
-tokens, then the LEAD leading tokens, where tokens with a digit count as
-variable.  Under a leaf, a token is constant at its place if at least MIN_TEXTS
-occurrences there have it (a line counted once for each different text that
-holds it); other places are variable fields.  A line's template is its leaf and
-its constants.  A template recurs if at least MIN_TEXTS occurrences follow it,
-at least SHARE of its tokens are constant, and so is half of those after the
-lead.  Lines of a recurring template are dropped, but for its first one in
-(doc_id, text hash, line) order, so that nothing vanishes from the corpus.
-
-Exact copies of a document count as one text, so a group of copies makes no
-template by itself.  ``op4_lines`` follows OP4_SQL, where lines of under
-MIN_TOKENS tokens are never dropped.
-
-``whole`` (the pipeline) takes in every line that has a token.  A line of at most
-LEAD tokens, so also one without spaces, is its own template: its tokens as they
-are, in MIN_TEXTS texts.  A longer line has a template for each support that its
-constants have: those with at least that support, so that values of a field may
-pass MIN_TEXTS in a large corpus and still be told from the words around it.  A
-token with a digit is a constant if over half of its leaf's lines have it there.
-Further templates of a line: the line itself, whatever its digits, and its masked
-form, if at least MASKED_SHARE of its tokens have no digit.
+A line is its tokens between spaces; every line that has one is taken in.  The
+tree has a fixed depth: number of tokens, then the LEAD leading tokens, where
+tokens with a digit count as variable.  Under a leaf, a word is a constant at its
+place if at least MIN_TEXTS occurrences there have it (a line counted once for
+each different text that holds it), a token with a digit if over half of the leaf's
+occurrences have it there; other places are variable fields.
+
+A line's templates are
+
+* if it has at most LEAD tokens, so also without spaces: its tokens as they are;
+* the line itself, whatever its digits;
+* its masked form, if at least MASKED_SHARE of its tokens have no digit;
+* for each support that its constants have, those with at least that support, so that
+  values of a field may pass MIN_TEXTS in a large corpus and still be told from the words around
+  it.  At least SHARE of the tokens have to be constant, and half of those after the lead.
+
+A template recurs if at least MIN_TEXTS occurrences follow it; a line of LONG
+tokens or more recurs unchanged from LONG_TEXTS texts on, where chance is out of the question.  Lines
+of a recurring template are dropped, but for its first one in (doc_id, text hash,
+line) order, so that nothing vanishes from the corpus.  Exact copies of a
+document count as one text, so a group of copies makes no template by itself.
 
 Only SQL functions are used.  A hot leaf or line is pre-aggregated before every
 shuffle and only ever joined, never windowed or collected.
 
-Defined cases: null text stays null (no lines); a text whose lines all go
+Defined cases: texts and lines of any length are read whole; null text stays null (no lines); a text whose lines all go
 becomes empty; untouched texts stay byte for byte; repeated rows (same doc_id
 and text) are treated alike; null doc_ids come first; an empty table gives no
 rows; columns of the input stay.
@@ -40,8 +39,9 @@ from pyspark.sql import functions as F
 from .common import documents, free, saved
 
 LEAD = 3
-MIN_TOKENS = 4
 MIN_TEXTS = 10
+LONG = 50
+LONG_TEXTS = 3
 SHARE = 0.75
 MASKED_SHARE = 0.5
 _VARIABLE = "<*>"
@@ -51,19 +51,25 @@ def _masked(token: Column) -> Column:
     return F.when(token.rlike("[0-9]"), F.lit(_VARIABLE)).otherwise(token)
 
 
-def parsed(docs: DataFrame, key: str, text: str, min_tokens: int = MIN_TOKENS, lead: int = LEAD) -> DataFrame:
-    """A row for each line that the tree takes in: d, h (the document), no, line, tokens, leaf, hash."""
+def parsed(docs: DataFrame, key: str, text: str, lead: int = LEAD) -> DataFrame:
+    """A row for each line that has a token: d, h (the document), no, line, tokens, leaf, hash."""
     lines = docs.where(F.col(text).isNotNull()).select(
         F.col(key).alias("d"), F.xxhash64(text).alias("h"), F.posexplode(F.split(text, "\n", -1)).alias("no", "line"))
-    lines = lines.withColumn("tokens", F.filter(F.split("line", " ", -1), lambda x: x != "")).where(F.size("tokens") >= min_tokens)
+    lines = lines.withColumn("tokens", F.filter(F.split("line", " ", -1), lambda x: x != "")).where(F.size("tokens") > 0)
     short = F.size("tokens") <= lead
     leading = [F.when(short, F.get("tokens", F.lit(i))).otherwise(_masked(F.get("tokens", F.lit(i)))) for i in range(lead)]
-    return lines.withColumn("leaf", F.xxhash64(F.size("tokens"), *leading)).withColumn("hash", F.xxhash64("line"))
+    return lines.withColumn("size", F.size("tokens")).withColumn("leaf", F.xxhash64("size", *leading)).withColumn("hash", F.xxhash64("line"))
+
+
+def _least(size: Column, min_texts: int) -> Column:
+    """In how many texts a line of ``size`` tokens has to stand unchanged."""
+    return F.when(size >= LONG, F.least(F.lit(min_texts), F.lit(LONG_TEXTS))).otherwise(F.lit(min_texts))
 
 
 def _kinds(lines: DataFrame, places: DataFrame, min_texts: int) -> DataFrame:
     """leaf, hash, texts (how many hold the line), first (struct d, h, no), line, tokens of each line in a leaf that may recur."""
-    leaves = places.select("leaf", "h").distinct().groupBy("leaf").count().where(F.col("count") >= min_texts).select("leaf")
+    leaves = places.select("leaf", "h", "size").distinct().groupBy("leaf", "size").count()
+    leaves = leaves.where(F.col("count") >= _least(F.col("size"), min_texts)).select("leaf")
     leaves = saved(leaves, "leaves")
     per_text = (lines.join(leaves, "leaf", "left_semi").groupBy("leaf", "hash", "h")
                 .agg(F.min(F.struct("d", "no")).alias("at"), F.min("line").alias("line")))
@@ -73,24 +79,6 @@ def _kinds(lines: DataFrame, places: DataFrame, min_texts: int) -> DataFrame:
     return saved(kinds, "lines").withColumn("tokens", F.filter(F.split("line", " ", -1), lambda x: x != ""))
 
 
-def recurring(lines: DataFrame, places: DataFrame, min_texts: int = MIN_TEXTS, share: float = SHARE, lead: int = LEAD) -> DataFrame:
-    """leaf, hash of every line that follows a recurring template, and the template's first place (struct d, h, no);
-    ``places`` are the lines without their text."""
-    kinds = _kinds(lines, places, min_texts).withColumn("tokens", F.transform("tokens", _masked))
-    fields = kinds.select("leaf", "hash", "texts", F.posexplode("tokens").alias("pos", "token")).where((F.col("pos") >= lead) & (F.col("token") != _VARIABLE))
-    constants = fields.groupBy("leaf", "pos", "token").agg(F.sum("texts").alias("n")).where(F.col("n") >= min_texts).drop("n")
-    kept = (fields.join(constants, ["leaf", "pos", "token"], "left_semi").groupBy("leaf", "hash")
-            .agg(F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("constants")))
-    size, fixed = F.size("tokens"), F.size("constants")
-    leading = F.size(F.filter(F.slice("tokens", 1, lead), lambda x: x != _VARIABLE))
-    enough = ((leading + fixed) >= share * size) & (2 * fixed >= size - lead)
-    matched = (kinds.join(kept, ["leaf", "hash"]).where(enough)
-               .select("leaf", "hash", "texts", "first", F.xxhash64("constants").alias("template")))
-    templates = (matched.groupBy("leaf", "template").agg(F.sum("texts").alias("n"), F.min("first").alias("first"))
-                 .where(F.col("n") >= min_texts).drop("n"))
-    return matched.drop("first").join(templates, ["leaf", "template"]).select("leaf", "hash", "first")
-
-
 def _nested(constants: Column, least: Column) -> Column:
     """A digest of each set of at least ``least`` (one or more) constants that are all those from some support on;
     ``constants`` (struct n, pos, code) from the most frequent to the least."""
@@ -102,8 +90,9 @@ def _nested(constants: Column, least: Column) -> Column:
         lambda j: F.xxhash64(F.get(p["sums"], j), j))))
 
 
-def recurring_whole(lines: DataFrame, places: DataFrame, min_texts: int = MIN_TEXTS, share: float = SHARE, lead: int = LEAD) -> DataFrame:
-    """As :func:`recurring`, with the templates of ``whole``; of several recurring templates of a line, the one with the earliest first place."""
+def recurring(lines: DataFrame, places: DataFrame, min_texts: int = MIN_TEXTS, share: float = SHARE, lead: int = LEAD) -> DataFrame:
+    """leaf, hash of every line that follows a recurring template, and the earliest first place (struct d, h, no) of its recurring templates;
+    ``places`` are the lines without their text."""
     kinds = _kinds(lines, places, min_texts)
     digit = _masked(F.col("token")) == _VARIABLE
     fields = (kinds.select("leaf", "hash", "texts", F.size("tokens").alias("size"), F.posexplode("tokens").alias("pos", "token"))
@@ -126,22 +115,26 @@ def recurring_whole(lines: DataFrame, places: DataFrame, min_texts: int = MIN_TE
     mixed = F.when(F.exists("constants", lambda x: x["digit"]), _nested(F.col("constants"), least_mixed))
     none = F.array().cast("array<bigint>")
     same = F.when(F.size(F.filter(masked, lambda x: x != _VARIABLE)) >= MASKED_SHARE * size, F.array(F.xxhash64(F.lit("masked"), masked)))
-    known = F.concat(F.array(F.xxhash64(F.lit("line"), "hash")), *(F.coalesce(x, none) for x in (same, _nested(words, least), mixed)))
+    known = F.concat(*(F.coalesce(x, none) for x in (same, _nested(words, least), mixed)))
+    unchanged = F.struct(F.xxhash64(F.lit("line"), "hash").alias("id"), _least(size, min_texts).alias("least"))
+    others = F.transform(F.array_distinct(known), lambda x: F.struct(x.alias("id"), F.lit(min_texts).alias("least")))
+    short = F.array(F.struct(F.col("leaf").alias("id"), F.lit(min_texts).alias("least")))
     follows = (kinds.join(kept, ["leaf", "hash"], "left")
-               .select("leaf", "hash", "texts", "first", F.explode(F.when(size <= lead, F.array("leaf")).otherwise(F.array_distinct(known))).alias("template")))
+               .select("leaf", "hash", "texts", "first", F.explode(F.when(size <= lead, short).otherwise(F.concat(F.array(unchanged), others))).alias("t"))
+               .select("leaf", "hash", "texts", "first", F.col("t.id").alias("template"), "t.least"))
     follows = saved(follows, "follows")
-    templates = (follows.groupBy("leaf", "template").agg(F.sum("texts").alias("n"), F.min("first").alias("first"))
-                 .where(F.col("n") >= min_texts).drop("n"))
+    templates = (follows.groupBy("leaf", "template").agg(F.sum("texts").alias("n"), F.min("least").alias("least"), F.min("first").alias("first"))
+                 .where(F.col("n") >= F.col("least")).drop("n", "least"))
     return follows.select("leaf", "hash", "template").join(templates, ["leaf", "template"]).groupBy("leaf", "hash").agg(F.min("first").alias("first"))
 
 
 def drop_templates(docs: DataFrame, key: str = "doc_id", text: str = "text", out: str | None = None, dropped: str | None = None,
-                   min_texts: int = MIN_TEXTS, whole: bool = False) -> DataFrame:
+                   min_texts: int = MIN_TEXTS) -> DataFrame:
     """docs with the lines of recurring templates taken out of ``text`` (or put into ``out``);
-    ``dropped``: a column with the number of lines taken out; ``whole``: see above."""
-    lines = parsed(docs, key, text, 1 if whole else MIN_TOKENS)
-    places = saved(lines.select("d", "h", "no", "leaf", "hash"), "places")  # parsed once; narrow
-    known = saved((recurring_whole if whole else recurring)(lines, places, min_texts), "templates")
+    ``dropped``: a column with the number of lines taken out."""
+    lines = parsed(docs, key, text)
+    places = saved(lines.select("d", "h", "no", "leaf", "hash", "size"), "places")  # parsed once; narrow
+    known = saved(recurring(lines, places, min_texts), "templates")
     here = F.struct("d", "h", "no")
     gone = (places.join(known, ["leaf", "hash"]).where(~here.eqNullSafe(F.col("first")))
             .groupBy("d", "h").agg(F.collect_set("no").alias("gone")))
@@ -172,29 +165,59 @@ with t as (
 ), k as (
   select *, list_filter(string_split(line, ' '), lambda x: x <> '') as tokens from l
 ), m as (
-  select *, list_transform(tokens, lambda x: case when regexp_matches(x, '[0-9]') then '{_VARIABLE}' else x end) as masked from k where len(tokens) >= {MIN_TOKENS}
+  select *, len(tokens) as size, list_transform(tokens, lambda x: case when regexp_matches(x, '[0-9]') then '{_VARIABLE}' else x end) as masked
+  from k where len(tokens) > 0
 ), p as (
-  select *, len(tokens)::varchar || ' ' || array_to_string(masked[1:{LEAD}], ' ') as leaf from m
+  select *, size::varchar || ' ' || array_to_string(case when size <= {LEAD} then tokens else masked[1:{LEAD}] end, ' ') as leaf,
+         case when size >= {LONG} then {LONG_TEXTS} else {MIN_TEXTS} end as unchanged_least
+  from m
 ), v as (
-  select leaf from p group by leaf having count(distinct h) >= {MIN_TEXTS}
+  select leaf from p group by leaf having count(distinct h) >= any_value(unchanged_least)
 ), u as (
-  select leaf, line, any_value(masked) as masked, count(distinct h) as texts, min([coalesce(doc_id, -1), no]) as spot
+  select leaf, line, any_value(size) as size, any_value(tokens) as tokens, any_value(masked) as masked, any_value(unchanged_least) as unchanged_least,
+         count(distinct h) as texts, min([coalesce(doc_id, -1), no]) as spot
   from p where leaf in (select leaf from v) group by leaf, line
 ), f as (
-  select leaf, line, texts, unnest(range(len(masked))) as pos, unnest(masked) as token from u
+  select leaf, line, size, texts, unnest(range(size)) as pos, unnest(tokens) as token from u where size > {LEAD}
 ), c as (
-  select leaf, pos, token from f where pos >= {LEAD} and token <> '{_VARIABLE}' group by all having sum(texts) >= {MIN_TEXTS}
-), q as (
-  select leaf, line, list(pos::varchar || ':' || token order by pos) as constants from f join c using (leaf, pos, token) group by leaf, line
-), w as (
-  select leaf, line, texts, spot, constants from u join q using (leaf, line)
-  where len(list_filter(masked[1:{LEAD}], lambda x: x <> '{_VARIABLE}')) + len(constants) >= {SHARE} * len(masked)
-    and 2 * len(constants) >= len(masked) - {LEAD}
+  select leaf, pos, token, sum(texts) as n, regexp_matches(token, '[0-9]') as digit from f group by leaf, pos, token having n >= {MIN_TEXTS}
+), totals as (
+  select leaf, sum(texts) as total from u group by leaf
+), constants as (
+  select leaf, pos, token, n, digit from c where not digit and pos >= {LEAD}
+  union all
+  select leaf, pos, token, n, digit from c join totals using (leaf) where digit and 2 * n > total
+), held as (
+  select leaf, line, size, pos, token, n, digit from f join constants using (leaf, pos, token)
+), room as (  -- how many constants a line's template needs at least, with and without digits
+  select leaf, line, ceil({SHARE} * size - len(list_filter(masked[1:{LEAD}], lambda x: x <> '{_VARIABLE}'))) as by_share, ceil((size - {LEAD}) / 2.0) as by_rest,
+         coalesce((select count(*) from held h where h.leaf = u.leaf and h.line = u.line and h.pos < {LEAD}), 0) as digits_leading
+  from u where size > {LEAD}
+), nested as (  -- the constants from each support on: words alone, and with digits where there are any
+  select s.leaf, s.line, list(h.pos::varchar || ':' || h.token order by h.pos) as chosen, false as mixed
+  from (select distinct leaf, line, n from held where not digit) s join held h on h.leaf = s.leaf and h.line = s.line and h.n >= s.n and not h.digit
+  group by s.leaf, s.line, s.n
+  union all
+  select s.leaf, s.line, list(h.pos::varchar || ':' || h.token order by h.pos), true
+  from (select distinct leaf, line, n from held) s join held h on h.leaf = s.leaf and h.line = s.line and h.n >= s.n
+  where exists (from held d where d.leaf = s.leaf and d.line = s.line and d.digit)
+  group by s.leaf, s.line, s.n
+), follows as (
+  select leaf, line, 'short' as template, {MIN_TEXTS} as least from u where size <= {LEAD}
+  union all
+  select leaf, line, 'line ' || line, unchanged_least from u where size > {LEAD}
+  union all
+  select leaf, line, 'masked ' || array_to_string(masked, ' '), {MIN_TEXTS} from u
+  where size > {LEAD} and len(list_filter(masked, lambda x: x <> '{_VARIABLE}')) >= {MASKED_SHARE} * size
+  union
+  select leaf, line, 'nested ' || array_to_string(chosen, ' '), {MIN_TEXTS} from nested join room using (leaf, line)
+  where len(chosen) >= greatest(by_share, by_rest + case when mixed then digits_leading else 0 end, 1)
 ), z as (
-  select leaf, constants, min(spot) as spot from w group by all having sum(texts) >= {MIN_TEXTS}
+  select leaf, template, min(spot) as spot from follows join u using (leaf, line) group by leaf, template having sum(texts) >= min(least)
+), w as (
+  select leaf, line, min(z.spot) as spot from follows join z using (leaf, template) group by leaf, line
 ), g as (
-  select p.doc_id, p.h, p.no from p join w using (leaf, line) join z on z.leaf = w.leaf and z.constants = w.constants
-  where [coalesce(p.doc_id, -1), p.no] <> z.spot
+  select p.doc_id, p.h, p.no from p join w using (leaf, line) where [coalesce(p.doc_id, -1), p.no] <> w.spot
 ), x as (
   select doc_id, h, list(no) as gone from g group by all
 )

@@ -168,7 +168,15 @@ def test_templates_with_variable_fields_go(spark):
     for i in range(1, 30):
         kept = got[i].text.split("\n")
         assert "read our terms of service before use" not in kept and got[i].n_dropped >= 1
-        assert kept[0] == texts[i].split("\n")[0] and "short line" in kept
+        assert kept[0] == texts[i].split("\n")[0] and "short line" not in kept
+
+
+def test_long_lines_go_from_three_texts_on(spark):
+    long, seldom = (" ".join(f"{w}{i}" for i in range(60)) for w in ("often", "twice"))
+    texts = [f"own {i}\n{long}\n{seldom if i < 2 else i}\nmiddling line of nine words that stands in five" for i in range(5)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in lines.drop_templates(docs).collect()}
+    assert got[0] == texts[0] and all(got[i] == texts[i].replace(f"{long}\n", "") for i in range(1, 5))
 
 
 def test_copies_of_a_document_are_no_template(spark):
