@@ -32,6 +32,8 @@ from pyspark.sql import types as T
 from .common import documents, sliced
 from .pieces import ChunkEncoder, Memo
 
+#: Chunks of a generation that a worker remembers (about 85 MB).
+CHUNKS = 400_000
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -63,7 +65,7 @@ class Vocabulary(Decoder):
         self.fits = Memo(self._fits)
         self.length = {i: len(b) for b, i in self.ranks.items()}
         self.piece = Memo(self._packed)
-        self.encode = ChunkEncoder(self._spell, lambda text: b"".join(map(self.piece.__getitem__, self.pieces(text))))
+        self.encode = ChunkEncoder(self._spell, lambda text: b"".join(map(self.piece.__getitem__, self.pieces(text))), CHUNKS)
 
     def _packed(self, piece: str) -> bytes:
         return array("I", self.encode_piece(piece.encode())).tobytes()

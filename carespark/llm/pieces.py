@@ -30,23 +30,20 @@ class Memo(dict):
         self.make, self.size, self.old = make, size, {}
 
     def __missing__(self, key):
-        value = self.old.get(key)
-        if value is None:
-            value = self.make(key)
-        if len(self) >= self.size:
+        value = self[key] = self.old[key] if key in self.old else self.make(key)
+        if len(self) > self.size:
             self.old = dict(self)
             self.clear()
-        self[key] = value
         return value
 
 
 class ChunkEncoder:
     """Packed ids (little-endian unsigned 32-bit) of whole texts; ``encode`` gives those of a chunk, ``whole`` those of any text."""
 
-    def __init__(self, encode: Callable[[str], bytes], whole: Callable[[str], bytes] | None = None):
+    def __init__(self, encode: Callable[[str], bytes], whole: Callable[[str], bytes] | None = None, size: int = MEMO):
         self.whole = whole or encode
         self.first = Memo(encode)
-        self.spaced = Memo(lambda chunk: encode(f" {chunk}"))
+        self.spaced = Memo(lambda chunk: encode(f" {chunk}"), size)
 
     def __call__(self, text: str) -> bytes:
         if _SPANNING.search(text):

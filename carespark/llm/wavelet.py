@@ -41,7 +41,7 @@ from .pieces import ChunkEncoder, Memo
 MODEL = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
 SHARD_TOKENS = 1 << 21
-PIECES = 1_000_000  # words whose ids a worker remembers (about 150 MB)
+CHUNKS = 600_000  # chunks of a generation that a worker remembers (about 125 MB)
 _MAGIC = b"WMX1"
 _HEAD = struct.Struct("<4sQB")
 _PLANE = struct.Struct("<QQ")
@@ -191,16 +191,19 @@ def encoder(path: str) -> tuple[Callable[[str], bytes], int]:
     def whole(text: str) -> bytes:
         return array("I", library.encode(text, add_special_tokens=False).ids).tobytes()
 
-    piece = Memo(lambda text: array("I", [t.id for t in merge(text.encode().decode("latin-1").translate(letters))]).tobytes(), PIECES)
+    def merged(text: str) -> bytes:
+        return array("I", [t.id for t in merge(text.encode().decode("latin-1").translate(letters))]).tobytes()
+
+    piece = Memo(merged)
 
     def spell(chunk: str) -> bytes:
         if chunk.isascii() or max(chunk) < "\u0250":
             if chunk[1:].isalpha() and (chunk[0] == " " or chunk[0].isalpha()):
-                return piece[chunk]  # a plain word is one piece
+                return merged(chunk)  # a plain word is one piece
             return b"".join(map(piece.__getitem__, pieces(chunk)))
         return whole(chunk)
 
-    chunks, special = ChunkEncoder(spell, whole), [t.content for t in library.get_added_tokens_decoder().values()]
+    chunks, special = ChunkEncoder(spell, whole, CHUNKS), [t.content for t in library.get_added_tokens_decoder().values()]
 
     def encode(text: str) -> bytes:
         return whole(text) if any(s in text for s in special) else chunks(text)
