@@ -12,6 +12,7 @@ import pyarrow as pa
 import pytest
 from conftest import SF_SMALL
 from fixtures import BASE, frame, near_components, rows
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -123,26 +124,37 @@ def test_shards_of_awkward_rows(spark, tmp_path):
 # search
 
 def brute_top(vectors, k=5):
-    ints = {i: [math.floor(256 * float(np.float32(x))) for x in v] for i, v in vectors if v is not None and i is not None and all(x is not None and math.isfinite(x) for x in v)}
+    rows = [(i, [math.floor(256 * float(np.float32(x))) for x in v]) for i, v in vectors if v is not None and i is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q in (i for i in ints if i % 50 == 0):
-        found = sorted((-sum(a * b for a, b in zip(ints[q], v)), i) for i, v in ints.items() if i != q and len(v) == len(ints[q]))
-        out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(found[:k])]
+    for at, (q, ints) in enumerate(rows):
+        if q % 50 == 0:
+            found = sorted((-sum(a * b for a, b in zip(ints, v)), i) for other, (i, v) in enumerate(rows) if other != at and len(v) == len(ints))
+            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(found[:k])]
     return sorted(out)
 
 
-@pytest.mark.parametrize("blocks", [{}, {"block_rows": 40, "query_rows": 2}])
+@pytest.mark.parametrize("blocks", [{}, {"block_bytes": 6000, "query_rows": 2}])
 def test_top_k_as_brute_force(spark, blocks):
     r = np.random.default_rng(4)
     vectors = [(i, r.normal(size=19).tolist()) for i in range(0, 400)]
     vectors += [(500 + i, vectors[3][1]) for i in range(30)]  # a common vector: ties
-    vectors += [(600, None), (650, [float("nan")] * 19), (700, [None] * 19), (750, [1.0, 2.0]), (751, [2.0, 1.0]), (800, []), (None, [1.0] * 19), vectors[50], (-50, [0.0] * 19)]
+    vectors += [(600, None), (650, [float("nan")] * 19), (700, [None] * 19), (750, [1.0, 2.0]), (751, [2.0, 1.0]), (800, []), (None, [1.0] * 19), vectors[50], (-50, [0.0] * 19),
+                (1, [9.0] * 19), (1, [9.0] * 19), (100, [3.0] * 19)]  # repeated rows and ids, also of queries
     df = spark.createDataFrame([(*v, "x") for v in vectors], "vec_id long, embedding array<float>, score string")
     got = search.top_k(df.select("vec_id", search.whole("embedding").alias("ints"), "score"), "vec_id", "ints", df.vec_id % 50 == 0, **blocks)
     assert sorted(map(tuple, got.collect())) == brute_top(vectors)
     assert search.top_k(df.limit(0).select("vec_id", search.whole("embedding").alias("ints")), "vec_id", "ints", df.vec_id % 50 == 0).collect() == []
 
 
+def test_large_numbers_stay_exact_or_raise(spark):
+    big = 2.0**30
+    df = spark.createDataFrame([(0, [big, 1.0]), (1, [big, 1.0]), (2, [big, -1.0])], "vec_id long, embedding array<double>")
+    got = search.top_k(df.select("vec_id", F.array(*[F.get("embedding", F.lit(i)).cast("long") for i in (0, 1)]).alias("v")), "vec_id", "v", df.vec_id == 0)
+    assert [(r.vec_id, r.score) for r in got.collect()] == [(1, 2**60 + 1), (2, 2**60 - 1)]
+    with pytest.raises(Exception, match="2.53"):
+        spark.createDataFrame([(1, [1e30])], "vec_id long, embedding array<double>").select(search.whole("embedding")).collect()
+
+
 def test_bounds_drop_candidates_early():
     r = np.random.default_rng(5)
     rows = (r.normal(size=(3000, 64)) * 50).astype(np.int64)
