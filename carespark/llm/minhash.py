@@ -293,5 +293,6 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: in
 
 def op2_minhash(spark, sf_dir: str) -> DataFrame:
     found = near_duplicates(documents(spark, sf_dir).select("doc_id", "text"), width=2)
+    # Rows of one id are kept alike here; keep_one tells them apart by their text.
     return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"),
-                        "kept")
+                        F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"))

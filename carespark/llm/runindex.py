@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 
-#: Suffixes are sorted by so many bytes: more than twice what a fragment has.
+#: Suffixes are sorted by so many bytes unless asked for more: matches are told apart up to there.
 DEPTH = 1024
 
 
@@ -28,19 +28,19 @@ def _words(data: np.ndarray, extra: int) -> np.ndarray:
     return out
 
 
-def suffix_array(data: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """Places in order of the DEPTH bytes from there."""
+def suffix_array(data: np.ndarray, words: np.ndarray, limit: int = DEPTH) -> np.ndarray:
+    """Places in order of the ``limit`` bytes from there (a power of two)."""
     n = len(data)
     order = np.argsort(words[:n], kind="stable").astype(np.int32)
     key = words[order]
     new = np.concatenate([[True], key[1:] != key[:-1]])
     del key
-    rank = np.zeros(n + DEPTH, np.int32)  # 0: beyond the end
+    rank = np.zeros(n + limit, np.int32)  # 0: beyond the end
     rank[order] = np.maximum.accumulate(np.where(new, np.arange(n, dtype=np.int32), 0)) + 1
     # Slots of the order whose suffix shares its rank with a neighbour.
     tied = np.flatnonzero(~new | ~np.append(new[1:], True))
     depth = 8
-    while len(tied) and depth < DEPTH:
+    while len(tied) and depth < limit:
         at = order[tied]
         pair = (rank[at].astype(np.int64) << 32) | rank[at + depth]
         by = np.argsort(pair, kind="stable")
@@ -53,11 +53,11 @@ def suffix_array(data: np.ndarray, words: np.ndarray) -> np.ndarray:
     return order
 
 
-def common_prefixes(words: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Length of the longest common prefix of the suffixes at a and b, up to DEPTH."""
-    out = np.full(len(a), DEPTH, np.int64)
+def common_prefixes(words: np.ndarray, a: np.ndarray, b: np.ndarray, limit: int = DEPTH) -> np.ndarray:
+    """Length of the longest common prefix of the suffixes at a and b, up to ``limit``."""
+    out = np.full(len(a), limit, np.int64)
     live = np.arange(len(a))
-    for off in range(0, DEPTH, 8):
+    for off in range(0, limit, 8):
         x = words[a[live] + off] ^ words[b[live] + off]
         differ = x != 0
         done, x = live[differ], x[differ]
@@ -71,10 +71,12 @@ def common_prefixes(words: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarr
 class RunIndex:
     """Of a non-empty byte string; the empty suffix comes first, and the place before the first byte counts as a byte of its own."""
 
-    def __init__(self, data: np.ndarray):
+    def __init__(self, data: np.ndarray, longest: int = 0):
+        """``longest``: the length up to which matches have to be told apart (DEPTH at least)."""
         self.n = len(data)
-        words = _words(data, DEPTH + 1)
-        order = np.append(np.int32(self.n), suffix_array(data, words))
+        limit = max(DEPTH, 1 << max(0, longest - 1).bit_length())
+        words = _words(data, limit + 1)
+        order = np.append(np.int32(self.n), suffix_array(data, words, limit))
         bwt = np.where(order > 0, data[order - 1].astype(np.int16), -1)
         first = np.concatenate([[True], bwt[1:] != bwt[:-1]])
         #: Start and byte of each run; its first and last suffix.
@@ -84,11 +86,11 @@ class RunIndex:
         self.tails = order[np.append(self.starts[1:], self.n + 1) - 1]
         #: How far the last suffix of a run agrees with the first of the next.
         a, b = self.tails[:-1], self.heads[1:]
-        self.agree = np.minimum(common_prefixes(words, a, b), self.n - np.maximum(a, b))
+        self.agree = np.minimum(common_prefixes(words, a, b, limit), self.n - np.maximum(a, b))
         self.before = 1 + np.concatenate([[0], np.cumsum(np.bincount(data, minlength=256))])
 
     def matches(self) -> np.ndarray:
-        """For each place the longest prefix from there (up to DEPTH) that also starts elsewhere."""
+        """For each place the longest prefix from there (up to the index's depth) that also starts elsewhere."""
         reach = np.zeros(self.n + 1, np.int64)
         for suffixes in (self.heads[1:], self.tails[:-1]):  # no suffix is twice the head or the tail of a run
             reach[suffixes] = np.maximum(reach[suffixes], suffixes + self.agree)

@@ -86,7 +86,7 @@ def cut(rows: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
 def repeating(fragments: list[bytes], window: int) -> list[list[tuple[int, int]]]:
     """For each (different) fragment the runs of window starts, first and last, that also start in another one."""
     data = np.frombuffer(_APART.join(fragments) + _APART, np.uint8)
-    longest = RunIndex(data).matches()
+    longest = RunIndex(data, window).matches()
     sizes = np.array([len(f) for f in fragments])
     begin = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
     out = []

@@ -159,6 +159,15 @@ def test_run_index():
     assert len(index.starts) < 40  # a repetitive string has few runs
 
 
+def test_matches_beyond_the_usual_depth(spark):
+    r = random.Random(8)
+    shared = "".join(r.choice("abcdefghij ") for _ in range(1500))
+    docs = spark.createDataFrame([(1, "left side " + shared), (2, "the right side " + shared), (3, "own")], "doc_id long, text string")
+    for window in (200, 1200, 1400):
+        got = {x.doc_id: sum(span.b - span.a for span in x.removed) for x in substrings.remove_repeats(docs, window=window).collect()}
+        assert got[1] >= 1500 and got[2] >= 1500 and got[3] == 0, window
+
+
 def test_templates_with_variable_fields_go(spark):
     rest = lambda i, k: f"clean line of its own {i} number {k} with word{i * 31 + k} here"
     texts = [f"{'ab'[i % 2]}{i} first words\nuser logged in from host{i} at port {i * 7}\n{rest(i, 0)}x{i}\nshort line\nread our terms of service before use" for i in range(30)]
