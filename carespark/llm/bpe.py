@@ -67,6 +67,10 @@ class Vocabulary(Decoder):
         self.piece = Memo(self._packed)
         self.encode = ChunkEncoder(self._spell, lambda text: b"".join(map(self.piece.__getitem__, self.pieces(text))), CHUNKS)
 
+    def rest(self) -> None:
+        for memo in (self.piece, self.fits, self.encode):
+            memo.rest()
+
     def _packed(self, piece: str) -> bytes:
         return array("I", self.encode_piece(piece.encode())).tobytes()
 
@@ -185,16 +189,20 @@ def encode(docs: DataFrame, text: str, ids: str = "ids", path: str = RANKS) -> D
     schema = T.StructType([*docs.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType(), False), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spell = vocabulary(path).encode
-        for batch in sliced(batches):
-            packed = [spell(t) if t else b"" for t in batch.column(text).to_pylist()]
-            ends = array("i", [0])
-            for p in packed:
-                ends.append(ends[-1] + len(p) // 4)
-            data = b"".join(packed)
-            values = pa.Array.from_buffers(pa.int32(), len(data) // 4, [None, pa.py_buffer(data)])
-            column = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
-            yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, ids])
+        words = vocabulary(path)
+        spell = words.encode
+        try:
+            for batch in sliced(batches):
+                packed = [spell(t) if t else b"" for t in batch.column(text).to_pylist()]
+                ends = array("i", [0])
+                for p in packed:
+                    ends.append(ends[-1] + len(p) // 4)
+                data = b"".join(packed)
+                values = pa.Array.from_buffers(pa.int32(), len(data) // 4, [None, pa.py_buffer(data)])
+                column = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+                yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, ids])
+        finally:
+            words.rest()
 
     return docs.mapInArrow(run, schema)
 

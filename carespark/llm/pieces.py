@@ -14,6 +14,8 @@ from collections.abc import Callable
 
 #: A space that a match of the pattern may share with white space before it.
 _SPANNING = re.compile(r"\s (?:\s|\Z)")
+#: Entries of a memo that a worker keeps between tasks: its process stays and serves other stages too.
+BETWEEN = 50_000
 #: Entries of one generation of a memo; a worker keeps two.
 MEMO = 200_000
 
@@ -37,6 +39,13 @@ class Memo(dict):
         return value
 
 
+    def rest(self) -> None:
+        """Frees most of what is remembered; called when a task ends."""
+        self.old = {}
+        if len(self) > BETWEEN:
+            self.clear()
+
+
 class ChunkEncoder:
     """Packed ids (little-endian unsigned 32-bit) of whole texts; ``encode`` gives those of a chunk, ``whole`` those of any text."""
 
@@ -51,3 +60,7 @@ class ChunkEncoder:
         head, *chunks = text.split(" ")
         spaced = b"".join(map(self.spaced.__getitem__, chunks))
         return self.first[head] + spaced if head else spaced
+
+    def rest(self) -> None:
+        self.first.rest()
+        self.spaced.rest()

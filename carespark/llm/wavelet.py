@@ -208,6 +208,11 @@ def encoder(path: str) -> tuple[Callable[[str], bytes], int]:
     def encode(text: str) -> bytes:
         return whole(text) if any(s in text for s in special) else chunks(text)
 
+    def rest() -> None:
+        piece.rest()
+        chunks.rest()
+
+    encode.rest = rest
     return encode, max(1, (library.get_vocab_size(with_added_tokens=True) - 1).bit_length())
 
 
@@ -241,6 +246,7 @@ def build_shards(docs: DataFrame, key: str, text: str, path: str = MODEL, end_id
                     block, keys, ends, packed, size = block + 1, [], [], [], 0
         if keys:
             yield flush(part)
+        spell.rest()
 
     order = [F.col("key").asc_nulls_first(), F.col("tie")]
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("tie"))
