@@ -96,6 +96,8 @@ def source_profile(sources: Mapping[str, DataFrame]) -> DataFrame:
             declared, df = text.split(), sources.get(name)
             here = df.columns if df is not None else []
             columns = list(dict.fromkeys([*declared, *(c for c in here if c != LOAD_FOLDER)]))
+            if not columns:  # declared by name alone, and not arrived
+                continue
             state = {c: "absent" if df is None else "missing" if c not in here else "matched" if not declared or c in declared else "undeclared"
                      for c in columns}
             told = [F.struct(F.lit(group).alias("source_group"), F.lit(name).alias("source_name"), F.lit(c).alias("column_name"),
