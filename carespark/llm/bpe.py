@@ -32,8 +32,8 @@ from pyspark.sql import types as T
 from .common import documents, sliced
 from .pieces import ChunkEncoder, Memo
 
-#: Chunks of a generation that a worker remembers (about 85 MB).
-CHUNKS = 400_000
+#: Chunks of a generation that a worker remembers (about 50 MB).
+CHUNKS = 250_000
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
