@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -54,9 +56,37 @@ def saved(df: DataFrame, label: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(_FREE_SHUFFLES, before)
+    passing = _PASSING.get()
+    if passing is not None:
+        passing.append((label, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
+_PASSING: ContextVar[list[tuple[str, str]] | None] = ContextVar("passing", default=None)
+
+
+@contextmanager
+def passing_tables(spark: SparkSession, *kept: str) -> Iterator[None]:
+    """Deletes the tables that ``saved`` writes inside the block once it has ended, but for those labelled ``kept``.
+
+    For steps whose last table is written when the block ends: nothing reads the others then, not even a
+    task that is run again.  After an error all tables stay.
+    """
+    written: list[tuple[str, str]] = []
+    outer = _PASSING.set(written)
+    try:
+        yield
+    finally:
+        _PASSING.reset(outer)
+    above = _PASSING.get()
+    for label, path in written:
+        if label not in kept:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+        elif above is not None:
+            above.append((label, path))
+
+
 def free(df: DataFrame, name: str) -> str:
     """name, with underscores in front until no column of df has it (in any case)."""
     taken = {c.lower() for c in df.columns}

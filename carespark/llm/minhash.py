@@ -17,10 +17,12 @@
    beyond it (E).  A second round gives classes that found no link hubs of their own.
 4. What is left are pairs under one posting in different components.  Around a
    hub, let h be the set that most of its classes agree on; |x & c| is
-   |h| - |Dx | Dc| + |Ex & Ec|, at most |h| - max(|Dx|, |Dc|) + |Ex & Ec|.  So
-   either the sizes of D and E alone allow a link (the few distinct sizes are
-   compared first) or x and c share so much that h lacks (an inverted join on the
-   rarer part of E); both are then decided exactly.  A class further from its hub than two
+   |h| - |Dx | Dc| + |Ex & Ec|, at most |h| - max(|Dx|, |Dc|) + |Ex & Ec|.  First
+   every class meets the one nearest to h, which joins nearly all of a group of
+   near copies.  For the strays that remain, either the sizes of D and E alone
+   allow a link (a bounded number of bands of sizes is compared first) or x and c
+   share so much that h lacks (an inverted join on the rarer part of E); both
+   are then decided exactly.  A class further from its hub than two
    links can only be linked with classes that the hub isn't linked with; those
    pairs are compared on full sets.  So no link between components is lost, and
    a large group of copies costs a few pairs per class, not the square of its size.
@@ -42,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import documents, free, saved, sliced
+from .common import documents, free, passing_tables, saved, sliced
 from .components import components
 from .shingles import shingle_sets
 
@@ -50,6 +52,8 @@ COORDINATES = 64
 PERCENT = 80
 WIDTH = 5
 MISS = 1e-7
+#: Steps of D and of E that classes around a hub are told apart by before they meet.
+BANDS = 16
 _U = np.uint64
 
 
@@ -190,35 +194,64 @@ def _against_consensus(near: DataFrame) -> DataFrame:
     beyond = F.concat(F.array_except("extra", added), F.array_except(taken, "missing"))
     lacking = F.concat(F.array_except("missing", taken), F.array_except(added, "extra"))
     met = met.withColumn("nh", F.col("nh") - F.size(taken) + F.size(added)).withColumn("beyond", beyond).withColumn("lacking", lacking)
-    return met.select("hub", "id", "component", "stray", "nh", "beyond", "lacking",
+    return met.select("hub", "id", "component", "nh", "beyond", "lacking",
                       F.size("lacking").cast("long").alias("D"), F.size("beyond").cast("long").alias("E"))
 
 
-def rest_links(placed: DataFrame, hubs: DataFrame, found: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Step 4: links (a, b) between components, and pairs (hub, id) that are still to be compared."""
-    grouped = placed.join(hubs.select("posting", "hub"), "posting")
-    own = found.select("hub", "id", "nh", "n", "shared", "extra", "missing")
-    home = placed.select(F.col("id").alias("hub"), F.col("component").alias("home")).distinct()
-    members = grouped.where(F.col("id") != F.col("hub")).select("hub", "id", "component").distinct().join(home, "hub")
-    members = saved(members.join(own, ["hub", "id"], "left").withColumn("stray", F.col("component") != F.col("home")), "members")
-    near = saved(_against_consensus(members.where(F.col("nh").isNotNull())), "near")
-    side = lambda c, *names: near.select("hub", *[F.col(n).alias(f"{n}_{c}") for n in ("id", "component", "D", "E", *names)])
-
-    # What both have follows from what each lacks of the consensus and has beyond it.
+def _linked(percent: int) -> Column:
+    """Whether x and c, seen from one consensus, are linked: what both have follows from what each lacks and has beyond it."""
     shared = "(nh - size(array_union(lacking_x, lacking_c)) + size(array_intersect(beyond_x, beyond_c)))"
-    linked = F.expr(f"component_x <> component_c and 100 * {shared} >= {percent} * (2 * nh - D_x + E_x - D_c + E_c - {shared})")
-    # Sizes alone allow a link: sizes are compared first, then only the classes of allowed sizes meet.
-    kinds = near.groupBy("hub", "nh", "D", "E").agg(F.max("stray").alias("stray"))
-    allowed = F.expr(f"(100 + {percent}) * (nh - greatest(D_x, D_c)) >= {percent} * (2 * nh - D_x - D_c + E_x + E_c)")
-    sizes = (kinds.where("stray").select("hub", "nh", F.col("D").alias("D_x"), F.col("E").alias("E_x"))
-             .join(kinds.select("hub", F.col("D").alias("D_c"), F.col("E").alias("E_c")), "hub").where(allowed))
-    strays = near.where("stray")
-    x = strays.select("hub", *[F.col(n).alias(f"{n}_x") for n in ("id", "component", "D", "E", "lacking", "beyond")])
-    c = side("c", "lacking", "beyond")
-    by_size = x.join(sizes, ["hub", "D_x", "E_x"]).join(c, ["hub", "D_c", "E_c"]).where(linked).select("id_x", "id_c")
-
-    # Both have at least ``need`` things that the consensus lacks (|x & c| at its largest, c as short as
-    # any around the hub): all of a stray's but its need - 1 most common ones have to be looked at.
+    return F.expr(f"component_x <> component_c and 100 * {shared} >= {percent} * (2 * nh - D_x + E_x - D_c + E_c - {shared})")
+
+
+def _side(near: DataFrame, c: str, *names: str) -> DataFrame:
+    return near.select("hub", *[F.col(n).alias(f"{n}_{c}") for n in names])
+
+
+def _to_centres(near: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links (id_x, id_c, component_x, component_c) of classes with their hub's centre, the class
+    nearest to the consensus, and hub, centre_component, least_e (the fewest things a class has beyond it)."""
+    cost = F.expr(f"100 * D + {percent} * E")
+    first = near.groupBy("hub").agg(F.min(F.struct(cost.alias("cost"), "id")).alias("first"), F.min("E").alias("least_e"))
+    centre = saved(near.join(first.select("hub", F.col("first.id").alias("id"), "least_e"), ["hub", "id"]), "centres")
+    to = _side(centre, "c", "id", "component", "D", "E", "lacking", "beyond")
+    met = near.select("hub", "nh", *[F.col(n).alias(f"{n}_x") for n in ("id", "component", "D", "E", "lacking", "beyond")]).join(to, "hub")
+    links = met.where(_linked(percent)).select("id_x", "id_c", "component_x", "component_c")
+    return saved(links, "central"), centre.select("hub", F.col("component").alias("centre_component"), "least_e")
+
+
+def _by_sizes(near: DataFrame, percent: int) -> DataFrame:
+    """hub, id_x, id_c: pairs of a stray with any class whose D and E alone allow a link.
+
+    That is rest * max(Dx, Dc) + percent * (|Dx - Dc| + Ex + Ec) <= rest * nh with rest = 100 - percent.
+    D and E fall into BANDS steps each, so a hub has a bounded number of kinds, whatever the number
+    of its classes; kinds are compared by their bounds, then the classes of allowed kinds exactly.
+    """
+    rest = 100 - percent
+    able = near.where(F.expr(f"{rest} * D + {percent} * (E + least_e) <= {rest} * nh"))
+    able = (able.withColumn("band_d", F.expr(f"cast(floor(D * {BANDS} / greatest(nh, 1)) as int)"))
+            .withColumn("band_e", F.expr(f"cast(floor(E * {percent * BANDS} / greatest({max(1, rest)} * nh, 1)) as int)")))
+    kinds = able.groupBy("hub", "nh", "band_d", "band_e").agg(
+        F.min("D").alias("low"), F.max("D").alias("high"), F.min("E").alias("least"), F.max("stray").alias("stray"))
+    kinds = saved(kinds, "kinds")
+    names = ("band_d", "band_e", "low", "high", "least")
+    sizes = (kinds.where("stray").select("hub", "nh", *[F.col(n).alias(f"{n}_x") for n in names])
+             .join(_side(kinds, "c", *names), "hub")
+             .where(F.expr(f"{rest} * greatest(low_x, low_c) + {percent} * (greatest(0, low_x - high_c, low_c - high_x) + least_x + least_c) <= {rest} * nh")))
+    of_class = ("band_d", "band_e", "id", "component", "D", "E")
+    x, c = _side(able.where("stray"), "x", *of_class), _side(able, "c", *of_class, "stray")
+    allowed = F.expr(f"{rest} * greatest(D_x, D_c) + {percent} * (abs(D_x - D_c) + E_x + E_c) <= {rest} * nh")
+    met = x.join(sizes.select("hub", "nh", "band_d_x", "band_e_x", "band_d_c", "band_e_c"), ["hub", "band_d_x", "band_e_x"])
+    met = met.join(c, ["hub", "band_d_c", "band_e_c"])
+    return met.where(allowed & F.expr("component_x <> component_c and (not stray_c or id_x < id_c)")).select("hub", "id_x", "id_c")
+
+
+def _by_extras(near: DataFrame, percent: int) -> DataFrame:
+    """hub, id_x, id_c: pairs of a stray with any class that share at least ``need`` things that the consensus lacks.
+
+    ``need`` follows from |x & c| at its largest, c as short as any around the hub: all of a stray's
+    things but its need - 1 most common ones have to be looked at.
+    """
     shortest = near.groupBy("hub").agg(F.max(F.col("D") - F.col("E")).alias("short"))
     need = F.expr(f"greatest(1, ceil({percent} * (2 * nh - D + E - short) / (100 + {percent})) - nh + D)").cast("long")
     beyond = near.join(shortest, "hub").select("hub", "id", "component", "stray", need.alias("need"), F.explode("beyond").alias("g"))
@@ -229,26 +262,57 @@ def rest_links(placed: DataFrame, hubs: DataFrame, found: DataFrame, percent: in
             .withColumn("nth", F.row_number().over(own.orderBy("ids", "g"))).withColumn("of", F.count("*").over(own))
             .where(F.col("nth") <= F.col("of") - F.col("need") + 1))
     met = (rare.select("hub", "g", F.col("id").alias("id_x"), F.col("component").alias("px"))
-           .join(beyond.select("hub", "g", F.col("id").alias("id_c"), F.col("component").alias("pc")), ["hub", "g"])
-           .where("px <> pc").select("hub", "id_x", "id_c").distinct())
-    met = saved(met, "met")
-    whole = near.select("hub", "nh").distinct()
-    by_extra = met.join(x, ["hub", "id_x"]).join(c, ["hub", "id_c"]).join(whole, "hub").where(linked).select("id_x", "id_c")
+           .join(beyond.select("hub", "g", F.col("id").alias("id_c"), F.col("component").alias("pc")), ["hub", "g"]))
+    return met.where("px <> pc").select("hub", "id_x", "id_c")
+
+
+def rest_links(placed: DataFrame, hubs: DataFrame, found: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Step 4: links (a, b) between components, and pairs (hub, id) that are still to be compared."""
+    own = found.select("hub", "id", "nh", "n", "shared", "extra", "missing")
+    at = placed.join(hubs.select("posting", "hub"), "posting").select("posting", "hub", "id", "component")
+    members = at.where(F.col("id") != F.col("hub")).select("hub", "id", "component").distinct()
+    members = saved(members.join(own, ["hub", "id"], "left"), "members")
+    near = saved(_against_consensus(members.where(F.col("nh").isNotNull())), "near")
+
+    # Most classes are linked with the one nearest to the consensus; what that joins needs no further pairs.
+    central, homes = _to_centres(near, percent)
+    if not central.isEmpty():
+        joined = components(central.select(F.col("component_x").alias("a"), F.col("component_c").alias("b"))).toDF("node", "now")
+        joined = saved(joined, "joined")
+        now = lambda df, c="component": df.join(joined, df[c] == joined.node, "left").withColumn(c, F.coalesce("now", c)).drop("node", "now")
+        near, homes, at = now(near), now(homes, "centre_component"), now(at)
+    near = saved(near.join(homes, "hub").withColumn("stray", F.col("component") != F.col("centre_component")).drop("centre_component"), "near")
+
+    met = saved(_by_sizes(near, percent).union(_by_extras(near, percent)).distinct(), "met")
+    names = ("id", "component", "D", "E", "lacking", "beyond")
+    x = near.select("hub", "nh", *[F.col(n).alias(f"{n}_x") for n in names])
+    between = met.join(x, ["hub", "id_x"]).join(_side(near, "c", *names), ["hub", "id_c"]).where(_linked(percent)).select("id_x", "id_c")
 
     # Far from the hub: only with others that the hub isn't linked with.
     far = members.where(F.col("nh").isNull()).select("hub", "id")
     unlinked = members.where(F.col("nh").isNull() | (F.col("shared") * 100 < (F.col("nh") + F.col("n") - F.col("shared")) * percent)).select("hub", "id")
-    at = grouped.select("posting", "hub", "id", "component")
     by_far = (at.join(far, ["hub", "id"]).select("posting", F.col("id").alias("x"), F.col("component").alias("px"))
               .join(at.join(unlinked, ["hub", "id"]).select("posting", F.col("id").alias("c"), F.col("component").alias("pc")), "posting")
               .where("px <> pc").select(F.least("x", "c").alias("hub"), F.greatest("x", "c").alias("id")).distinct())
-    return by_size.union(by_extra).toDF("a", "b").distinct(), by_far
+    return between.union(central.select("id_x", "id_c")).toDF("a", "b").distinct(), by_far
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT,
                     coordinates: int = COORDINATES) -> DataFrame:
     """A row per document: id, t (the text's hash), n (set size), component (the smallest id that links reach),
     kept (whether the row, by id and t, is the first of its component)."""
+    with passing_tables(docs.sparkSession, "signatures", "class-components"):
+        rows, of_class = _classes_and_components(docs, key, text, width, percent, coordinates)
+    filled = rows.where((F.col("n") > 0) & F.col("id").isNotNull())
+    first = (F.col("id") == F.col("doc")) & (F.col("t") == F.col("first_t"))
+    linked = filled.select("id", "t", "n", "set_a", "set_b").join(of_class, ["n", "set_a", "set_b"]).select(
+        "id", "t", "n", F.col("doc").alias("component"), first.alias("kept"))
+    unlinked = rows.where((F.col("n") == 0) | F.col("id").isNull()).select("id", "t", "n", F.col("id").alias("component"), F.lit(True).alias("kept"))
+    return linked.union(unlinked)
+
+
+def _classes_and_components(docs: DataFrame, key: str, text: str, width: int, percent: int, coordinates: int) -> tuple[DataFrame, DataFrame]:
+    """The signatures of all rows, and the first row (doc, first_t) of the component of each set."""
     needed = matches_needed(coordinates, percent)
     rows = saved(signatures(docs, key, text, width, coordinates), "signatures")
     filled = rows.where((F.col("n") > 0) & F.col("id").isNotNull())
@@ -277,11 +341,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
         parts = components(saved(links.union(rest), "links"))
     of_class = names.join(parts, names["class"] == parts["node"], "left").select("n", "set_a", "set_b", F.coalesce("component", "class").alias("class"))
     of_class = of_class.join(names.select("class", "doc", "first_t"), "class")
-    of_class = saved(of_class.select("n", "set_a", "set_b", "doc", "first_t"), "class-components")
-    linked = filled.select("id", "t", "n", "set_a", "set_b").join(of_class, ["n", "set_a", "set_b"]).select(
-        "id", "t", "n", F.col("doc").alias("component"), first.alias("kept"))
-    unlinked = rows.where((F.col("n") == 0) | F.col("id").isNull()).select("id", "t", "n", F.col("id").alias("component"), F.lit(True).alias("kept"))
-    return linked.union(unlinked)
+    return rows, saved(of_class.select("n", "set_a", "set_b", "doc", "first_t"), "class-components")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
