@@ -1,6 +1,7 @@
 """Near dedup, substring dedup and line dedup against brute force."""
 
 import hashlib
+import os
 import random
 
 import numpy as np
@@ -10,6 +11,7 @@ from fixtures import BASE, CLASHES, NEAR, family, frame, near_components, rows,
 import corpus_pipeline
 from carespark.llm import lines, minhash, substrings
 from carespark.llm.anchors import anchors, sliding_min
+from carespark.llm.common import passing_tables, saved
 from carespark.llm.components import components
 from carespark.llm.runindex import RunIndex
 from carespark.llm.shingles import shingle_sets
@@ -64,6 +66,26 @@ def test_near_duplicates_follow_the_text_of_a_repeated_id(spark):
     assert sorted(map(tuple, kept)) == [(1, NEAR), (7, clean), (9, "a text of its own")]
 
 
+def test_sizes_that_allow_a_link_as_brute_force(spark):
+    rng, rows = random.Random(8), []
+    for hub, nh in enumerate([1, 40, 300, 300]):
+        some = [(rng.randint(0, nh // 2), rng.randint(0, nh // 4)) for _ in range(60)]
+        least = min(e for _, e in some)
+        rows += [(hub, 100 * hub + i, rng.randint(0, 3), nh, d, e, least) for i, (d, e) in enumerate(some)]
+    near = spark.createDataFrame(rows, "hub long, id long, component long, nh long, D long, E long, least_e long")
+    got = minhash._by_sizes(near.withColumn("stray", minhash.F.col("component") > 0), 80).collect()
+    want = {frozenset((x[1], c[1])) for x in rows for c in rows if x[0] == c[0] and x[2] != c[2]
+            and 180 * (x[3] - max(x[4], c[4])) >= 80 * (2 * x[3] - x[4] - c[4] + x[5] + c[5])}
+    assert want and {frozenset((r.id_x, r.id_c)) for r in got} == want and len(got) == len(want)
+
+
+def test_passing_tables_go(spark):
+    with passing_tables(spark, "kept"):
+        gone, kept = (saved(spark.range(3), label) for label in ("gone", "kept"))
+        paths = [df.inputFiles()[0].removeprefix("file://") for df in (gone, kept)]
+    assert [os.path.exists(path) for path in paths] == [False, True] and kept.count() == 3
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 107), (107, 103), (9, 9)] + [(200, x) for x in range(201, 230)]
     got = {r.node: r.component for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
