@@ -66,3 +66,36 @@ def test_stored_lines_hold_what_the_roll_up_reads(spark, sf, small_cut):
     wh = Warehouse.from_driver(spark, sf)
     assert wh.by_claim("stg_clline").columns == core.ROLLED
     assert wh.fct_claim.agg(F.sum("line_count")).first()[0] == 800
+
+
+def test_first_load_decides_the_buckets(spark, tmp_path, monkeypatch):
+    from carespark.operators import upsert
+
+    monkeypatch.setattr(upsert, "BUCKET_ROWS", 100)
+    keys = F.when(F.col("id") % 4 > 0, F.concat(F.lit("k"), "id"))  # a quarter without a key
+    at = lambda day: F.lit(f"2001-01-0{day} 00:00:00").cast("timestamp_ntz")
+    first = spark.range(4000).select(keys.alias("k"), F.col("id").alias("v"), at(1).alias("_loaded_at"))
+    t = upsert.IncrementalTable(spark, "t", "k", root=str(tmp_path))
+    t.upsert(first)
+    parts = t.current()["parts"]
+    assert t.current()["buckets"] == len(parts) == 40 and max(p["rows"] for p in parts.values()) < 200
+    second = spark.range(8).select(F.concat(F.lit("k"), "id").alias("k"), F.lit(-1).cast("long").alias("v"), at(2).alias("_loaded_at"))
+    rows = t.upsert(second)
+    assert t.current()["buckets"] == 40 and rows.count() == 4002 and rows.where("v = -1").count() == 8
+    new, old = t.changes()
+    assert new.columns == old.columns and new.count() == 8 and old.count() == 6
+
+
+def test_months_that_changed_are_found_once(spark, tmp_path, wh, monkeypatch):
+    from carespark.plans.refresh import ClaimMarts
+
+    kept = ClaimMarts(spark, str(tmp_path), wh.dim_member, wh.dim_provider, wh.mart_member_months)
+    claims, lines = wh.raw["clclaim"].limit(20), wh.raw["clline"].limit(20)
+    kept.load(claims, lines)
+    kept.refresh()
+    later = claims.limit(3).withColumn("_loaded_at", F.lit("2030-01-01 00:00:00").cast("timestamp_ntz")).withColumn("load_month", F.lit("2030-01-01").cast("date"))
+    kept.load(later, lines.limit(0))
+    looks, changes = [], kept.claims.changes
+    monkeypatch.setattr(kept.claims, "changes", lambda v: looks.append(v) or changes(v))
+    kept.refresh()
+    assert looks == [2] and {t.current()["built"]["claims"] for t in (kept.fact, kept.summary, kept.expense)} == {2}
