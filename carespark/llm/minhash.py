@@ -247,23 +247,33 @@ def _by_sizes(near: DataFrame, percent: int) -> DataFrame:
 
 
 def _by_extras(near: DataFrame, percent: int) -> DataFrame:
-    """hub, id_x, id_c: pairs of a stray with any class that share at least ``need`` things that the consensus lacks.
+    """hub, id_x, id_c: pairs of a stray with any class that may share as many things that the consensus lacks as a link asks for.
 
-    ``need`` follows from |x & c| at its largest, c as short as any around the hub: all of a stray's
-    things but its need - 1 most common ones have to be looked at.
+    Linked classes have sizes at most ``percent`` per cent apart.  So ``need``, what a class x has to share, follows from
+    |x & c| at its largest and c as short as x allows (and any around the hub is): of its things, rarest first,
+    all but the last need - 1 are looked at, on both sides.  Shared things that weren't seen are among the last ones of
+    x or of c, so what both can share at most is known by the number seen, and asked for by the sizes of the two.
     """
     shortest = near.groupBy("hub").agg(F.max(F.col("D") - F.col("E")).alias("short"))
-    need = F.expr(f"greatest(1, ceil({percent} * (2 * nh - D + E - short) / (100 + {percent})) - nh + D)").cast("long")
-    beyond = near.join(shortest, "hub").select("hub", "id", "component", "stray", need.alias("need"), F.explode("beyond").alias("g"))
+    size = "(nh - D + E)"
+    asked = f"ceil({percent} * ({size} + greatest(nh - short, ceil({percent} * {size} / 100))) / {100 + percent}) - nh + D"
+    need = F.expr(f"greatest(1, {asked})").cast("long")
+    beyond = (near.join(shortest, "hub").withColumn("need", need).where("need <= E")
+              .select("hub", "nh", "id", "component", "stray", "D", "E", "need", F.explode("beyond").alias("g")))
     common = saved(beyond.groupBy("hub", "g").agg(F.count("*").alias("ids"), F.max("stray").alias("s")).where("ids > 1 and s").select("hub", "g", "ids"), "beyond")
-    beyond = saved(beyond.join(common, ["hub", "g"]), "beyond")
     own = Window.partitionBy("hub", "id")  # no more rows than the class has shingles
-    rare = (beyond.where("stray")
+    rare = (beyond.join(common, ["hub", "g"])
             .withColumn("nth", F.row_number().over(own.orderBy("ids", "g"))).withColumn("of", F.count("*").over(own))
-            .where(F.col("nth") <= F.col("of") - F.col("need") + 1))
-    met = (rare.select("hub", "g", F.col("id").alias("id_x"), F.col("component").alias("px"))
-           .join(beyond.select("hub", "g", F.col("id").alias("id_c"), F.col("component").alias("pc")), ["hub", "g"]))
-    return met.where("px <> pc").select("hub", "id_x", "id_c")
+            .where(F.col("nth") <= F.col("of") - F.col("need") + 1).drop("nth", "of", "ids"))
+    rare = saved(rare, "beyond")
+    names = ("id", "component", "D", "E", "need")
+    x = rare.where("stray").select("hub", "g", "nh", *[F.col(n).alias(f"{n}_x") for n in names])
+    c = rare.select("hub", "g", "stray", *[F.col(n).alias(f"{n}_c") for n in names])
+    met = x.join(c, ["hub", "g"]).where(F.expr(
+        f"component_x <> component_c and (not stray or id_x < id_c) and 100 * least(nh - D_x + E_x, nh - D_c + E_c) >= {percent} * greatest(nh - D_x + E_x, nh - D_c + E_c)"))
+    seen = met.groupBy("hub", "id_x", "id_c").agg(F.count("*").alias("seen"), *[F.first(n).alias(n) for n in ("nh", "D_x", "E_x", "need_x", "D_c", "E_c", "need_c")])
+    able = f"{100 + percent} * (nh - greatest(D_x, D_c) + least(E_x, E_c, seen + greatest(need_x, need_c) - 1)) >= {percent} * (2 * nh - D_x + E_x - D_c + E_c)"
+    return seen.where(F.expr(able)).select("hub", "id_x", "id_c")
 
 
 def rest_links(placed: DataFrame, hubs: DataFrame, found: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:

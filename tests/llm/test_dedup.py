@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from fixtures import BASE, CLASHES, NEAR, family, frame, near_components, rows, shingles
 
 import corpus_pipeline
@@ -79,6 +80,26 @@ def test_sizes_that_allow_a_link_as_brute_force(spark):
     assert want and {frozenset((r.id_x, r.id_c)) for r in got} == want and len(got) == len(want)
 
 
+def test_extras_are_looked_at_only_as_far_as_sizes_ask(spark):
+    """Strays around one hub of 100 things: pairs are those that share what their own sizes ask for, and no link is lost."""
+    def row(i, lacking, beyond):
+        return (0, 100, i, i, len(lacking), len(beyond), sorted(lacking), sorted(beyond), True)
+
+    r = random.Random(5)
+    many = [row(i, r.sample(range(100), 30), [200 + j for j in range(5)] + [1000 * i + j for j in range(35)]) for i in range(1, 31)]
+    short = row(40, range(50), [])  # the shortest around: by its size 2 shared things would do
+    kin = [row(i, range(10), [500 + j for j in range(28)] + [1000 * i, 1000 * i + 1]) for i in (41, 42)]
+    mixed = [row(i, r.sample(range(12), r.randrange(8)), r.sample(range(700, 740), r.randrange(40))) for i in range(50, 80)]
+    strays = [*many, short, *kin, *mixed]
+    near = spark.createDataFrame(strays, "hub long, nh long, id long, component long, D long, E long, lacking array<long>, beyond array<long>, stray boolean")
+    found = {(x, c) for _, x, c in minhash._by_extras(near, 80).collect()}
+    sets = {s[2]: (set(range(100)) - set(s[6])) | set(s[7]) for s in strays}
+    linked = {(x, c) for x in sets for c in sets if x < c and 100 * len(sets[x] & sets[c]) >= 80 * len(sets[x] | sets[c])}
+    sized = {(x, c) for _, x, c in minhash._by_sizes(near.withColumn("least_e", F.lit(0)), 80).collect()}
+    assert linked <= found | sized and len(linked) > 10 and (41, 42) in found
+    assert not any(x <= 30 and c <= 30 for x, c in found)
+
+
 def test_passing_tables_go(spark):
     with passing_tables(spark, "kept"):
         gone, kept = (saved(spark.range(3), label) for label in ("gone", "kept"))
