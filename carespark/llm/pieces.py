@@ -47,12 +47,14 @@ class Memo(dict):
 
 
 class ChunkEncoder:
-    """Packed ids (little-endian unsigned 32-bit) of whole texts; ``encode`` gives those of a chunk, ``whole`` those of any text."""
+    """Packed ids (little-endian unsigned 32-bit) of whole texts; ``encode`` gives those of a chunk, ``whole`` those of any
+    text, ``spaced`` those of a chunk with a space in front (default: by ``encode``)."""
 
-    def __init__(self, encode: Callable[[str], bytes], whole: Callable[[str], bytes] | None = None, size: int = MEMO):
+    def __init__(self, encode: Callable[[str], bytes], whole: Callable[[str], bytes] | None = None, size: int = MEMO,
+                 spaced: Callable[[str], bytes] | None = None):
         self.whole = whole or encode
         self.first = Memo(encode)
-        self.spaced = Memo(lambda chunk: encode(f" {chunk}"), size)
+        self.spaced = Memo(spaced or (lambda chunk: encode(f" {chunk}")), size)
 
     def __call__(self, text: str) -> bytes:
         if _SPANNING.search(text):

@@ -42,6 +42,8 @@ MODEL = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
 SHARD_TOKENS = 1 << 21
 CHUNKS = 600_000  # chunks of a generation that a worker remembers (about 125 MB)
+#: Marks behind a word that match the pattern by themselves.
+STOPS = frozenset(".,;:!?)")
 _MAGIC = b"WMX1"
 _HEAD = struct.Struct("<4sQB")
 _PLANE = struct.Struct("<QQ")
@@ -191,28 +193,37 @@ def encoder(path: str) -> tuple[Callable[[str], bytes], int]:
     def whole(text: str) -> bytes:
         return array("I", library.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def spelt(letter: str) -> bytes:
+        return array("I", [t.id for t in merge(letter)]).tobytes()
+
     def merged(text: str) -> bytes:
-        return array("I", [t.id for t in merge(text.encode().decode("latin-1").translate(letters))]).tobytes()
+        return spelt(text.encode().decode("latin-1").translate(letters))
 
     piece = Memo(merged)
 
     def spell(chunk: str) -> bytes:
         if chunk.isascii() or max(chunk) < "\u0250":
-            if chunk[1:].isalpha() and (chunk[0] == " " or chunk[0].isalpha()):
-                return merged(chunk)  # a plain word is one piece
             return b"".join(map(piece.__getitem__, pieces(chunk)))
         return whole(chunk)
 
-    chunks, special = ChunkEncoder(spell, whole, CHUNKS), [t.content for t in library.get_added_tokens_decoder().values()]
+    def first(chunk: str) -> bytes:
+        return merged(chunk) if chunk.isalpha() and max(chunk) < "\u0250" else spell(chunk)
+
+    def spaced(chunk: str) -> bytes:
+        if chunk.isalpha():  # a plain word is one piece
+            if chunk.isascii():
+                return spelt(space + chunk)  # ASCII letters stand for themselves
+            return spelt(space + chunk.encode().decode("latin-1").translate(letters)) if max(chunk) < "\u0250" else whole(f" {chunk}")
+        if chunk[:-1].isalpha() and chunk[-1] in STOPS and (chunk.isascii() or max(chunk) < "\u0250"):
+            return chunks.spaced[chunk[:-1]] + piece[chunk[-1]]  # a word and the mark behind it are two
+        return spell(f" {chunk}")
+
+    space = letters[ord(" ")]
+    chunks, special = ChunkEncoder(first, whole, CHUNKS, spaced), [t.content for t in library.get_added_tokens_decoder().values()]
 
     def encode(text: str) -> bytes:
         return whole(text) if any(s in text for s in special) else chunks(text)
 
-    def rest() -> None:
-        piece.rest()
-        chunks.rest()
-
-    encode.rest = rest
     return encode, max(1, (library.get_vocab_size(with_added_tokens=True) - 1).bit_length())
 
 
@@ -246,7 +257,6 @@ def build_shards(docs: DataFrame, key: str, text: str, path: str = MODEL, end_id
                     block, keys, ends, packed, size = block + 1, [], [], [], 0
         if keys:
             yield flush(part)
-        spell.rest()
 
     order = [F.col("key").asc_nulls_first(), F.col("tie")]
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("tie"))

@@ -143,3 +143,24 @@ def test_op7_files(spark, library, tmp_path):
 def test_op7_empty_table(spark, tmp_path):
     folder = wavelet.write_shards(spark.createDataFrame([], "doc_id long, text string"), "doc_id", "text", str(tmp_path / "e"))
     assert wavelet.read_documents(spark, folder).collect() == []
+
+
+def test_words_stay_known_and_marks_need_no_new_merge(library, monkeypatch):
+    """A word that came with a mark behind it, or in an earlier task, isn't merged again."""
+    wavelet.encoder.cache_clear()
+    encode, _ = wavelet.encoder(wavelet.MODEL)
+    asked = []
+    known = encode.__closure__[[c for c in encode.__code__.co_freevars].index("chunks")].cell_contents.spaced
+    make = known.make
+    monkeypatch.setattr(known, "make", lambda chunk: asked.append(chunk) or make(chunk))
+    for text in ("a Zwölfe, x", "b Zwölfe y", "b Zwölfe. y", "b Zwölfe. y"):
+        assert unpack(encode(text)) == library.encode(text, add_special_tokens=False).ids
+    assert asked == ["Zwölfe,", "Zwölfe", "x", "y", "Zwölfe."]
+    assert not hasattr(encode, "rest")
+    wavelet.encoder.cache_clear()
+
+
+@pytest.mark.parametrize("mark", [*wavelet.STOPS, "'", "\"", "'s.", "-", "ɐ."])
+def test_words_with_marks_as_the_library_does(library, mark):
+    for text in (f"a word{mark}", f"word{mark} b", f"a é{mark} Wörter{mark}\n x{mark}", f" {mark} {mark}a"):
+        assert unpack(wavelet.encoder(wavelet.MODEL)[0](text)) == library.encode(text, add_special_tokens=False).ids
