@@ -58,3 +58,20 @@ def test_written_tables_free_their_shuffles(spark, tmp_path):
     store(spark.range(100).withColumn("p", F.col("id") % 2).repartition(3), f"{tmp_path}/t", ["p"])
     assert spark.conf.get(conf) == before and spark.read.parquet(f"{tmp_path}/t").count() == 100
     assert glob.glob(f"{tmp_path}/t/*/*.zstd.parquet")
+
+
+def test_member_months_shuffle_segments_not_months(spark):
+    from carespark.plans import marts
+
+    d = dt.date
+    seg = [("e1", "m1", d(2000, 1, 1), None, "P1", "18"), ("e2", "m1", d(2000, 1, 1), d(2000, 2, 10), "P1", "01"),
+           (None, None, d(2000, 1, 1), d(2000, 1, 31), None, None), ("e2", "m2", None, d(2000, 1, 15), "P2", None)]
+    elig = spark.createDataFrame([("COM", "PL", "Plan", None, "MED", *s) for s in seg],
+                                 "line_of_business string, plan_id string, plan_name string, group_id string, coverage_type string, eligibility_id string,"
+                                 "member_id string, effective_date date, termination_date date, pcp_provider_id string, relationship_code string")
+    out = marts.mart_member_months(elig, d(2000, 3, 31))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "calendar_month" in x and "_id#" in x.split("coverage_type")[1]]
+    got = {(r.calendar_month): (r.enrolled_members, r.active_eligibility_segments, r.assigned_pcps, float(r.member_months), r.full_month_members,
+                                r.subscriber_count, r.dependent_count) for r in out.collect() if r.calendar_month.year == 2000}
+    assert got == {d(2000, 1, 1): (2, 2, 2, 3.48, 1, 1, 1), d(2000, 2, 1): (1, 2, 1, 1.34, 1, 1, 1), d(2000, 3, 1): (1, 1, 1, 1.0, 1, 1, 0)}
