@@ -75,3 +75,20 @@ def test_member_months_shuffle_segments_not_months(spark):
     got = {(r.calendar_month): (r.enrolled_members, r.active_eligibility_segments, r.assigned_pcps, float(r.member_months), r.full_month_members,
                                 r.subscriber_count, r.dependent_count) for r in out.collect() if r.calendar_month.year == 2000}
     assert got == {d(2000, 1, 1): (2, 2, 2, 3.48, 1, 1, 1), d(2000, 2, 1): (1, 2, 1, 1.34, 1, 1, 1), d(2000, 3, 1): (1, 1, 1, 1.0, 1, 1, 0)}
+
+
+def test_the_suite_writes_the_columns_of_staging_that_it_reads(spark, wh):
+    from carespark.operators.quality import read_columns
+    from carespark.plans import checks
+
+    lines = read_columns(wh.stg("stg_clline"), "stg_clline", checks.SUITE)
+    assert set(lines) == {"claim_line_id", "claim_id", "line_number", "service_from_date", "service_to_date", "billed_amount", "paid_amount"}
+    assert "is_active" in read_columns(wh.stg("stg_member_crosswalk"), "stg_member_crosswalk", checks.SUITE)  # of a condition
+    assert "provider_id" in read_columns(wh.stg("stg_provider"), "stg_provider", checks.SUITE)  # of a relationship
+
+
+def test_links_are_short_on_their_way_to_the_claims(spark, wh):
+    plan = wh.fct_claim_conformed._jdf.queryExecution().optimizedPlan().toString()
+    assert "unhex" in plan and {f.name for f in wh.fct_claim_conformed.schema} >= {"golden_member_key", "legacy_member_key"}
+    found = wh.fct_claim_conformed.where("golden_member_key is not null").select("golden_member_key").first()[0]
+    assert wh.dim_golden_member.where(F.col("golden_member_key") == found).count() > 0
