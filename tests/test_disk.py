@@ -92,3 +92,20 @@ def test_links_are_short_on_their_way_to_the_claims(spark, wh):
     assert "unhex" in plan and {f.name for f in wh.fct_claim_conformed.schema} >= {"golden_member_key", "legacy_member_key"}
     found = wh.fct_claim_conformed.where("golden_member_key is not null").select("golden_member_key").first()[0]
     assert wh.dim_golden_member.where(F.col("golden_member_key") == found).count() > 0
+
+
+def test_only_kinds_with_several_links_are_looked_up_again(spark, wh):
+    from carespark.plans import core
+
+    def links(*ids):
+        rows = [("member", i, (f"k{n}",)) for n, i in enumerate(ids)] + [("provider", "P1", ("p",)), ("provider", None, ("q",)), ("provider", None, ("r",))]
+        return spark.createDataFrame(rows, "kind string, id string, link struct<key: string>")
+
+    assert core.fanned_kinds(links("M1", "M2")) == [] and core.fanned_kinds(links("M1", "M2", "M1")) == ["member"]
+    claims = wh.stg("stg_clclaim").limit(1).withColumn("member_id", F.lit("M1")).withColumn("billing_provider_id", F.lit("P1"))
+    several = links("M1", "M2", "M1")
+    for fanned in (["member"], None):
+        got = core.resolve_roles(claims, wh.stg("stg_clline"), several, fanned=fanned).select("member.key", F.col("billing.key").alias("b"), "servicing")
+        assert sorted(r.key for r in got.collect()) == ["k0", "k2"] and {(r.b, r.servicing) for r in got.collect()} == {("p", None)}
+    joins = [core.resolve_roles(claims, wh.stg("stg_clline"), several, fanned=f)._jdf.queryExecution().optimizedPlan().toString().count("Join ") for f in ([], ["member"], None)]
+    assert joins[0] < joins[1] < joins[2]
