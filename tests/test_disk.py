@@ -109,3 +109,20 @@ def test_only_kinds_with_several_links_are_looked_up_again(spark, wh):
         assert sorted(r.key for r in got.collect()) == ["k0", "k2"] and {(r.b, r.servicing) for r in got.collect()} == {("p", None)}
     joins = [core.resolve_roles(claims, wh.stg("stg_clline"), several, fanned=f)._jdf.queryExecution().optimizedPlan().toString().count("Join ") for f in ([], ["member"], None)]
     assert joins[0] < joins[1] < joins[2]
+
+
+def test_what_a_wide_lookup_finds_meets_the_header_in_one_shuffle(spark, wh, monkeypatch):
+    from carespark.plans import core
+    from carespark.plans.warehouse import Warehouse
+
+    before = wh.fct_claim
+    monkeypatch.setattr(core, "WIDE_LINKS", 1)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        wide = Warehouse.from_driver(spark, wh.raw.sf_dir).fct_claim
+        plan = wide._jdf.queryExecution().executedPlan().toString()
+        assert "row#" not in "".join(x for x in plan.splitlines() if "Exchange hashpartitioning(claim_id" in x)  # gathered where it meets the header
+        assert wide.exceptAll(before).count() == before.exceptAll(wide).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
